@@ -33,6 +33,7 @@ _MARK = "\ue0ff"  # stands for a number such as "1)" or "①" that starts a valu
 _SAFE = "".join(chr(0xE000 + i) for i in range(len(SIGNS)))
 _MAX_BROADCAST_RULES = 20_000  # rows; a skeleton row is under 1 kB after collapsing
 _MAX_NAMES = 10_000
+_LETTER = r"[\p{IsLatin}\p{IsGreek}\p{IsCyrillic}\p{N}]"
 
 
 def _cls(chars: str) -> str:
@@ -48,7 +49,9 @@ def protected_patterns(names: Iterable[str]) -> list[tuple[str, str]]:
             left, right = (gap.join(letter_class(c) for c in m[i]) for i in (1, 5))
             blank_l, blank_r = ("\\s*" if m[i] else gap for i in (2, 4))
             wide = {"/": "[/／]", ",": "[,，]", "+": "[+＋]", ";": "[;；]", "|": "[|｜]"}.get(m[3], re.escape(m[3]))
-            out[f"(?<![\\p{{L}}\\p{{N}}])({left}{blank_l})({wide})({blank_r}{right})(?![\\p{{L}}\\p{{N}}])"] = m[3]
+            before = f"(?<!{_LETTER})" if m[1][0].isascii() else ""
+            after = f"(?!{_LETTER})" if m[5][-1].isascii() else ""
+            out[f"{before}({left}{blank_l})({wide})({blank_r}{right}){after}"] = m[3]
     return sorted(out.items())
 
 
