@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reconlake.llm import canon, mapping
+from reconlake.llm import canon, leaks, mapping
 from reconlake.operators import unpack
 from reconlake.session import load, ship_package
 
@@ -42,5 +42,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.map_values(values, "val", registry).select("src_table", "row_id", "pos", "canonical_product")
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found}
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, item_id): documents that repeat a test item fully or partly."""
+    return leaks.leaked(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_item")).select("doc_id", "item_id")
+
+
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p7_found": p7_found}
 ORACLES: dict[str, str] = {}
