@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reconlake.llm import canon, leaks, mapping
+from reconlake.llm import canon, leaks, mapping, mixture, toxicity
 from reconlake.operators import unpack
 from reconlake.session import load, ship_package
 
@@ -47,5 +47,39 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_item")).select("doc_id", "item_id")
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p7_found": p7_found}
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, copy_no, source, n_tokens): the mixture, one row per document and use."""
+    return mixture.mixture(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_target"))
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wanted and reached share of each source, with a note where the target cannot be reached."""
+    return mixture.shares(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_target"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id): documents with at least one abusive, hateful or sexual passage."""
+    return toxicity.flagged(load(spark, sf_dir, "documents"), load(spark, sf_dir, "doc_label")).select("doc_id")
+
+
+def p9_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, source, abuse, hate, sexual, score) of every document."""
+    return toxicity.scores(load(spark, sf_dir, "documents"), load(spark, sf_dir, "doc_label"))
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, n_docs, n_flagged, rate)."""
+    return toxicity.rates(load(spark, sf_dir, "documents"), load(spark, sf_dir, "doc_label"))
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p5_found": p5_found,
+    "p7_found": p7_found,
+    "p8_mixture": p8_mixture,
+    "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_scores": p9_scores,
+    "p9_rates": p9_rates,
+}
 ORACLES: dict[str, str] = {}
