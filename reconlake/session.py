@@ -25,6 +25,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "recon
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of the input folder."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -51,7 +52,8 @@ def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers that do not share the driver's path."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     sc = spark.sparkContext
-    if sc.master.startswith("local") or getattr(sc, "_reconlake_shipped", False):
+    on_path = root in map(os.path.abspath, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))
+    if getattr(sc, "_reconlake_shipped", False) or on_path and sc.master.startswith("local"):
         return
     import zipfile
 
