@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reconlake.llm import canon, leaks, mapping, mixture, toxicity
+from reconlake.llm import canon, labelmodel, leaks, mapping, mixture, names, toxicity
 from reconlake.operators import unpack
 from reconlake.session import load, ship_package
 
@@ -30,6 +30,26 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    facilities = names.records(load(spark, sf_dir, "nonqueue_facility"), "facility_id", "facility", "address", "prefecture")
+    return facilities.unionByName(names.records(load(spark, sf_dir, "locator"), "locator_id", "name", "address"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(rec_a, rec_b): pairs of records that mean the same facility at the same place."""
+    return names.same_facility(_records(spark, sf_dir))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(facility_id, match_id): rows of locator_match and the facility records they describe."""
+    return p3_confidence(spark, sf_dir).select("facility_id", "match_id")
+
+
+def p3_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(match_id, facility_id, confidence)."""
+    return labelmodel.described(load(spark, sf_dir, "locator_match"), load(spark, sf_dir, "nonqueue_facility"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(src_table, row_id, pos, canonical_product): single values not written as in the list, mapped to it or UNMATCHED."""
     registry = load(spark, sf_dir, "product_registry")
@@ -74,6 +94,9 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p3_found": p3_found,
+    "p3_confidence": p3_confidence,
     "p5_found": p5_found,
     "p7_found": p7_found,
     "p8_mixture": p8_mixture,
