@@ -77,7 +77,7 @@ class LabelModel:
     def start(self) -> np.ndarray:
         """First guess of each pattern's posterior: how much of what the functions say speaks for a match."""
         pro = {"equal": 2.0, "close": 1.5, "near": 0.3, "like": -1.5, "unlike": -3.0, "same": 0.5, "differ": -1.0,
-               "full": 4.0, "part": 2.5, "city": 1.0, "open": -0.5, "apart": -5.0, "none": 0.3, "some": -0.7, "": 0.0}
+               "full": 4.0, "part": 2.5, "city": 1.0, "slip": 1.0, "open": -0.5, "apart": -5.0, "none": 0.3, "some": -0.7, "": 0.0}
         z = np.array([sum(pro.get(c[i], 0.0) for c in self.columns) for i in range(len(self.n))])
         return 1 / (1 + np.exp(-z))
 

@@ -24,8 +24,8 @@ from reconlake.session import cut, ship_package
 
 Q, Q_FAR = 3, 4  # gram lengths within a municipality and where one side names none
 NEAR, FAR = 0.3, 0.6  # gram overlap that candidates need
-#: least name score by how far the addresses agree: full number, shared beginning, municipality only
-LEAST = {"full": 0.20, "part": 0.45, "city": 0.58, "open": 0.92}
+#: least name score by how far the addresses agree: full number, shared beginning, a slip in the house number, municipality only
+LEAST = {"full": 0.20, "part": 0.45, "slip": 0.60, "city": 0.58, "open": 0.92}
 
 _PARTS = StructType([StructField(n, StringType()) for n in ("corp", "brand", "snd", "area", "types", "pref", "city", "quarter", "nums")])
 KEYS = [f.name for f in _PARTS]
@@ -81,16 +81,18 @@ _SCORE = StructType([StructField("score", DoubleType()), StructField("relation",
 
 
 def relation(a: dict, b: dict) -> str:
-    """How far two addresses agree: full, part, city, open or apart."""
+    """How far two addresses agree: full, part, slip, city, open or apart."""
     same_pref = not a["pref"] or not b["pref"] or a["pref"] == b["pref"]
     if a["city"] and b["city"]:
         if a["city"] != b["city"]:
             return "apart"
         x, y = a["nums"].split("-") if a["nums"] else [], b["nums"].split("-") if b["nums"] else []
         n = min(len(x), len(y))
+        qa, qb = a["quarter"], b["quarter"]
+        if n == 3 and qa == qb and x[:2] == y[:2] and x != y:
+            return "slip" if same_pref else "apart"
         if x[:n] != y[:n]:
             return "apart"
-        qa, qb = a["quarter"], b["quarter"]
         if qa == qb and n == 3:
             return "full"
         if qa == qb and n:
@@ -216,7 +218,11 @@ def groups(recs: DataFrame) -> DataFrame:
     placed = forms.select(F.col("form").alias("f"), (F.col("city") != "").alias("has_city"))
     ends = open_.select(F.col("a").alias("f"), F.col("b").alias("g"), "score").unionByName(open_.select(F.col("b").alias("f"), F.col("a").alias("g"), "score"))
     ends = ends.join(placed.where("not has_city").select("f"), "f").join(placed.where("has_city").select(F.col("f").alias("g")), "g")
-    ends = ends.join(roots.select(F.col("node").alias("g"), F.col("root").alias("gr")), "g").groupBy("f", "gr").agg(F.max("score").alias("score"), F.min("g").alias("g"))
+    # a group's prefecture is known from any of its forms
+    homes = roots.join(forms.select(F.col("form").alias("node"), "pref"), "node").groupBy(F.col("root").alias("gr")).agg(F.max("pref").alias("home"))
+    ends = ends.join(roots.select(F.col("node").alias("g"), F.col("root").alias("gr")), "g").join(homes, "gr")
+    ends = ends.join(forms.select(F.col("form").alias("f"), "pref"), "f").where("pref = '' or home = '' or pref = home")
+    ends = ends.groupBy("f", "gr").agg(F.max("score").alias("score"), F.min("g").alias("g"))
     rank = Window.partitionBy("f").orderBy(F.desc("score"), "gr")
     ends = ends.withColumn("n", F.row_number().over(rank)).withColumn("next", F.lead("score").over(rank))
     single = ends.where("n = 1 and (next is null or score - next > 0.08)").select(F.col("f").alias("a"), F.col("g").alias("b"))
