@@ -139,14 +139,27 @@ _T = Transducer()
 
 @lru_cache(maxsize=200_000)
 def canonical(text: str) -> str:
-    """The text in the consistent form: normal width and script, joined marks, single blanks, nothing invisible."""
+    """The text in the consistent form: normal width and script, joined marks, single blanks, nothing invisible.
+
+    A look-alike can give its neighbour the context it lacked, so the pass is repeated until nothing changes.
+    """
+    for _ in range(len(text) + 1):
+        out = _pass(text)
+        if out == text:
+            break
+        text = out
+    return text
+
+
+def _pass(text: str) -> str:
     out = _T.clusters(text)
     # a mark that an invisible character had split from its letter
     joined: list[str] = []
     for c in out:
         if joined and c in ("ﾞ", "ﾟ", "゙", "゚", "゛", "゜") or joined and unicodedata.combining(c[0]):
             mark = {"ﾞ": "゙", "ﾟ": "゚", "゛": "゙", "゜": "゚"}.get(c, c)
-            joined[-1] = unicodedata.normalize("NFC", joined[-1] + mark)
+            base = KANA.get(joined[-1], joined[-1]) if mark in "\u3099\u309a" else joined[-1]
+            joined[-1] = unicodedata.normalize("NFC", base + mark)
         else:
             joined.append(c)
     _kana_in_context(joined)

@@ -5,8 +5,8 @@ prefecture, rivals); a generative model with a hidden match variable learns from
 function is and which of them go together, and gives each pair a posterior, which is the confidence.
 
 The model sees distinct vote patterns with their counts (at most MAX_PATTERNS rows, else it is refused), not pairs:
-expectation maximisation over categorical votes, abstentions included. Functions whose votes are correlated given
-the match variable (conditional mutual information) are joined to one factor and the model is learned again.
+expectation maximisation over categorical votes, abstentions included. Functions whose votes are correlated beyond
+what the first estimate of the match variable explains (conditional mutual information) are joined to one factor before the model is learned.
 
 Rows without a usable name get no match. Repeated rows are judged once and each get their matches. Empty tables
 give none; without variety in the votes the posterior stays at the prior of the rules.
@@ -26,7 +26,8 @@ from reconlake.session import cut, ship_package
 
 MAX_PATTERNS = 100_000
 ROUNDS = 60
-CORRELATED = 0.04  # nats of conditional mutual information from which two functions are one factor
+CORRELATED = 0.5  # share of its uncertainty that one function must tell of another, given the match variable, to be one factor
+PRIOR = 20.0  # pseudo-pairs by which the rules speak for each factor; they decide only where data are few
 CONFIDENT = 0.65
 STANDS_OUT = 0.08  # name score by which a facility must lead the next where the address does not decide
 
@@ -74,20 +75,29 @@ class LabelModel:
         index = {k: i for i, k in enumerate(sorted(set(keys)))}
         return np.array([index[k] for k in keys])
 
+    #: how far each vote speaks for a match before anything is learned (log odds)
+    PRO = {"equal": 2.0, "close": 1.5, "near": 0.3, "like": -1.5, "unlike": -3.0, "same": 0.5, "differ": -1.0,
+               "full": 4.0, "part": 2.5, "city": 1.0, "slip": 1.0, "open": -0.5, "apart": -5.0, "none": 0.3, "some": -0.7, "": 0.0}
+
     def start(self) -> np.ndarray:
         """First guess of each pattern's posterior: how much of what the functions say speaks for a match."""
-        pro = {"equal": 2.0, "close": 1.5, "near": 0.3, "like": -1.5, "unlike": -3.0, "same": 0.5, "differ": -1.0,
-               "full": 4.0, "part": 2.5, "city": 1.0, "slip": 1.0, "open": -0.5, "apart": -5.0, "none": 0.3, "some": -0.7, "": 0.0}
-        z = np.array([sum(pro.get(c[i], 0.0) for c in self.columns) for i in range(len(self.n))])
+        z = np.array([sum(self.PRO.get(c[i], 0.0) for c in self.columns) for i in range(len(self.n))])
         return 1 / (1 + np.exp(-z))
 
+    def _rules(self, group: tuple[int, ...], f: np.ndarray) -> np.ndarray:
+        """What the rules say of each value of a factor, as a probability of a match."""
+        odds = np.zeros(f.max() + 1)
+        odds[f] = [sum(self.PRO.get(self.columns[i][r], 0.0) for i in group) for r in range(len(f))]
+        return 1 / (1 + np.exp(-odds))
+
     def learn(self, post: np.ndarray) -> np.ndarray:
+        rules = [self._rules(g, f) for g, f in zip(self.names, self.factors, strict=True)]
         for _ in range(ROUNDS):
-            z = np.full(len(self.n), np.log((self.n @ post + 1) / (self.n @ (1 - post) + 1)))
-            for f in self.factors:
+            z = np.full(len(self.n), np.log((self.n @ post + PRIOR / 2) / (self.n @ (1 - post) + PRIOR / 2)))
+            for f, r in zip(self.factors, rules, strict=True):
                 k = f.max() + 1
-                yes = np.bincount(f, weights=self.n * post, minlength=k) + 0.5
-                no = np.bincount(f, weights=self.n * (1 - post), minlength=k) + 0.5
+                yes = np.bincount(f, weights=self.n * post, minlength=k) + PRIOR * r / k
+                no = np.bincount(f, weights=self.n * (1 - post), minlength=k) + PRIOR * (1 - r) / k
                 z += (np.log(yes / yes.sum()) - np.log(no / no.sum()))[f]
             new = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             if np.abs(new - post).max() < 1e-6:
@@ -96,19 +106,23 @@ class LabelModel:
         return post
 
     def correlation(self, f: np.ndarray, g: np.ndarray, post: np.ndarray) -> float:
-        """Conditional mutual information of two factors given the hidden variable."""
-        total, out = self.n.sum(), 0.0
+        """Conditional mutual information of two factors given the hidden variable, as a share of the lesser entropy."""
+        total, out, hf, hg = self.n.sum(), 0.0, 0.0, 0.0
         for w in (self.n * post, self.n * (1 - post)):
             if w.sum() <= 0:
                 continue
             joint = np.bincount(f * (g.max() + 1) + g, weights=w, minlength=(f.max() + 1) * (g.max() + 1)).reshape(f.max() + 1, -1) / w.sum()
             outer = joint.sum(1, keepdims=True) @ joint.sum(0, keepdims=True)
             ok = joint > 0
-            out += w.sum() / total * float((joint[ok] * np.log(joint[ok] / outer[ok])).sum())
-        return out
+            share = w.sum() / total
+            out += share * float((joint[ok] * np.log(joint[ok] / outer[ok])).sum())
+            for side, p in (("f", joint.sum(1)), ("g", joint.sum(0))):
+                h = -share * float((p[p > 0] * np.log(p[p > 0])).sum())
+                hf, hg = (hf + h, hg) if side == "f" else (hf, hg + h)
+        return out / min(hf, hg) if min(hf, hg) > 1e-6 else 0.0
 
     def fit(self) -> np.ndarray:
-        post = self.learn(self.start())
+        post = self.start()
         pairs = sorted(
             ((self.correlation(self.factors[i], self.factors[j], post), i, j) for i, j in combinations(range(len(self.factors)), 2)), reverse=True
         )

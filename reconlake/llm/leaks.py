@@ -90,7 +90,7 @@ class Items:
             centred = np.concatenate([np.full(pad, local[0]), local, np.full(max(0, len(t) - pad - len(local)), local[-1])])[: len(t)]
             self.ids.append(i)
             self.text.append(t)
-            self.weight.append(centred**-0.7)
+            self.weight.append(centred**-1.0)
             for p, g in enumerate(grams(codes(t), n).tolist()):
                 seeds[n].setdefault(g, []).append((k, p))
         self.total = np.array([w.sum() for w in self.weight])

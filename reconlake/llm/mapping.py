@@ -197,10 +197,12 @@ class Matcher:
             stem, rest = "".join(tokens[:k]), "".join(tokens[k:])
             if rest and rest not in _VERSION and rest not in NOISE:
                 continue
+            if not rest and len(tokens) > 1 and tokens[-1] in _VERSION:
+                continue  # a version part of its own belongs to no stem
             options = [(stem, _VERSION.get(rest, ""))]
             if not rest:
                 for form, version in _VERSION.items():
-                    if len(form) > 0 and stem.endswith(form) and len(stem) - len(form) >= 5 and (not form.isascii() or len(form) > 1 or form.isdigit()):
+                    if len(form) > 0 and stem.endswith(form) and len(stem) - len(form) >= (5 if stem.isascii() else 3) and (not form.isascii() or len(form) > 1 or form.isdigit()):
                         options.append((stem[: -len(form)], version))
             for s, version in options:
                 for name, v, canon in self.names:
