@@ -6,11 +6,15 @@ document and taken on its array of lines, so no document has to be shuffled.
 
 from __future__ import annotations
 
+import bisect
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 AMOUNT = r"([0-9][0-9,]*)円"
 TEN_THOUSANDS = r"([0-9]+(?:\.[0-9]+)?)万円"
@@ -102,3 +106,66 @@ def first_label(text: Column, rules: list[tuple[str, str]], default: str) -> Col
     for name, p in reversed(rules):
         out = F.when(text.rlike(p), name).otherwise(out)
     return out
+
+
+def nearest_before(df: DataFrame, key: str, text: str, marks: str, tokens: str, reach: int) -> DataFrame:
+    """(key, place, mark, token): each match of marks with the last match of tokens that ends at most reach characters before it.
+
+    Offsets of matches need Python; both patterns are walked once over the text, Arrow-batched.
+    """
+    m_, t_ = regex.compile(marks), regex.compile(tokens)
+    kind = ArrayType(StructType([StructField("place", IntegerType()), StructField("mark", StringType()), StructField("token", StringType())]))
+
+    @F.pandas_udf(kind)
+    def pair(s: pd.Series) -> pd.Series:
+        def one(t):
+            if not isinstance(t, str):
+                return None
+            found = [(x.end(), x[0]) for x in t_.finditer(t)]
+            ends = [e for e, _ in found]
+            out = []
+            for m in m_.finditer(t):
+                i = bisect.bisect_right(ends, m.start()) - 1
+                out.append((m.start(), m[0], found[i][1] if i >= 0 and m.start() - ends[i] <= reach else None))
+            return out
+
+        return s.map(one)
+
+    return df.select(F.col(key), F.explode(pair(text)).alias("_p")).select(key, "_p.*")
+
+
+NAME_BLOCK = 100_000
+
+
+def name_mentions(df: DataFrame, key: str, text: str, names: DataFrame, name: str, least: int = 4) -> DataFrame:
+    """(key, name): the names of a list that stand in each text, found by an automaton over blocks of the list.
+
+    The list is a stated query set: each block of NAME_BLOCK names is sent to the tasks and run against all texts.
+    """
+    rows = names.select(name).where(F.length(name) >= least).distinct().orderBy(name)
+    out = None
+
+    def search(block: tuple[str, ...]):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            import ahocorasick
+
+            a = ahocorasick.Automaton()
+            for n in block:
+                a.add_word(n, n)
+            a.make_automaton()
+            for b in batches:
+                hits = [(k, n) for k, t in zip(b[key], b[text], strict=True) if isinstance(t, str) for n in sorted({n for _, n in a.iter(t)})]
+                yield pd.DataFrame(hits, columns=[key, name])
+
+        return run
+
+    schema = f"{key} {dict(df.dtypes)[key]}, {name} string"
+    block: list[str] = []
+    for r in [*rows.toLocalIterator(), None]:
+        if r is not None:
+            block.append(r[0])
+        if block and (r is None or len(block) == NAME_BLOCK):
+            part = df.select(key, text).mapInPandas(search(tuple(block)), schema)
+            out = part if out is None else out.unionByName(part)
+            block = []
+    return out if out is not None else df.sparkSession.createDataFrame([], schema)

@@ -514,3 +514,46 @@ def first_amounts_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = load(spark, sf_dir, "price_stage").groupBy("plan_id").agg(F.array_sort(F.collect_set("amount")).alias("a"))
     more = F.when(F.size("a") > 4, F.concat(F.lit(" +"), (F.size("a") - 4).cast("string"))).otherwise("")
     return g.select("plan_id", F.concat(F.array_join(F.slice("a", 1, 4).cast("array<string>"), ", "), more).alias("shown"))
+
+
+# ---------------------------------------------------------------- names and tokens inside documents
+
+
+@query("""SELECT DISTINCT doc_id, facility FROM documents JOIN (SELECT DISTINCT facility FROM treatment_plan WHERE length(facility) >= 4) ON contains(text, facility)""")
+def document_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facilities of the plans that each document names."""
+    return X.name_mentions(load(spark, sf_dir, "documents"), "doc_id", "text", load(spark, sf_dir, "treatment_plan"), "facility")
+
+
+@query()
+def nearest_product_before_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each amount of a document with the product named at most 100 characters before it."""
+    return X.nearest_before(load(spark, sf_dir, "documents"), "doc_id", "text", r"[0-9][0-9,]*円", _ALT, 100)
+
+
+@query("""WITH f AS (SELECT facility_id, min(row_id) AS first_row FROM price_stage GROUP BY facility_id ORDER BY first_row LIMIT 20)
+SELECT facility_id, row_id FROM price_stage JOIN f USING (facility_id)""")
+def first_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the first 20 facilities in order of appearance; the bound is the feature."""
+    p = load(spark, sf_dir, "price_stage")
+    f = p.groupBy("facility_id").agg(F.min("row_id").alias("first_row")).orderBy("first_row").limit(20)
+    return p.join(F.broadcast(f.select("facility_id")), "facility_id").select("facility_id", "row_id")
+
+
+@query("""SELECT row_id, array_to_string(list_distinct(list_transform(v, lambda x: coalesce(m[x], x))), '|') AS canon FROM (SELECT row_id, list_transform(string_split(products, '|'), lambda x: trim(x)) AS v FROM price_stage WHERE products IS NOT NULL),
+(SELECT map(list(product), list(canonical_product)) AS m FROM product_registry)""".replace("list_distinct(", "list_sort(list_distinct(").replace("x))), '|')", "x)))), '|')"))
+def canonical_unique_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical names of |-separated products by exact lookup, each once."""
+    registry = load(spark, sf_dir, "product_registry").agg(F.map_from_entries(F.collect_list(F.struct("product", "canonical_product"))).alias("m"))
+    p = load(spark, sf_dir, "price_stage").where("products is not null")
+    v = F.transform(F.split("products", r"\|"), lambda x: F.trim(x))
+    joined = p.select("row_id", v.alias("v")).crossJoin(F.broadcast(registry))  # one row: the reference list as a map
+    return joined.select("row_id", F.array_join(F.array_sort(T.canonical_unique(F.col("v"), F.col("m"))), "|").alias("canon"))
+
+
+@query("""SELECT CASE WHEN t.plan_id IS NULL THEN 'unknown' WHEN p.n IS NULL THEN 'queued' WHEN p.open > 0 THEN 'processing' ELSE 'complete' END AS phase, CAST(count(*) AS BIGINT) AS n FROM treatment_plan t LEFT JOIN (SELECT plan_id, count(*) AS n, count_if(amount IS NULL) AS open FROM price_stage GROUP BY plan_id) p USING (plan_id) GROUP BY 1""")
+def work_phases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the work on the plans is: queued, processing, complete."""
+    done = load(spark, sf_dir, "price_stage").groupBy("plan_id").agg(F.count("*").alias("n"), F.count_if(F.col("amount").isNull()).alias("open"))
+    phase = F.when(F.col("n").isNull(), "queued").when(F.col("open") > 0, "processing").otherwise("complete")
+    return load(spark, sf_dir, "treatment_plan").select("plan_id").join(done, "plan_id", "left").groupBy(phase.alias("phase")).agg(F.count("*").alias("n"))

@@ -141,3 +141,17 @@ def test_aggregates(spark):
     assert [tuple(r) for r in A.conflicts(df, "k", "m").collect()] == [("f", 2, "a|b")]
     best = A.best_group(spark.createDataFrame([("p", "A", 12), ("p", "A", 1), ("p", "B", 12), ("p", "B", 2), ("p", "B", 3)], "k string, u string, s long"), "k", "u", "s")
     assert {r.u for r in best.collect()} == {"B"} and best.count() == 3
+
+
+def test_nearest_before(spark):
+    df = spark.createDataFrame([(1, "GPS 100円 and " + "x" * 120 + " 200円 ACP 300円"), (2, None)], "k long, t string")
+    got = [(r.mark, r.token) for r in X.nearest_before(df, "k", "t", "[0-9]+円", "GPS|ACP", 100).orderBy("place").collect()]
+    assert got == [("100円", "GPS"), ("200円", None), ("300円", "ACP")]
+
+
+def test_name_mentions(spark, monkeypatch):
+    monkeypatch.setattr(X, "NAME_BLOCK", 2)  # several blocks give the same rows
+    df = spark.createDataFrame([(1, "abcd efgh"), (2, None), (3, "xefghx abcdabcd")], "k long, t string")
+    names = spark.createDataFrame([("abcd",), ("efgh",), ("zzzz",), ("ab",), (None,)], "n string")
+    assert sorted(tuple(r) for r in X.name_mentions(df, "k", "t", names, "n").collect()) == [(1, "abcd"), (1, "efgh"), (3, "abcd"), (3, "efgh")]
+    assert X.name_mentions(df, "k", "t", names.limit(0), "n").count() == 0
