@@ -154,14 +154,19 @@ def candidates(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
 
     With one table a < b; with two, a is of the left and b of the right.
     """
-    both = left if right is None else left.select("form", "snd", "city").unionByName(right.select("form", "snd", "city")).distinct()
-    city = both.select("form", "city")
-    near = cut(prefix_tokens(both, NEAR, Q).join(city, "form"))
-    far = cut(prefix_tokens(both, FAR, Q_FAR).join(city, "form"))
-
-    def join(x: DataFrame, y: DataFrame, on: list[str]) -> DataFrame:
-        x, y = x.select(F.col("form").alias("a"), *on), y.select(F.col("form").alias("b"), *on)
-        return x.join(y, on).select("a", "b")
+    cols = ["form", "snd", "city", "pref"]
+    both = left.select(*cols) if right is None else left.select(*cols).unionByName(right.select(*cols)).distinct()
+    facts = both.select("form", "city", "pref", F.length("snd").alias("len"))
+    near = cut(prefix_tokens(both, NEAR, Q).join(facts, "form"))
+    far = cut(prefix_tokens(both, FAR, Q_FAR).join(facts, "form"))
+
+    def join(x: DataFrame, y: DataFrame, on: list[str], alike: bool = False) -> DataFrame:
+        x = x.select(F.col("form").alias("a"), F.col("len").alias("la"), F.col("pref").alias("pa"), *on)
+        y = y.select(F.col("form").alias("b"), F.col("len").alias("lb"), F.col("pref").alias("pb"), *on)
+        p = x.join(y, on)
+        if alike:  # what a score for open addresses needs in any case: about the same length, no other prefecture
+            p = p.where("abs(la - lb) <= 2 and (pa = pb or pa = '' or pb = '')")
+        return p.select("a", "b")
 
     def overlapping(p: DataFrame) -> DataFrame:
         """Of the pairs without a common municipality those whose grams really overlap."""
@@ -174,11 +179,11 @@ def candidates(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
 
     if right is None:
         p = join(near.where("city != ''"), near.where("city != ''"), ["city", "gram"])
-        p = p.unionByName(overlapping(join(far.where("city = ''"), far, ["gram"])))
+        p = p.unionByName(overlapping(join(far.where("city = ''"), far, ["gram"], True)))
         return p.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     ln, rn, lf, rf = of(near, left), of(near, right), of(far, left), of(far, right)
     p = join(ln.where("city != ''"), rn.where("city != ''"), ["city", "gram"])
-    p = p.unionByName(overlapping(join(lf.where("city = ''"), rf, ["gram"]).unionByName(join(lf.where("city != ''"), rf.where("city = ''"), ["gram"]))))
+    p = p.unionByName(overlapping(join(lf.where("city = ''"), rf, ["gram"], True).unionByName(join(lf.where("city != ''"), rf.where("city = ''"), ["gram"], True))))
     return p.distinct()
 
 
