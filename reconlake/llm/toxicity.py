@@ -216,7 +216,7 @@ def train(texts: list[str], labels: list[str]) -> Chain:
     own, column = label[pair // len(rows.used)] > 0, pair % len(rows.used)
     f = np.bincount(column, weights=own, minlength=len(rows.used))
     p = np.bincount(column, weights=~own, minlength=len(rows.used))
-    telling = (f >= 2) & (f >= 4 * (p + 0.25) * max(1.0, (label > 0).sum() / (label == 0).sum()))
+    telling = (f >= max(2.0, 0.004 * (label > 0).sum())) & (f >= 4 * (p + 0.25) * max(1.0, (label > 0).sum() / (label == 0).sum()))
     part = np.bincount(rows.at, weights=telling[rows.col], minlength=rows.n) / np.maximum(rows.width, 1)
     of_flag = n_flag / np.maximum((label > 0).sum(), 1) > n_plain / np.maximum((label == 0).sum(), 1)
     y = ((part >= 0.35) & of_flag).astype(float)
@@ -228,8 +228,10 @@ def train(texts: list[str], labels: list[str]) -> Chain:
         best = np.zeros(len(label))
         np.maximum.at(best, rows.doc, s[rows.row])
         y = ((s >= 0.5) & of_flag).astype(float)
-        # a flagged document without such a passage gives its worst one, if that is near
-        near = flagged & (best[rows.doc] < 0.5) & (s[rows.row] >= best[rows.doc]) & (best[rows.doc] > 0.15) & (part[rows.row] >= 0.2)
+        # a flagged document without such a passage gives the one with the most telling n-grams, if it has some
+        most = np.zeros(len(label))
+        np.maximum.at(most, rows.doc, part[rows.row] * of_flag[rows.row])
+        near = flagged & (best[rows.doc] < 0.5) & (part[rows.row] >= most[rows.doc]) & (most[rows.doc] >= 0.12)
         y[rows.row[near]] = 1
         y[~of_flag] = 0
         if not y.any():
