@@ -29,7 +29,6 @@ ROUNDS = 60
 CORRELATED = 0.5  # share of its uncertainty that one function must tell of another, given the match variable, to be one factor
 PRIOR = 20.0  # pseudo-pairs by which the rules speak for each factor; they decide only where data are few
 CONFIDENT = 0.65
-STANDS_OUT = 0.08  # name score by which a facility must lead the next where the address does not decide
 
 FUNCTIONS = ("name", "area", "types", "corp", "brand", "place", "pref", "rivals")
 
@@ -179,7 +178,7 @@ def described(matches: DataFrame, facilities: DataFrame) -> DataFrame:
     n = Window.partitionBy("a")
     rank = n.orderBy(F.desc("score"), F.desc("confidence"), "root")
     by_root = by_root.withColumn("any_placed", F.max("placed").over(n)).withColumn("n", F.row_number().over(rank)).withColumn("next", F.lead("score").over(rank))
-    single = (F.col("n") == 1) & (F.col("next").isNull() | (F.col("score") - F.col("next") > STANDS_OUT))
+    single = (F.col("n") == 1) & names.leads("score", "next")
     sure = by_root.where(F.when(F.col("any_placed") == 1, F.col("placed") == 1).otherwise(single))
     rows = sure.select("a", "root", "confidence").join(left_ids.withColumnsRenamed({"form": "a", "rec": "match_id"}), "a")
     members = roots.select("root", "facility_id").distinct()

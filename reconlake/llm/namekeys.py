@@ -104,8 +104,8 @@ _AREA_SOUNDS = sorted(((sound(a), a) for a in AREAS if len(sound(a)) >= 3), key=
 
 
 @lru_cache(maxsize=200_000)
-def name_parts(name: str | None) -> tuple[str, str, str, str, str]:
-    """(corporation, brand, sound of stem and area, area, types) of a typed name."""
+def name_parts(name: str | None) -> tuple[str, str, str, str, str, str]:
+    """(corporation, brand, sound of stem and area, area, types, kanji of the stem) of a typed name."""
     t = canonical(name or "")
     t = re.sub(r"(?<=[ァ-ヺー])ニツク", "ニック", t)
     corp = ""
@@ -146,7 +146,8 @@ def name_parts(name: str | None) -> tuple[str, str, str, str, str]:
             if s.endswith(x) and len(s) > len(x) + 2:
                 area = a
                 break
-    return corp, brand, s, area, "+".join(types + [house] if house else types)
+    han = "".join(c for c in stem if "一" <= c <= "鿿")
+    return corp, brand, s, area, "+".join(types + [house] if house else types), han
 
 
 _DIGIT = {c: i for i, c in enumerate("〇一二三四五六七八九")}

@@ -24,10 +24,12 @@ from reconlake.session import cut, ship_package
 
 Q, Q_FAR = 3, 4  # gram lengths within a municipality and where one side names none
 NEAR, FAR = 0.3, 0.6  # gram overlap that candidates need
+FAR_EDITS = 4
+STANDS_OUT, EXACT, CLOSER = 0.08, 0.985, 0.015  # lead over the next group that decides; less is enough for a name as good as equal
 #: least name score by how far the addresses agree: full number, shared beginning, a slip in the house number, municipality only
 LEAST = {"full": 0.20, "part": 0.45, "slip": 0.60, "city": 0.58, "open": 0.92}
 
-_PARTS = StructType([StructField(n, StringType()) for n in ("corp", "brand", "snd", "area", "types", "pref", "city", "quarter", "nums")])
+_PARTS = StructType([StructField(n, StringType()) for n in ("corp", "brand", "snd", "area", "types", "han", "pref", "city", "quarter", "nums")])
 KEYS = [f.name for f in _PARTS]
 
 
@@ -107,10 +109,16 @@ def name_score(a: dict, b: dict) -> float:
     """Soft token similarity of two names, each token weighted by its rarity."""
     wa, wb = a["w"], b["w"]
     total = got = 0.0
-    for k in ("snd", "area", "types", "corp", "brand"):
+    for k in ("snd", "area", "types", "corp", "brand", "han"):
         x, y = a[k], b[k]
         if not x or not y:
             continue
+        if k == "han":  # spellings in kanji that sound alike are not quite the same
+            if min(len(x), len(y)) >= 2:
+                w = 0.15 * (wa.get("snd", 0.5) + wb.get("snd", 0.5))
+                total += w
+                got += w * len(set(x) & set(y)) / min(len(set(x)), len(set(y)))
+            continue
         w = (wa.get(k, 0.5) + wb.get(k, 0.5)) / 2
         if k == "snd":
             longest = max(len(x), len(y))
@@ -170,9 +178,11 @@ def candidates(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
 
     def overlapping(p: DataFrame) -> DataFrame:
         """Of the pairs without a common municipality those whose grams really overlap."""
-        g = both.select("form", grams(F.col("snd"), Q_FAR).alias("g"))
-        p = p.distinct().join(g.withColumnsRenamed({"form": "a", "g": "ga"}), "a").join(g.withColumnsRenamed({"form": "b", "g": "gb"}), "b")
-        return p.where(F.size(F.array_intersect("ga", "gb")) >= FAR * F.least(F.size("ga"), F.size("gb")) - 1).select("a", "b")
+        g = both.select("form", "snd", grams(F.col("snd"), Q_FAR).alias("g"))
+        p = p.distinct().join(g.withColumnsRenamed({"form": "a", "snd": "sa", "g": "ga"}), "a").join(g.withColumnsRenamed({"form": "b", "snd": "sb", "g": "gb"}), "b")
+        p = p.where(F.size(F.array_intersect("ga", "gb")) >= FAR * F.least(F.size("ga"), F.size("gb")) - 1)
+        # two edits, or swaps that count as two, are all that a score for open addresses allows
+        return p.where(F.levenshtein("sa", "sb", FAR_EDITS) >= 0).select("a", "b")
 
     def of(tokens: DataFrame, forms: DataFrame | None) -> DataFrame:
         return tokens if forms is None else tokens.join(forms.select("form"), "form", "left_semi")
@@ -210,6 +220,12 @@ def passes(rel: Column, score: Column) -> Column:
     return out
 
 
+def leads(score: str, following: str) -> Column:
+    """Whether the best of several groups is clearly the best."""
+    gap = F.col(score) - F.col(following)
+    return F.col(following).isNull() | (gap > STANDS_OUT) | ((F.col(score) >= EXACT) & (gap > CLOSER))
+
+
 def groups(recs: DataFrame) -> DataFrame:
     """(rec, root) of all records with a name; root is the same for records that mean one facility."""
     ship_package(recs.sparkSession)
@@ -230,7 +246,7 @@ def groups(recs: DataFrame) -> DataFrame:
     ends = ends.groupBy("f", "gr").agg(F.max("score").alias("score"), F.min("g").alias("g"))
     rank = Window.partitionBy("f").orderBy(F.desc("score"), "gr")
     ends = ends.withColumn("n", F.row_number().over(rank)).withColumn("next", F.lead("score").over(rank))
-    single = ends.where("n = 1 and (next is null or score - next > 0.08)").select(F.col("f").alias("a"), F.col("g").alias("b"))
+    single = ends.where((F.col("n") == 1) & leads("score", "next")).select(F.col("f").alias("a"), F.col("g").alias("b"))
     # and to each other where the names are as good as equal and neither names a municipality
     loose = open_.where("score >= 0.97").join(placed.where("not has_city").select(F.col("f").alias("a")), "a").join(placed.where("not has_city").select(F.col("f").alias("b")), "b").select("a", "b")
     fitted = single.select(F.col("a").alias("f")).distinct()
