@@ -29,6 +29,7 @@ ROUNDS = 60
 CORRELATED = 0.5  # share of its uncertainty that one function must tell of another, given the match variable, to be one factor
 PRIOR = 20.0  # pseudo-pairs by which the rules speak for each factor; they decide only where data are few
 CONFIDENT = 0.65
+LEAST_OPEN = 0.92  # least name score where no municipality is stated on one side
 
 FUNCTIONS = ("name", "area", "types", "corp", "brand", "place", "pref", "rivals")
 
@@ -173,8 +174,10 @@ def described(matches: DataFrame, facilities: DataFrame) -> DataFrame:
     judged = cut(confidences(votes).select("a", "b", "place", "score", "confidence"))
     groups = cut(names.groups(right_recs))  # (rec, root)
     roots = right_ids.join(groups, "rec").select(F.col("form").alias("b"), "root", F.col("rec").alias("facility_id"))
-    by_root = judged.where((F.col("confidence") >= CONFIDENT) & (F.col("place") != "apart")).join(roots.select("b", "root").distinct(), "b")
-    by_root = by_root.groupBy("a", "root").agg(F.max("confidence").alias("confidence"), F.max(F.when(F.col("place") == "open", 0).otherwise(1)).alias("placed"), F.max("score").alias("score"))
+    # where no house number decides, the names must carry the match
+    named = F.col("place").isin(*names.FIRM) | ((F.col("place") == "city") & (F.col("score") >= names.LEAST["city"])) | ((F.col("place") == "open") & (F.col("score") >= LEAST_OPEN))
+    by_root = judged.where((F.col("confidence") >= CONFIDENT) & named).join(roots.select("b", "root").distinct(), "b")
+    by_root = by_root.groupBy("a", "root").agg(F.max("confidence").alias("confidence"), F.max(F.when(F.col("place").isin(*names.FIRM), 1).otherwise(0)).alias("placed"), F.max("score").alias("score"))
     n = Window.partitionBy("a")
     rank = n.orderBy(F.desc("score"), F.desc("confidence"), "root")
     by_root = by_root.withColumn("any_placed", F.max("placed").over(n)).withColumn("n", F.row_number().over(rank)).withColumn("next", F.lead("score").over(rank))

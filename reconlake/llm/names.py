@@ -27,7 +27,8 @@ NEAR, FAR = 0.3, 0.6  # gram overlap that candidates need
 FAR_EDITS = 4
 STANDS_OUT, EXACT, CLOSER = 0.08, 0.985, 0.015  # lead over the next group that decides; less is enough for a name as good as equal
 #: least name score by how far the addresses agree: full number, shared beginning, a slip in the house number, municipality only
-LEAST = {"full": 0.20, "part": 0.45, "slip": 0.60, "city": 0.58, "open": 0.92}
+LEAST = {"full": 0.20, "part": 0.45, "slip": 0.60, "city": 0.62, "open": 0.92}
+FIRM = ("full", "part", "slip")
 
 _PARTS = StructType([StructField(n, StringType()) for n in ("corp", "brand", "snd", "area", "types", "han", "pref", "city", "quarter", "nums")])
 KEYS = [f.name for f in _PARTS]
@@ -214,9 +215,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def passes(rel: Column, score: Column) -> Column:
     out = F.lit(False)
-    for r, least in LEAST.items():
-        if r != "open":
-            out = out | ((rel == r) & (score >= least))
+    for r in FIRM:
+        out = out | ((rel == r) & (score >= LEAST[r]))
     return out
 
 
@@ -234,11 +234,13 @@ def groups(recs: DataFrame) -> DataFrame:
     links = cut(scored(candidates(forms), forms).where("relation != 'apart'"))
     firm = links.where(passes(F.col("relation"), F.col("score"))).select("a", "b")
     roots = components(forms.select(F.col("form").alias("node")), firm)
-    # forms without a municipality: to the one group that fits, the best by score if it stands out
-    open_ = links.where((F.col("relation") == "open") & (F.col("score") >= LEAST["open"]))
-    placed = forms.select(F.col("form").alias("f"), (F.col("city") != "").alias("has_city"))
+    # forms without a house number: to the one group that fits, the best by score if it stands out
+    open_ = links.where(
+        ((F.col("relation") == "open") & (F.col("score") >= LEAST["open"])) | ((F.col("relation") == "city") & (F.col("score") >= LEAST["city"]))
+    )
+    placed = forms.select(F.col("form").alias("f"), (F.col("nums") != "").alias("placed"))
     ends = open_.select(F.col("a").alias("f"), F.col("b").alias("g"), "score").unionByName(open_.select(F.col("b").alias("f"), F.col("a").alias("g"), "score"))
-    ends = ends.join(placed.where("not has_city").select("f"), "f").join(placed.where("has_city").select(F.col("f").alias("g")), "g")
+    ends = ends.join(placed.where("not placed").select("f"), "f").join(placed.where("placed").select(F.col("f").alias("g")), "g")
     # a group's prefecture is known from any of its forms
     homes = roots.join(forms.select(F.col("form").alias("node"), "pref"), "node").groupBy(F.col("root").alias("gr")).agg(F.max("pref").alias("home"))
     ends = ends.join(roots.select(F.col("node").alias("g"), F.col("root").alias("gr")), "g").join(homes, "gr")
@@ -247,8 +249,10 @@ def groups(recs: DataFrame) -> DataFrame:
     rank = Window.partitionBy("f").orderBy(F.desc("score"), "gr")
     ends = ends.withColumn("n", F.row_number().over(rank)).withColumn("next", F.lead("score").over(rank))
     single = ends.where((F.col("n") == 1) & leads("score", "next")).select(F.col("f").alias("a"), F.col("g").alias("b"))
-    # and to each other where the names are as good as equal and neither names a municipality
-    loose = open_.where("score >= 0.97").join(placed.where("not has_city").select(F.col("f").alias("a")), "a").join(placed.where("not has_city").select(F.col("f").alias("b")), "b").select("a", "b")
+    # and to each other where neither has a number and the names are as good as equal, or alike in one municipality
+    alike = ((F.col("relation") == "open") & (F.col("score") >= 0.97)) | ((F.col("relation") == "city") & (F.col("score") >= 0.85))
+    bare = placed.where("not placed").select("f")
+    loose = open_.where(alike).join(bare.withColumnRenamed("f", "a"), "a").join(bare.withColumnRenamed("f", "b"), "b").select("a", "b")
     fitted = single.select(F.col("a").alias("f")).distinct()
     loose = loose.join(fitted.withColumnRenamed("f", "a"), "a", "left_anti").join(fitted.withColumnRenamed("f", "b"), "b", "left_anti")
     more = single.unionByName(loose)
