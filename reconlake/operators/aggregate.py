@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,12 @@ def share(df: DataFrame, unit: str, of: str, places: int = 4) -> DataFrame:
     return n.crossJoin(F.broadcast(total)).select(of, "n", F.round(F.col("n") / F.col("_t"), places).alias("share"))
 
 
+def merged_evidence(explicit: Column, inferred: Column, replace: bool = True) -> Column:
+    """Explicit evidence in place of inferred where there is any, or both together; nulls count as none."""
+    e, i = (F.coalesce(c, F.array().cast("array<string>")) for c in (explicit, inferred))
+    return F.when(F.size(e) > 0, e).otherwise(i) if replace else F.array_union(e, i)
+
+
 def counter(df: DataFrame, values: str, name: str = "value") -> DataFrame:
     """(value, n) of an array column's entries."""
     return df.select(F.explode(values).alias(name)).groupBy(name).agg(F.count("*").alias("n"))

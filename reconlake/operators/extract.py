@@ -89,6 +89,14 @@ def snippet(text: Column, pattern: str, before: int, after: int) -> Column:
     return F.regexp_extract(text, f"(?s)(.{{0,{before}}}(?:{pattern}).{{0,{after}}})", 1)
 
 
+def best_occurrence(text: Column, spans: Column, bonus: str, reach: int = 40) -> Column:
+    """The (start, hit) of the first match whose surroundings show the bonus pattern, else of the first match; null if there is none."""
+    around = lambda s: F.substring(text, F.greatest(s["start"] - reach + 1, F.lit(1)), F.lit(2 * reach) + F.length(s["hit"]))
+    ranked = F.transform(spans, lambda s: F.struct(F.when(around(s).rlike(bonus), 0).otherwise(1).alias("late"), s["start"].alias("start"), s["hit"].alias("hit")))
+    best = F.get(F.array_sort(ranked), F.lit(0))
+    return F.when(best.isNotNull(), F.struct(best["start"].alias("start"), best["hit"].alias("hit")))
+
+
 def chunks(text: Column, boundary: str) -> Column:
     """The text cut before each boundary."""
     return F.filter(F.split(text, f"(?={boundary})"), lambda c: F.trim(c) != "")

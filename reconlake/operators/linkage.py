@@ -58,9 +58,10 @@ def ratio_score(a: str, b: str) -> Column:
     return F.when(F.col(a) == F.col(b), 1.0).otherwise(seq_ratio(a, b))
 
 
-def preceding(df: DataFrame, key: str, order: list[str], value: Column, name: str) -> DataFrame:
-    """df with the last non-null value of the rows before, within the key."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+def preceding(df: DataFrame, key: str, order: list[str], value: Column, name: str, reach: int | None = None, own: bool = False) -> DataFrame:
+    """df with the last non-null value of the rows before, within the key; of the last `reach` rows if given, own row included if so."""
+    first = Window.unboundedPreceding if reach is None else -reach
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(first, 0 if own else -1)
     return df.withColumn(name, F.last(value, True).over(w))
 
 

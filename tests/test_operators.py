@@ -155,3 +155,18 @@ def test_name_mentions(spark, monkeypatch):
     names = spark.createDataFrame([("abcd",), ("efgh",), ("zzzz",), ("ab",), (None,)], "n string")
     assert sorted(tuple(r) for r in X.name_mentions(df, "k", "t", names, "n").collect()) == [(1, "abcd"), (1, "efgh"), (3, "abcd"), (3, "efgh")]
     assert X.name_mentions(df, "k", "t", names.limit(0), "n").count() == 0
+
+
+def test_preceding_within_reach(spark):
+    df = spark.createDataFrame([(1, i, v) for i, v in enumerate(["a", None, None, None, None, "b"])], "k long, i long, v string")
+    got = [r.p for r in L.preceding(df, "k", ["i"], F.col("v"), "p", 3, own=True).orderBy("i").collect()]
+    assert got == ["a", "a", "a", "a", None, "b"]
+
+
+def test_best_occurrence_and_evidence(spark):
+    df = spark.createDataFrame([("5円 " + "x" * 60 + " 費用 7円",), ("none",)], "t string").withColumn("s", T.regex_spans("[0-9]円")("t"))
+    got = [r.b for r in df.select(X.best_occurrence(F.col("t"), F.col("s"), "費用", 10).alias("b")).collect()]
+    assert got[0].hit == "7円" and got[1] is None
+    e = spark.createDataFrame([(["x"], ["y"]), (None, ["y"])], "e array<string>, i array<string>")
+    assert [r[0] for r in e.select(A.merged_evidence(F.col("e"), F.col("i"))).collect()] == [["x"], ["y"]]
+    assert [r[0] for r in e.select(A.merged_evidence(F.col("e"), F.col("i"), False)).collect()] == [["x", "y"], ["y"]]
