@@ -19,10 +19,10 @@ def first_nonempty(df: DataFrame, keys: list[str], columns: list[str], order: st
 
 
 def share(df: DataFrame, unit: str, of: str, places: int = 4) -> DataFrame:
-    """(of, n, share): distinct pairs counted by `of`, as a share of all pairs. Pre-aggregated: the total is one row."""
+    """(of, n, share): distinct pairs counted by `of`, as a share of all pairs. The total is one number, taken from the counts."""
     n = df.select(unit, of).where(F.col(of).isNotNull()).distinct().groupBy(of).agg(F.count("*").alias("n"))
-    total = n.agg(F.sum("n").alias("_t"))
-    return n.crossJoin(F.broadcast(total)).select(of, "n", F.round(F.col("n") / F.col("_t"), places).alias("share"))
+    total = n.agg(F.sum("n")).first()[0] or 1  # one number
+    return n.select(of, "n", F.round(F.col("n") / F.lit(total), places).alias("share"))
 
 
 def merged_evidence(explicit: Column, inferred: Column, replace: bool = True) -> Column:

@@ -544,11 +544,13 @@ def first_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 (SELECT map(list(product), list(canonical_product)) AS m FROM product_registry)""".replace("list_distinct(", "list_sort(list_distinct(").replace("x))), '|')", "x)))), '|')"))
 def canonical_unique_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical names of |-separated products by exact lookup, each once."""
-    registry = load(spark, sf_dir, "product_registry").agg(F.map_from_entries(F.collect_list(F.struct("product", "canonical_product"))).alias("m"))
-    p = load(spark, sf_dir, "price_stage").where("products is not null")
+    registry = load(spark, sf_dir, "product_registry").select("product", "canonical_product").limit(10_001).collect()
+    if len(registry) > 10_000:
+        raise ValueError("the list is too long for a literal; use mapping by join")
+    m = F.map_from_arrays(F.array(*[F.lit(r[0]) for r in registry]), F.array(*[F.lit(r[1]) for r in registry]))
     v = F.transform(F.split("products", r"\|"), lambda x: F.trim(x))
-    joined = p.select("row_id", v.alias("v")).crossJoin(F.broadcast(registry))  # one row: the reference list as a map
-    return joined.select("row_id", F.array_join(F.array_sort(T.canonical_unique(F.col("v"), F.col("m"))), "|").alias("canon"))
+    p = load(spark, sf_dir, "price_stage").where("products is not null")
+    return p.select("row_id", F.array_join(F.array_sort(T.canonical_unique(v, m)), "|").alias("canon"))
 
 
 @query("""SELECT CASE WHEN t.plan_id IS NULL THEN 'unknown' WHEN p.n IS NULL THEN 'queued' WHEN p.open > 0 THEN 'processing' ELSE 'complete' END AS phase, CAST(count(*) AS BIGINT) AS n FROM treatment_plan t LEFT JOIN (SELECT plan_id, count(*) AS n, count_if(amount IS NULL) AS open FROM price_stage GROUP BY plan_id) p USING (plan_id) GROUP BY 1""")

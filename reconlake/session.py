@@ -80,6 +80,11 @@ def small_enough(df: DataFrame, max_bytes: int) -> bool:
     return int(str(size)) <= max_bytes
 
 
+def bounded(df: DataFrame, most: int) -> DataFrame:
+    """Broadcast hint if df really has at most `most` rows, counted; otherwise the join stays a shuffle join."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def maybe_broadcast(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
     """Broadcast hint only behind a size check; otherwise the join stays a shuffle join under AQE."""
     return F.broadcast(df) if small_enough(df, max_bytes) else df
