@@ -50,6 +50,9 @@ def protected_patterns(names: Iterable[str]) -> list[tuple[str, str]]:
             blank_l, blank_r = ("\\s*" if m[i] else gap for i in (2, 4))
             wide = {"/": "[/／]", ",": "[,，]", "+": "[+＋]", ";": "[;；]", "|": "[|｜]"}.get(m[3], re.escape(m[3]))
             before = f"(?<!{_LETTER})" if m[1][0].isascii() else ""
+            stem = re.search(r"(\w)\s+$", name[: m.start()])
+            if before and stem:  # the name may be written without its blank
+                before = f"(?:{before}|(?<={letter_class(stem[1])}))"
             after = f"(?!{_LETTER})" if m[5][-1].isascii() else ""
             out[f"{before}({left}{blank_l})({wide})({blank_r}{right}){after}"] = m[3]
     return sorted(out.items())

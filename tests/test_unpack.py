@@ -19,13 +19,13 @@ def test_delimiters_names_and_quotes(spark):
     rows = [
         "a|b", "a ; b", "a、b／c", "a\nb\tc", "①a ②b", "1) a 2) b", '["a", "b, c"]', '"a","b;c"', "x + y", "a| |b|",
         "Corvanex A/B|N/A", "corvanex a/b/Kinedra", "オルト・ラボラ・Orthenna", "Hokurei Bio, Inc., Seiwanel", "Corvanex",
-        "コルバネクスA/B キット", "Velmatrix (PRP)", "a / b, c | d",
+        "コルバネクスA/B キット", "Velmatrix (PRP)", "a / b, c | d", "CorvanexA/B|x",
     ]
     got, _ = values(spark, rows)
     assert got == [
         ["a", "b"], ["a", "b"], ["a", "b", "c"], ["a", "b", "c"], ["a", "b"], ["a", "b"], ["a", "b, c"], ["a", "b;c"], ["x", "y"], ["a", "b"],
         ["Corvanex A/B", "N/A"], ["corvanex a/b", "Kinedra"], ["オルト・ラボラ", "Orthenna"], ["Hokurei Bio, Inc.", "Seiwanel"], ["Corvanex"],
-        ["コルバネクスA/B キット"], ["Velmatrix (PRP)"], ["a", "b", "c", "d"],
+        ["コルバネクスA/B キット"], ["Velmatrix (PRP)"], ["a", "b", "c", "d"], ["CorvanexA/B", "x"],
     ]
 
 
