@@ -29,11 +29,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reconlake.session import cut, ship_package
+from reconlake.session import bounded, cut, ship_package
 
 TOKENIZER_DIR = os.environ.get("RECONLAKE_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SEED = 20
+MAX_SOURCES = 10_000  # up to so many targets are broadcast, more are joined by shuffle
 BUCKETS = 1024  # of the shuffle order, per source and round
 
 
@@ -84,7 +85,7 @@ def reachable_budget(supply: DataFrame) -> int:
 def _queue(counts: DataFrame, supply: DataFrame, seed: int, budget: int) -> DataFrame:
     """One row per use of a document with its virtual finish time; uses beyond the budget's need are not made."""
     whole = supply.where("tokens > 0").withColumn("_rounds", F.least("max_repeat", F.ceil(F.col("weight") * budget / F.col("tokens")) + 1))
-    rows = counts.where("n_tokens > 0").join(F.broadcast(whole.select("source", "weight", "tokens", "_rounds")), "source")
+    rows = counts.where("n_tokens > 0").join(bounded(whole.select("source", "weight", "tokens", "_rounds"), MAX_SOURCES), "source")
     rows = rows.withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_rounds").cast("bigint"))))
     h = F.xxhash64(F.lit(seed), "copy_no", "doc_id")
     rows = rows.withColumn("_h", h).withColumn("_b", F.shiftrightunsigned("_h", 54).cast("int"))
