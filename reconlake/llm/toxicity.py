@@ -29,7 +29,7 @@ from reconlake.session import ship_package
 
 CATEGORIES = ("abuse", "hate", "sexual")  # order of the chain
 MAX_FLAGGED = 1200
-MAX_PLAIN = 2400
+MAX_PLAIN = 1800
 BITS = 18
 SIZES = (2, 3, 4)  # n-gram lengths
 FOLDS = 2
@@ -129,9 +129,10 @@ class _Rows:
 
     def __init__(self, texts: list[str]) -> None:
         c, passage, of = passages(texts)
-        parts = list(features(c, passage))
-        bucket = np.concatenate([b for b, _ in parts]) if parts else np.empty(0, np.int64)
-        row = np.concatenate([p for _, p in parts]) if parts else np.empty(0, np.int64)
+        parts = [(b.astype(np.int32), p.astype(np.int32)) for b, p in features(c, passage)]  # half the memory while sorting
+        bucket = np.concatenate([b for b, _ in parts]) if parts else np.empty(0, np.int32)
+        row = np.concatenate([p for _, p in parts]) if parts else np.empty(0, np.int32)
+        del parts
         length = np.bincount(passage[c != _BOUNDARY], minlength=len(of))
         # equal passages are one row: identified by the sum of their hashed n-grams
         draw = np.random.default_rng(7).random(1 << BITS)
@@ -142,15 +143,16 @@ class _Rows:
         self.doc = of[ids]
         self.row = inverse
         chosen = ids[first]
-        renumber = np.full(len(of), -1)
+        renumber = np.full(len(of), -1, dtype=np.int32)
         renumber[chosen] = np.arange(len(chosen))
         r = renumber[row]
+        del row, sign, c, passage
         bucket, r = bucket[r >= 0], r[r >= 0]
         often = np.bincount(bucket, minlength=1 << BITS) > 1  # a bucket of one place teaches nothing
         bucket, r = bucket[often[bucket]], r[often[bucket]]
         order = np.argsort(r, kind="stable")
         self.used, self.col = np.unique(bucket[order], return_inverse=True)
-        self.at = r[order]
+        self.at = r[order].astype(np.int64)
         self.n = len(chosen)
         self.scale = 1 / np.sqrt(np.maximum(length[chosen], 10))
         self.width = np.bincount(self.at, minlength=self.n)
