@@ -5,8 +5,8 @@ enough seeds are joined; a Smith-Waterman alignment, weighted by how particular
 scores how much of the item the document repeats in order. Wording that many items share weighs little.
 
 Items are taken in blocks of ITEM_BLOCK (a stated query set against all documents), so what is sent to the
-tasks is bounded. Whole texts are searched. A seed is rare relative to the other seeds of its own item, so an
-item copied into a third of all documents keeps its seeds.
+tasks is bounded. Whole texts are searched. Every document and item that share enough seeds are aligned, however
+many documents hold the same seeds; equal passages of an item are aligned once for each batch of documents.
 
 Null or empty texts and items match nothing; repeated documents each get their rows; empty tables give none.
 """
@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reconlake.session import cut, ship_package
+from reconlake.session import ship_package
 
 ITEM_BLOCK = 4000
 WIDE_SCRIPT = 6  # seed length in characters for text in kana and kanji
@@ -33,7 +33,7 @@ SHARED_BY = 4  # a seed that more items than this contain is no seed
 PLACE = {6: 3, 11: 5}  # by seed length: length of the n-gram that tells how particular a place is
 SEED_SHARE = 0.12  # share of an item's weight that its seeds in a document must cover to be aligned
 LEAK_SHARE = 0.38  # aligned share of an item's weight from which it counts as leaked
-RELATIVE_RARITY = 20  # a seed in more documents than this times the item's typical seed is dropped
+MAX_PAIRS = 20_000  # pairs of documents and items that wait for their alignment in one task
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 22
 
@@ -173,44 +173,38 @@ def window(text: str, places: list[int], reach: int) -> str:
     return text[max(0, start - reach) : start + 2 * reach]
 
 
+def _align_pairs(items: Items, found: list[tuple[int, int, str]]) -> pd.DataFrame:
+    """Scores of (doc_id, place of the item in the block, passage); equal passages of an item are aligned once."""
+    by_item: dict[int, dict[str, list[int]]] = {}
+    for doc, k, passage in found:
+        by_item.setdefault(k, {}).setdefault(passage, []).append(doc)
+    out = []
+    for k, docs_of in by_item.items():
+        passages = list(docs_of)
+        for a in range(0, len(passages), 128):
+            part = passages[a : a + 128]
+            score = align(items.text[k], items.weight[k], part)
+            out += [(doc, items.ids[k], float(s)) for p, s in zip(part, score, strict=True) for doc in docs_of[p]]
+    return pd.DataFrame(out, columns=["doc_id", "item_id", "score"])
+
+
 def _search(block: tuple[tuple[int, str], ...]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         items = _items(block)
         for b in batches:
-            out = []
+            found = []
             for doc, raw in zip(b["doc_id"], b["text"], strict=True):
                 text = plain(raw)
                 if not text:
                     continue
-                for k, found in items.hits(text).items():
+                for k, hits in items.hits(text).items():
                     n = seed_length(items.text[k])
-                    if items.seed_share(k, {p for _, p, _ in found}, n) >= SEED_SHARE:
-                        reach = len(items.text[k]) + 40
-                        out.append((doc, items.ids[k], sorted({s for s, _, _ in found}), window(text, [j for _, _, j in found], reach)))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "seeds", "passage"])
-
-    return run
-
-
-def _score(block: tuple[tuple[int, str], ...], common: dict[int, set[int]]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items = _items(block)
-        index = {i: k for k, i in enumerate(items.ids)}
-        for b in batches:
-            out = []
-            for item, rows in b.groupby("item_id"):
-                k = index[item]
-                n, dropped = seed_length(items.text[k]), common.get(item, set())
-                keep = []
-                for doc, seeds, passage in zip(rows["doc_id"], rows["seeds"], rows["passage"], strict=True):
-                    places = {p for s in seeds if s not in dropped for kk, p in items.gram_of[s][1] if kk == k}
-                    if items.seed_share(k, places, n) >= SEED_SHARE:
-                        keep.append((doc, passage))
-                for a in range(0, len(keep), 128):
-                    part = keep[a : a + 128]
-                    score = align(items.text[k], items.weight[k], [p for _, p in part])
-                    out += [(doc, item, float(s)) for (doc, _), s in zip(part, score, strict=True)]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "score"])
+                    if items.seed_share(k, {p for _, p, _ in hits}, n) >= SEED_SHARE:
+                        found.append((doc, k, window(text, [j for _, _, j in hits], len(items.text[k]) + 40)))
+                if len(found) >= MAX_PAIRS:
+                    yield _align_pairs(items, found)
+                    found = []
+            yield _align_pairs(items, found)
 
     return run
 
@@ -224,15 +218,7 @@ def scores(documents: DataFrame, items: DataFrame) -> DataFrame:
     total = None
     for a in range(0, max(len(rows), 1), ITEM_BLOCK):
         block = tuple(rows[a : a + ITEM_BLOCK])
-        found = cut(docs.mapInPandas(_search(block), "doc_id bigint, item_id bigint, seeds array<int>, passage string"))
-        counts = found.select("item_id", F.explode("seeds").alias("seed")).groupBy("item_id", "seed").count()
-        typical = counts.groupBy("item_id").agg(F.percentile_approx("count", 0.25).alias("typical"))
-        # at most as many rows as the block has seeds
-        often = counts.join(typical, "item_id").where(F.col("count") > RELATIVE_RARITY * F.col("typical")).select("item_id", "seed").collect()
-        common: dict[int, set[int]] = {}
-        for r in often:
-            common.setdefault(r.item_id, set()).add(r.seed)
-        part = found.mapInPandas(_score(block, common), "doc_id bigint, item_id bigint, score double")
+        part = docs.mapInPandas(_search(block), "doc_id bigint, item_id bigint, score double")
         total = part if total is None else total.unionByName(part)
     return total
 

@@ -59,6 +59,15 @@ def test_item_in_most_documents_keeps_its_seeds(spark):
     assert leaks.leaked(d, i).where("item_id = 1").count() == 300
 
 
+def test_partial_leaks_beside_a_whole_copy(spark):
+    one = ITEMS[0][1]
+    part = one[: int(len(one) * 0.45)]
+    d = spark.createDataFrame([(0, one)] + [(k, f"別の報告{k}。{part}") for k in range(1, 31)], "doc_id long, text string")
+    i = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert leaks.scores(d, i).where("item_id = 1").count() == 31
+    assert leaks.leaked(d, i, 0.3).where("item_id = 1").count() == 31
+
+
 def documents(spark):
     text = {"a": "one two three four", "b": "five six seven", "c": "eight"}
     rows = [(n * 10 + j, text[s], s) for n, s in enumerate("abc") for j in range({"a": 9, "b": 9, "c": 3}[s])] + [(90, None, "a"), (91, "", "a"), (92, "x", None), (93, "x", "z")]
