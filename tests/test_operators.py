@@ -132,6 +132,38 @@ def test_best_in_block_against_brute_force(spark):
     assert [tuple(x) for x in L.best_in_block(left, right, "l", "r", ["b"], score, 0.62).collect()] == [(1, 4, 0.75)]
 
 
+@pytest.mark.parametrize("name", ["fuzzy_blocked_best_match", "sequence_ratio_best_match"])
+def test_best_match_queries_against_brute_force(spark, name):
+    import difflib
+
+    from reconlake.plans import engine_queries as E
+
+    data = "/root/testdata/sf0.01"
+    left, right = (x.collect() for x in E._named_places(spark, data))
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    def score(a, b):
+        if name.startswith("sequence"):
+            return difflib.SequenceMatcher(None, a, b).ratio()
+        return round(1 - distance(a, b) / max(len(a), len(b)), 4)
+
+    want = {}
+    for a in left:
+        near = [b for b in right if a.place is None or b.place is None or a.place == b.place]
+        best = max(((score(a.lk, b.rk), -b.match_id) for b in near if a.lk and b.rk), default=(0, 0))
+        if best[0] >= 0.62:
+            want[a.facility_id] = (-best[1], round(best[0], 6))
+    got = {r.facility_id: (r.match_id, round(r.score, 6)) for r in E.QUERIES[name](spark, data).collect()}
+    assert got == want and len(want) > 100
+
+
 def test_aggregates(spark):
     df = spark.createDataFrame([("f", "b", 1, "x"), ("f", "a", 2, None), ("f", "a", 3, ""), ("g", None, 4, "y")], "k string, m string, o long, s string")
     rows = {r.k: r for r in A.evidence_union(df, ["k"], {"ms": "m"}, {"last": "s"}, "o").collect()}
