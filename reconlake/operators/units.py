@@ -1,13 +1,13 @@
 """Quantities recorded in different units: every price in yen, tax included, for one treatment (problem 6).
 
 Method: the histories of a source (facility and plan, by time) are laid on one log scale with the unit
-each row states; an exact penalised changepoint search (dynamic programming with pruning) segments each
+each row states; an exact penalised changepoint search (dynamic programming with functional pruning) segments each
 history, and a segment of rows that state no scale whose level lies a known factor below or above the
 stated level of its history is taken as recorded in that other unit and converted back.
 The unit itself is most often stated in words, and those statements hold over the segmentation.
 
-Hot histories do not become one task: rows are range-partitioned by (source, time, row) so that a long
-history spans many partitions, and each is searched in blocks of at most BLOCK rows.
+A history is searched as a whole, in one task, wherever its rows lie. Only histories in which some row states
+no scale and levels lie a known factor apart need the search; the rows of all others are spread over all tasks.
 
 Nulls: without amount and without a price in words a row has no price; without any statement on tax it
 has none either. Repeated rows are converted row by row. Empty tables give an empty result.
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from reconlake.functions.confusables import narrow
 from reconlake.session import ship_package
 
-BLOCK = 4096  # rows of one history searched at once
 PENALTY = 2.0  # cost of one more segment, in squared log10 units
 KNOWN_FACTORS = (3.0, 4.0)  # log10: thousands and ten thousands of yen
 TOLERANCE = 0.45  # log10; prices of one plan differ by less
@@ -111,23 +110,45 @@ def read_statement(tax: str | None, unit: str | None) -> tuple[int | None, float
 
 
 def segments(x: np.ndarray, penalty: float = PENALTY) -> list[tuple[int, int]]:
-    """Exact optimal partitioning of x by squared error plus penalty a segment, with pruning: [start, end) pairs."""
+    """Exact optimal partitioning of x by squared error plus penalty a segment: [start, end) pairs.
+
+    Functional pruning: the line of levels is kept in pieces, each with the start of the last segment that is best
+    there; there are few pieces however long a segment is.
+    """
     n = len(x)
-    s1, s2 = np.concatenate([[0.0], np.cumsum(x)]), np.concatenate([[0.0], np.cumsum(x * x)])
-    best = np.full(n + 1, np.inf)
-    best[0] = -penalty
-    last = np.zeros(n + 1, dtype=np.int64)
-    live = np.array([0])
+    s1, s2 = np.concatenate([[0.0], np.cumsum(x)]).tolist(), np.concatenate([[0.0], np.cumsum(x * x)]).tolist()
+    low, high = float(x.min()), float(x.max())
+    best, last = [-penalty] + [0.0] * n, [0] * (n + 1)
+    pieces = [(low, high, 0)]
     for t in range(1, n + 1):
-        k = t - live
-        cost = best[live] + (s2[t] - s2[live]) - (s1[t] - s1[live]) ** 2 / k
-        j = int(np.argmin(cost))
-        best[t], last[t] = cost[j] + penalty, live[j]
-        live = np.append(live[cost <= best[t]], t)
+        least, start, costs = np.inf, 0, []
+        for lo, hi, k in pieces:
+            m, b = t - k, s1[t] - s1[k]
+            mean = b / m
+            floor = best[k] + penalty + (s2[t] - s2[k]) - b * mean
+            at = min(max(mean, lo), hi)
+            value = floor + m * (at - mean) ** 2
+            costs.append((mean, floor, m))
+            if value < least:
+                least, start = value, k
+        best[t], last[t] = least, start
+        new = []
+        for (lo, hi, k), (mean, floor, m) in zip(pieces, costs, strict=True):
+            room = least + penalty - floor
+            half = (room / m) ** 0.5 if room >= 0 else -1.0
+            a, z = max(lo, mean - half), min(hi, mean + half)
+            parts = [(lo, a, t), (a, z, k), (z, hi, t)] if half >= 0 and a <= z else [(lo, hi, t)]
+            for u, v, j in parts:
+                if v > u or lo == hi and j == k:
+                    if new and new[-1][2] == j:
+                        new[-1] = (new[-1][0], v, j)
+                    else:
+                        new.append((u, v, j))
+        pieces = new
     out, t = [], n
     while t > 0:
-        out.append((int(last[t]), t))
-        t = int(last[t])
+        out.append((last[t], t))
+        t = last[t]
     return out[::-1]
 
 
@@ -152,69 +173,95 @@ def unit_shift(levels: np.ndarray, stated: np.ndarray) -> np.ndarray:
     return shift
 
 
+def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What each row states: told (tax), treatments, total in the unit it states, and its level."""
+    for rows in batches:
+        told = [read_statement(t, u) for t, u in zip(rows["tax"], rows["unit"], strict=True)]
+        words = np.array([np.nan if x[3] is None else x[3] for x in told], dtype=float)
+        amount = pd.to_numeric(rows["amount"]).to_numpy(dtype=float, na_value=np.nan)
+        scale = np.array([np.nan if x[1] is None else x[1] for x in told], dtype=float)
+        count = np.array([x[2] for x in told], dtype=float)
+        from_words = np.isnan(amount)
+        total = np.where(from_words, words, amount * np.where(np.isnan(scale), 1.0, scale))
+        ok = total > 0
+        out = rows[["row_id", "amount", "_source", "checked_at"]].copy()
+        out["told"] = pd.array([x[0] for x in told], dtype="Int64")
+        out["treatments"] = count
+        out["total"] = pd.Series(np.where(ok, total, 0.0), index=out.index).astype(object).where(ok, None)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out["level"] = pd.Series(np.log10(total / count), index=out.index).astype(object).where(ok, None)
+        out["stated"] = from_words | ~np.isnan(scale)
+        yield out
+
+
 def _convert(rows: pd.DataFrame) -> pd.DataFrame:
-    """yen of the rows of complete blocks, sorted by source and time."""
-    told = [read_statement(t, u) for t, u in zip(rows["tax"], rows["unit"], strict=True)]
-    tax = np.array([np.nan if x[0] is None else x[0] for x in told], dtype=float)
-    count = np.array([x[2] for x in told], dtype=float)
-    words = np.array([np.nan if x[3] is None else x[3] for x in told], dtype=float)
-    amount = pd.to_numeric(rows["amount"]).to_numpy(dtype=float, na_value=np.nan)
-    scale = np.array([np.nan if x[1] is None else x[1] for x in told], dtype=float)
-    from_words = np.isnan(amount)
-    total = np.where(from_words, words, amount * np.where(np.isnan(scale), 1.0, scale))
-    total = np.where(total > 0, total, np.nan)
-    stated = from_words | ~np.isnan(scale)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        level = np.log10(total / count)
+    """yen of the rows of whole histories, sorted by source and time; rows without a source are not searched."""
+    def numbers(name: str) -> np.ndarray:
+        return pd.to_numeric(rows[name]).to_numpy(dtype=float, na_value=np.nan)
+
+    tax, count, total, level = (numbers(c) for c in ("told", "treatments", "total", "level"))
+    stated = rows["stated"].to_numpy(dtype=bool)
     key = rows["_source"].to_numpy()
-    edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     shift = np.zeros(len(rows))
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
-        for s in range(a, b, BLOCK):
-            e = min(s + BLOCK, b)
-            if e - s > 1:
-                shift[s:e] = unit_shift(level[s:e], stated[s:e])
+    if len(rows) and rows["_source"].notna().any():
+        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if key[a] is not None:
+                shift[a:b] = unit_shift(level[a:b], stated[a:b])
     total = np.round(total * 10.0**shift)
     # (total * 11) / (10 * count) where tax is left out; half a yen rounds up
     yen = np.where(tax == 1, np.floor((2 * total + count) / (2 * count)), np.floor((22 * total + 10 * count) / (20 * count)))
     yen[np.isnan(tax) | np.isnan(total)] = np.nan
     return pd.DataFrame({
         "row_id": rows["row_id"].to_numpy(),
-        "amount": pd.array(amount, dtype="Float64").astype("Int64"),
+        "amount": pd.array(numbers("amount"), dtype="Float64").astype("Int64"),
         "yen": pd.array(yen, dtype="Float64").astype("Int64"),
         "factor": 10.0**shift,
     })
 
 
 def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Convert a sorted partition; the open history at the end of a batch is carried to the next, up to BLOCK rows."""
-    rest = None
-    for batch in batches:
-        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+    """Convert a sorted partition; the history open at the end of a batch waits until it is whole."""
+    held: list[pd.DataFrame] = []
+    for rows in batches:
         key = rows["_source"].to_numpy()
-        open_from = len(rows)
-        if len(rows):
-            tail = key[-1]
-            open_from = int(np.flatnonzero(key != tail)[-1]) + 1 if (key != tail).any() else 0
-            if len(rows) - open_from > BLOCK:
-                open_from = len(rows)
-        rest = rows.iloc[open_from:].reset_index(drop=True)
+        if not len(rows):
+            continue
+        tail = key[-1]
+        # rows without a source stand first and wait for nothing
+        open_from = len(rows) if tail is None else int(np.flatnonzero(key != tail)[-1]) + 1 if (key != tail).any() else 0
         if open_from:
-            yield _convert(rows.iloc[:open_from].reset_index(drop=True))
-    if rest is not None and len(rest):
-        yield _convert(rest)
+            yield _convert(pd.concat([*held, rows.iloc[:open_from]], ignore_index=True))
+            held = []
+        elif held and held[-1]["_source"].iloc[-1] != tail:
+            yield _convert(pd.concat(held, ignore_index=True))
+            held = []
+        if open_from < len(rows):
+            held.append(rows.iloc[open_from:])
+    if held:
+        yield _convert(pd.concat(held, ignore_index=True))
 
 
 def in_yen(prices: DataFrame) -> DataFrame:
     """(row_id, amount, yen, factor): yen is null where the price cannot be told; factor is a unit shift undone."""
     ship_package(prices.sparkSession)
     keyed = prices.select(
-        "row_id", "amount", "tax", "unit", "checked_at",
+        "row_id", F.col("amount").cast("bigint").alias("amount"), "tax", "unit", "checked_at",
         F.concat_ws("\u001f", F.coalesce("facility_id", F.lit("")), F.coalesce("plan_id", F.lit(""))).alias("_source"),
     )
+    kind = dict(keyed.dtypes)
+    read = keyed.mapInPandas(_read, (
+        f"row_id {kind['row_id']}, amount bigint, _source string, checked_at {kind['checked_at']}, told bigint, treatments double, total double, level double, stated boolean"
+    ))
+    # in other histories no two segment means can differ by a known factor, or no row lacks a scale
+    wide = read.groupBy("_source").agg(
+        (F.max("level") - F.min("level")).alias("_width"), F.max(~F.col("stated") & F.col("level").isNotNull()).alias("_unstated")
+    ).where((F.col("_width") >= min(KNOWN_FACTORS) - TOLERANCE - 1e-6) & F.col("_unstated")).select(F.col("_source").alias("_wide"))
     n = int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = keyed.repartitionByRange(n, "_source", "checked_at", "row_id").sortWithinPartitions("_source", "checked_at", "row_id")
-    return ordered.select("row_id", "amount", "tax", "unit", "_source").mapInPandas(
+    marked = read.join(wide, F.col("_source") == F.col("_wide"), "left").drop("_source").withColumnRenamed("_wide", "_source")
+    spread = F.when(F.col("_source").isNull(), F.xxhash64("row_id")).otherwise(F.xxhash64("_source"))
+    ordered = marked.withColumn("_spread", spread).repartition(n, "_spread").sortWithinPartitions("_source", "checked_at", "row_id")
+    return ordered.select("row_id", "amount", "told", "treatments", "total", "level", "stated", "_source").mapInPandas(
         _stream, "row_id bigint, amount bigint, yen bigint, factor double"
     )
 

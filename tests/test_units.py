@@ -58,6 +58,21 @@ def test_history_crosses_batches(spark):
     assert len(out) == 9000 and len({r.row_id for r in out}) == 9000
 
 
+def test_a_long_history_has_one_anchor(spark):
+    import datetime
+
+    t = datetime.datetime(2025, 1, 1)
+    rows = [(i, 100 if 3000 <= i < 9000 else 100000, "税込", None, "f", "p", t + datetime.timedelta(minutes=i)) for i in range(12000)]
+    rows = [(i, 100, x, "千円", *r) if i % 2 and not 3000 <= i < 9000 else (i, a, x, u, *r) for i, a, x, u, *r in rows]
+    df = spark.createDataFrame(rows, "row_id long, amount long, tax string, unit string, facility_id string, plan_id string, checked_at timestamp")
+    assert {r.yen for r in U.in_yen(df).collect()} == {100000}
+
+
+def test_long_segments_are_searched_in_time():
+    x = np.concatenate([np.full(30000, 5.0), np.full(30000, 2.0)]) + np.random.default_rng(1).normal(0, 0.1, 60000)
+    assert U.segments(x) == [(0, 30000), (30000, 60000)]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "row_id long, amount long, tax string, unit string, facility_id string, plan_id string, checked_at timestamp")
     assert U.restated(df).count() == 0
