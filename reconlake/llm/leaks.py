@@ -8,13 +8,16 @@ Items are taken in blocks of ITEM_BLOCK (a stated query set against all document
 tasks is bounded. Whole texts are searched. Every document and item that share enough seeds are aligned, however
 many documents hold the same seeds; equal passages of an item are aligned once for each batch of documents.
 
+Items of equal normal text are one item with several ids. How rare a gram is counts over all items, not those of a
+block. Near copies of one item have few rare grams: their seeds are extended by the next rarest until the rest of the item
+weighs less than LEAK_SHARE - SEED_SHARE, so that every unedited leak keeps enough seeds.
+
 Null or empty texts and items match nothing; repeated documents each get their rows; empty tables give none.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,7 +32,7 @@ from reconlake.session import ship_package
 ITEM_BLOCK = 4000
 WIDE_SCRIPT = 6  # seed length in characters for text in kana and kanji
 NARROW_SCRIPT = 11  # and for text in Latin letters
-SHARED_BY = 4  # a seed that more items than this contain is no seed
+SHARED_BY = 4  # a gram that at most this many different items contain is a seed; a commoner one only where its item needs it
 PLACE = {6: 3, 11: 5}  # by seed length: length of the n-gram that tells how particular a place is
 SEED_SHARE = 0.12  # share of an item's weight that its seeds in a document must cover to be aligned
 LEAK_SHARE = 0.38  # aligned share of an item's weight from which it counts as leaked
@@ -72,32 +75,53 @@ def seed_length(text: str) -> int:
     return WIDE_SCRIPT if wide * 2 > len(text) else NARROW_SCRIPT
 
 
+class Counts:
+    """In how many texts each gram stands, by gram length."""
+
+    def __init__(self, of: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
+        self.of = of
+
+    @classmethod
+    def among(cls, texts: list[str]) -> Counts:
+        of = {}
+        for n in sorted({*PLACE, *PLACE.values()}):
+            own = [np.unique(grams(codes(t), n)) for t in texts if seed_length(t) == n or PLACE[seed_length(t)] == n]
+            of[n] = np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *own]), return_counts=True)
+        return cls(of)
+
+    def part(self, texts: list[str]) -> Counts:
+        """The counts of the grams of some of the texts."""
+        mine = Counts.among(texts).of
+        return Counts({n: (keys, self.get(n, keys)) for n, (keys, _) in mine.items()})
+
+    def get(self, n: int, g: np.ndarray) -> np.ndarray:
+        keys, count = self.of[n]
+        return count[np.searchsorted(keys, g)] if len(g) else np.empty(0, dtype=np.int64)
+
+
 class Items:
-    """Test items of one block: normal text, place weights and seeds."""
+    """Test items of one block, (normal text, ids of the items that have it): place weights and seeds."""
 
-    def __init__(self, rows: list[tuple[int, str]]) -> None:
+    def __init__(self, rows: list[tuple[str, tuple[int, ...]]], counts: Counts) -> None:
         self.ids, self.text, self.weight = [], [], []
-        df: Counter = Counter()
-        normal = [(i, plain(t)) for i, t in rows]
-        normal = [(i, t) for i, t in normal if t]
-        for _, t in normal:
-            df.update(set(grams(codes(t), PLACE[seed_length(t)]).tolist()))
         seeds: dict[int, dict[int, list[tuple[int, int]]]] = {WIDE_SCRIPT: {}, NARROW_SCRIPT: {}}
-        for k, (i, t) in enumerate(normal):
+        for k, (t, ids) in enumerate(rows):
             n = seed_length(t)
-            local = np.array([df[g] for g in grams(codes(t), PLACE[n]).tolist()] or [1], dtype=float)
+            local = counts.get(PLACE[n], grams(codes(t), PLACE[n])).astype(float)
+            local = local if len(local) else np.ones(1)
             pad = (PLACE[n] - 1) // 2
             centred = np.concatenate([np.full(pad, local[0]), local, np.full(max(0, len(t) - pad - len(local)), local[-1])])[: len(t)]
-            self.ids.append(i)
+            self.ids.append(ids)
             self.text.append(t)
             self.weight.append(centred**-1.0)
-            for p, g in enumerate(grams(codes(t), n).tolist()):
-                seeds[n].setdefault(g, []).append((k, p))
+            own = grams(codes(t), n)
+            for p in self._seed_places(self.weight[-1], counts.get(n, own), n):
+                seeds[n].setdefault(int(own[p]), []).append((k, p))
         self.total = np.array([w.sum() for w in self.weight])
         self.lookup = {}
         self.gram_of = []
         for n, table in seeds.items():
-            keep = sorted(g for g, at in table.items() if len({k for k, _ in at}) <= SHARED_BY)
+            keep = sorted(table)
             keys = np.array(keep, dtype=np.uint64)
             bits = np.zeros(1 << _TABLE_BITS, dtype=bool)
             bits[keys >> np.uint64(64 - _TABLE_BITS)] = True
@@ -105,6 +129,20 @@ class Items:
             self.gram_of += [(n, table[g]) for g in keep]
             self.lookup[n] = (keys, bits, base)
 
+    @staticmethod
+    def _seed_places(weight: np.ndarray, count: np.ndarray, n: int) -> list[int]:
+        """Places of the grams that at most SHARED_BY texts have, and of the next rarest until the rest weighs too little to be a leak alone."""
+        out, bare = [], np.ones(len(weight), dtype=bool)
+        spare = (LEAK_SHARE - SEED_SHARE) * weight.sum()
+        order = np.argsort(count, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(count[order])) + 1) if len(order) else []:
+            if count[at[0]] > SHARED_BY and weight[bare].sum() <= spare:
+                break
+            for p in at.tolist():
+                out.append(p)
+                bare[p : p + n] = False
+        return out
+
     def hits(self, text: str) -> dict[int, list[tuple[int, int, int]]]:
         """By item: (seed, place in item, place in text) of the seeds found in a normal text."""
         c = codes(text)
@@ -132,8 +170,8 @@ class Items:
 
 
 @lru_cache(maxsize=2)
-def _items(rows: tuple[tuple[int, str], ...]) -> Items:
-    return Items(list(rows))
+def _items(rows: tuple[tuple[str, tuple[int, ...]], ...], counts: Counts) -> Items:
+    return Items(list(rows), counts)
 
 
 def align(item: str, weight: np.ndarray, windows: list[str]) -> np.ndarray:
@@ -184,13 +222,13 @@ def _align_pairs(items: Items, found: list[tuple[int, int, str]]) -> pd.DataFram
         for a in range(0, len(passages), 128):
             part = passages[a : a + 128]
             score = align(items.text[k], items.weight[k], part)
-            out += [(doc, items.ids[k], float(s)) for p, s in zip(part, score, strict=True) for doc in docs_of[p]]
+            out += [(doc, i, float(s)) for p, s in zip(part, score, strict=True) for doc in docs_of[p] for i in items.ids[k]]
     return pd.DataFrame(out, columns=["doc_id", "item_id", "score"])
 
 
-def _search(block: tuple[tuple[int, str], ...]):
+def _search(block: tuple[tuple[str, tuple[int, ...]], ...], counts: Counts):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items = _items(block)
+        items = _items(block, counts)
         for b in batches:
             found = []
             for doc, raw in zip(b["doc_id"], b["text"], strict=True):
@@ -213,12 +251,17 @@ def scores(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, score): aligned share of the item for every document and item that share enough seeds."""
     spark = documents.sparkSession
     ship_package(spark)
-    rows = sorted((r.item_id, r.text) for r in items.where("text is not null").select("item_id", "text").toLocalIterator())
+    ids: dict[str, list[int]] = {}
+    for i, t in sorted((r.item_id, r.text) for r in items.where("text is not null").select("item_id", "text").distinct().toLocalIterator()):
+        if (t := plain(t)) and i not in ids.setdefault(t, []):
+            ids[t].append(i)
+    rows = [(t, tuple(i)) for t, i in ids.items()]
+    counts = Counts.among(list(ids))
     docs = documents.select("doc_id", "text").where(F.col("text").isNotNull() & (F.col("text") != ""))
     total = None
     for a in range(0, max(len(rows), 1), ITEM_BLOCK):
         block = tuple(rows[a : a + ITEM_BLOCK])
-        part = docs.mapInPandas(_search(block), "doc_id bigint, item_id bigint, score double")
+        part = docs.mapInPandas(_search(block, counts.part([t for t, _ in block])), "doc_id bigint, item_id bigint, score double")
         total = part if total is None else total.unionByName(part)
     return total
 

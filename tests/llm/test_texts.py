@@ -68,6 +68,18 @@ def test_partial_leaks_beside_a_whole_copy(spark):
     assert leaks.leaked(d, i, 0.3).where("item_id = 1").count() == 31
 
 
+@pytest.mark.parametrize("block", [4000, 5])
+def test_repeated_and_nearly_equal_items(spark, monkeypatch, block):
+    monkeypatch.setattr(leaks, "ITEM_BLOCK", block)
+    one = ITEMS[0][1]
+    equal = [(200 + k, one) for k in range(7)]
+    near = [(300 + k, f"{one[:20]}{k}{k}{one[20:]}") for k in range(7)]
+    d = spark.createDataFrame([(1, "前置き。" + one + "後書き。")], "doc_id long, text string")
+    i = spark.createDataFrame(ITEMS[1:] + equal + near, "item_id long, text string")
+    got = {r.item_id for r in leaks.leaked(d, i).collect()}
+    assert got == {k for k, _ in equal + near}
+
+
 def documents(spark):
     text = {"a": "one two three four", "b": "five six seven", "c": "eight"}
     rows = [(n * 10 + j, text[s], s) for n, s in enumerate("abc") for j in range({"a": 9, "b": 9, "c": 3}[s])] + [(90, None, "a"), (91, "", "a"), (92, "x", None), (93, "x", "z")]
