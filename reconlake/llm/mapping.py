@@ -2,8 +2,9 @@
 
 Method: a multi-pattern automaton over the canonical names and their aliases (registry aliases, version
 parts in other spellings) finds the mentions embedded in a value; the longest non-overlapping mention wins.
-Values it leaves open go to token-set similarity: leading tokens against name stems (one edit, also by
-sound for katakana), remaining tokens against version parts. Everything else is UNMATCHED.
+Values it leaves open are compared by their tokens, version parts apart and in any place: the joined tokens against
+name stems (few edits, also by sound for katakana), then the set of tokens against that of each name, each token to its
+best counterpart, in any order, versions equal. Everything else is UNMATCHED.
 A name part of its own beside a known name makes another product.
 
 Null and blank values give no row. Repeated values each keep their row. An empty registry maps all to UNMATCHED.
@@ -113,6 +114,7 @@ class Matcher:
         self.automaton = ahocorasick.Automaton()
         self.names: list[tuple[str, str, str]] = []  # stem, version, canonical
         forms: dict[str, str] = {}
+        words: set[tuple[tuple[str, ...], str, str]] = set()  # stem tokens, version, canonical
         for product, canon in pairs:
             tokens = [t for t in _SPLIT.split(canonical(product).lower()) if t]
             if len(tokens) > 1 and tokens[-1] in _VERSION:
@@ -120,6 +122,7 @@ class Matcher:
             else:
                 stem, version = "".join(tokens), ""
             self.names.append((stem, version, canon))
+            words.add((tuple(tokens[:-1] if version else tokens), version, canon))
             forms["".join(tokens)] = canon
         # stems of one canonical stem are interchangeable before its versions
         base = {canon: stem for stem, version, canon in self.names if not version}
@@ -135,6 +138,7 @@ class Matcher:
                 for s in {stem} | {x for x, c in plain.items() if c == home and home}:
                     more.append((s, version, canon))
         self.names = sorted({*self.names, *more})
+        self.words = sorted(words)
         for stem, version, canon in self.names:
             for form in [""] if not version else [f for f, v in _VERSION.items() if v == version]:
                 forms.setdefault(stem + form, canon)
@@ -192,6 +196,9 @@ class Matcher:
         return self._similar(tokens, whole)
 
     def _similar(self, tokens: list[str], whole: str) -> str:
+        given = tokens
+        if len(tokens) > 1 and any(t in _VERSION for t in tokens[:-1]):  # version parts last, wherever they stand
+            tokens = [t for t in tokens if t not in _VERSION] + [t for t in tokens if t in _VERSION]
         best: tuple[float, int, str] | None = None
         for k in range(len(tokens), 0, -1):
             stem, rest = "".join(tokens[:k]), "".join(tokens[k:])
@@ -209,17 +216,44 @@ class Matcher:
                     if v != version:
                         continue
                     d = self._distance(s, name)
-                    if d is not None and (best is None or (d, -len(s)) < best[:2]):
+                    if d is not None and (best is None or (d, -len(s)) < best[:2]) and not self._spare(tokens[:k], name, d):
                         best = (d, -len(s), canon)
             if best and best[0] <= 1.2:
                 break
         if best is None and len(tokens) > 1 and tokens[-1] not in _VERSION:
             # a slip inside the version part itself
             for form, canon in self.forms.items():
-                if len(form) >= 7 and osa(whole, form, 1) == 1 and not re.search(r"(?:i+|\d)$", form):
+                if len(form) >= 7 and osa(whole, form, 1) == 1 and not re.search(r"(?:i+|\d)$", form) and not self._spare(tokens, form, 1):
                     best = (1, -len(whole), canon)
                     break
-        return best[2] if best else UNMATCHED
+        return best[2] if best else self._same_tokens(given)
+
+    def _spare(self, tokens: list[str], name: str, d: float) -> bool:
+        """Whether the name is as near without one of the tokens, which then is a name part of its own."""
+        for i in range(len(tokens) if len(tokens) > 1 else 0):
+            less = self._distance("".join(tokens[:i] + tokens[i + 1 :]), name)
+            if less is not None and less <= d:
+                return True
+        return False
+
+    def _same_tokens(self, tokens: list[str]) -> str:
+        """The name with the nearest set of tokens: each token to its best counterpart, versions equal, in any order."""
+        versions = [_VERSION[t] for t in tokens if t in _VERSION]
+        typed = [t for t in tokens if t not in _VERSION and t not in NOISE]
+        best: tuple[float, str] | None = None
+        for words, version, canon in self.words if len(tokens) > 1 else ():
+            if len(words) != len(typed) or versions != ([version] if version else []):
+                continue
+            near = sorted((d, i, j) for i, t in enumerate(typed) for j, w in enumerate(words) if (d := self._distance(t, w)) is not None)
+            left, right, total = set(), set(), 0.0
+            for d, i, j in near:
+                if i not in left and j not in right:
+                    left.add(i)
+                    right.add(j)
+                    total += d
+            if len(left) == len(typed) and (best is None or (total, canon) < best):
+                best = (total, canon)
+        return best[1] if best else UNMATCHED
 
     def _distance(self, s: str, name: str) -> float | None:
         """Edits between a typed stem and a name, if near enough; sound counts for katakana."""

@@ -21,6 +21,15 @@ def test_match(typed, want):
     assert mapping.Matcher(list(PAIRS)).match(typed) == want
 
 
+@pytest.mark.parametrize("typed,want", [
+    ("II Velmatrix", "Velmatrix II"), ("2 Velmtarix", "Velmatrix II"), ("XY Velmatrix", "UNMATCHED"), ("Q Velmatrix", "UNMATCHED"), ("Lune Plasma", "Plasma Lune"), ("Lune II Plasmo", "Plasma Lune II"),
+    ("III Velmatrix", "UNMATCHED"), ("Vel matrix", "Velmatrix"), ("Velmatrix Plasma", "UNMATCHED"),
+])
+def test_tokens_in_any_order(typed, want):
+    more = [("Plasma Lune", "Plasma Lune"), ("Plasma Lune II", "Plasma Lune II")]
+    assert mapping.Matcher([x for x in PAIRS if x[0] != "PlasmaLune"] + more).match(typed) == want
+
+
 def test_mentions_longest_first():
     m = mapping.Matcher(list(PAIRS))
     assert [c for _, _, c in m.mentions("velmatrixii")] == ["Velmatrix II"]
