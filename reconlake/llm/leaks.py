@@ -211,18 +211,45 @@ def window(text: str, places: list[int], reach: int) -> str:
     return text[max(0, start - reach) : start + 2 * reach]
 
 
-def _align_pairs(items: Items, found: list[tuple[int, int, str]]) -> pd.DataFrame:
-    """Scores of (doc_id, place of the item in the block, passage); equal passages of an item are aligned once."""
+def windows(items: Items, k: int, text: str, hits: list[tuple[int, int, int]]) -> list[str]:
+    """Every separate stretch of three lengths of item k whose distinct seeds reach SEED_SHARE.
+
+    Stretches start at a seed place and do not overlap, but each has room of one length around it.
+    """
+    n, reach = seed_length(items.text[k]), len(items.text[k]) + 40
+    if items.seed_share(k, {p for _, p, _ in hits}, n) < SEED_SHARE:
+        return []
+    at = sorted((j, p) for _, p, j in hits)
+    out, a = [], 0
+    while a < len(at):
+        start = at[a][0]
+        b = a
+        while b < len(at) and at[b][0] - start <= reach:
+            b += 1
+        if items.seed_share(k, {p for _, p in at[a:b]}, n) >= SEED_SHARE:
+            out.append(text[max(0, start - reach) : start + 2 * reach])
+            a = b
+        else:
+            a += 1
+    dense = window(text, [j for j, _ in at], reach)  # seeds may also reach the share only together
+    return out if dense in out else [*out, dense]
+
+
+def _align_pairs(items: Items, found: list[tuple[int, int, list[str]]]) -> pd.DataFrame:
+    """Greatest scores of (doc_id, place of the item in the block, passages); equal passages of an item are aligned once."""
     by_item: dict[int, dict[str, list[int]]] = {}
-    for doc, k, passage in found:
-        by_item.setdefault(k, {}).setdefault(passage, []).append(doc)
-    out = []
-    for k, docs_of in by_item.items():
-        passages = list(docs_of)
+    for r, (_, k, passages) in enumerate(found):
+        for passage in passages:
+            by_item.setdefault(k, {}).setdefault(passage, []).append(r)
+    best = np.zeros(len(found))
+    for k, rows_of in by_item.items():
+        passages = list(rows_of)
         for a in range(0, len(passages), 128):
             part = passages[a : a + 128]
-            score = align(items.text[k], items.weight[k], part)
-            out += [(doc, i, float(s)) for p, s in zip(part, score, strict=True) for doc in docs_of[p] for i in items.ids[k]]
+            for p, score in zip(part, align(items.text[k], items.weight[k], part).tolist(), strict=True):
+                for r in rows_of[p]:
+                    best[r] = max(best[r], score)
+    out = [(doc, i, float(s)) for (doc, k, _), s in zip(found, best, strict=True) for i in items.ids[k]]
     return pd.DataFrame(out, columns=["doc_id", "item_id", "score"])
 
 
@@ -236,9 +263,8 @@ def _search(block: tuple[tuple[str, tuple[int, ...]], ...], counts: Counts):
                 if not text:
                     continue
                 for k, hits in items.hits(text).items():
-                    n = seed_length(items.text[k])
-                    if items.seed_share(k, {p for _, p, _ in hits}, n) >= SEED_SHARE:
-                        found.append((doc, k, window(text, [j for _, _, j in hits], len(items.text[k]) + 40)))
+                    if passages := windows(items, k, text, hits):
+                        found.append((doc, k, passages))
                 if len(found) >= MAX_PAIRS:
                     yield _align_pairs(items, found)
                     found = []

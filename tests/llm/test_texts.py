@@ -80,6 +80,13 @@ def test_repeated_and_nearly_equal_items(spark, monkeypatch, block):
     assert got == {k for k, _ in equal + near}
 
 
+def test_second_passage_is_scored(spark):
+    one = ITEMS[0][1]
+    d = spark.createDataFrame([(1, one[:16] * 12 + "あ" * 1000 + one[:30] + "略" + one[30:])], "doc_id long, text string")
+    i = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert leaks.scores(d, i).where("item_id = 1").first().score > 0.9
+
+
 def documents(spark):
     text = {"a": "one two three four", "b": "five six seven", "c": "eight"}
     rows = [(n * 10 + j, text[s], s) for n, s in enumerate("abc") for j in range({"a": 9, "b": 9, "c": 3}[s])] + [(90, None, "a"), (91, "", "a"), (92, "x", None), (93, "x", "z")]
