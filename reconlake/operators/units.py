@@ -1,35 +1,44 @@
 """Quantities recorded in different units: every price in yen, tax included, for one treatment (problem 6).
 
-Method: the histories of a source (facility and plan, by time) are laid on one log scale with the unit
-each row states; an exact penalised changepoint search (dynamic programming with functional pruning) segments each
-history, and a segment of rows that state no scale whose level lies a known factor below or above the
-stated level of its history is taken as recorded in that other unit and converted back.
-The unit itself is most often stated in words, and those statements hold over the segmentation.
+Method: the history of a source (facility and plan, by time) is the sequence of the levels recorded in it, on a log
+scale and for one treatment. An exact penalised changepoint search (dynamic programming with functional pruning)
+segments each history; a segment whose level lies a known factor (thousands, ten thousands) off the level at which the
+history's prices lie was recorded in another unit, and that change is reversed. Where a row's words name a unit, they
+name the factor; where they are silent, the factor nearest to the gap is taken. Words also decide where a history
+shows no shift (it is too short or all in one unit). Tax (a factor of 1.1) and the number of treatments lie well
+inside the spread of the prices of one plan: no level can show them, so they come from the words alone.
 
-A history is searched as a whole, in one task, wherever its rows lie. Only histories in which some row states
-no scale and levels lie a known factor apart need the search; the rows of all others are spread over all tasks.
+A history is searched as a whole, wherever its rows lie: rows are first gathered to cells (history, day, quarter of a
+decade of level, unit named) with their count, sum and sum of squares, and the search runs exactly on the sequence of
+cells. A history has no more cells than its days times some sixty, however many rows one of them holds, and the rows
+themselves are never brought to one task. The result does not depend on partitions.
 
 Nulls: without amount and without a price in words a row has no price; without any statement on tax it
-has none either. Repeated rows are converted row by row. Empty tables give an empty result.
+has none either. Rows without a source or a time belong to the history of the empty source, or the empty day.
+Repeated rows are converted row by row. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from reconlake.functions.confusables import narrow
-from reconlake.session import ship_package
+from reconlake.session import bounded, cut, ship_package
 
 PENALTY = 2.0  # cost of one more segment, in squared log10 units
 KNOWN_FACTORS = (3.0, 4.0)  # log10: thousands and ten thousands of yen
-TOLERANCE = 0.45  # log10; prices of one plan differ by less
+TOLERANCE = 0.75  # log10; mean of a segment against its history; the prices of one plan differ by less than 1.5
+CELL = 0.25  # log10; width of the levels gathered in one cell
+MAX_SHIFTS = 200_000  # cells of shifted segments up to which their (counted) table is broadcast; beyond, it is shuffled
+#: what it costs to take a row that names no unit for one in that unit, in squared log10 units
+RARE = {0.0: 0.0, 3.0: 0.25, 4.0: 0.45, -3.0: 0.5, -4.0: 0.6}
 
 # --- fixed values: words that state tax, scale and number of treatments ---
 TAX_IN = re.compile(r"税込|内税|税金込|incl(?:\.|uding)?\s*tax|tax\s*incl", re.I)
@@ -81,7 +90,6 @@ def number(text: str) -> float | None:
     return total + section if seen else None
 
 
-@lru_cache(maxsize=200_000)
 def read_statement(tax: str | None, unit: str | None) -> tuple[int | None, float | None, int, float | None]:
     """What tax and unit state: (tax included 1, excluded 0, untold None; scale or None; treatments; price in words)."""
     t, u = narrow(tax or ""), narrow(unit or "").strip()
@@ -109,21 +117,46 @@ def read_statement(tax: str | None, unit: str | None) -> tuple[int | None, float
     return told, scale, max(count, 1), price
 
 
-def segments(x: np.ndarray, penalty: float = PENALTY) -> list[tuple[int, int]]:
-    """Exact optimal partitioning of x by squared error plus penalty a segment: [start, end) pairs.
+_STATED = StructType([StructField("told", IntegerType()), *[StructField(n, DoubleType()) for n in ("named", "treatments", "words")]])
 
-    Functional pruning: the line of levels is kept in pieces, each with the start of the last segment that is best
-    there; there are few pieces however long a segment is.
+
+@F.pandas_udf(_STATED)
+def statements(tax: pd.Series, unit: pd.Series) -> pd.DataFrame:
+    """read_statement of each row, once for each distinct pair of a batch; `named` is the log10 of the unit named."""
+    seen: dict[tuple, tuple] = {}
+    out = []
+    for pair in zip(tax, unit, strict=True):
+        got = seen.get(pair)
+        if got is None:
+            told, scale, count, words = read_statement(*(x if isinstance(x, str) else None for x in pair))
+            got = seen[pair] = (told, None if scale is None else float(np.log10(scale)), float(count), words)
+        out.append(got)
+    told, named, treatments, words = zip(*out, strict=True) if out else ((), (), (), ())
+    return pd.DataFrame({
+        "told": pd.array(told, dtype="Int32"), "named": pd.array(named, dtype="Float64"),
+        "treatments": pd.array(treatments, dtype="Float64"), "words": pd.array(words, dtype="Float64"),
+    })
+
+
+def segments(x: np.ndarray, penalty: float = PENALTY, n: np.ndarray | None = None, squares: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Exact optimal partitioning by squared error plus penalty a segment: [start, end) pairs.
+
+    x are the means of cells of n values each (one each if not given), squares the sums of their squares. Functional
+    pruning: the line of levels is kept in pieces, each with the start of the last segment that is best there; there
+    are few pieces however long a segment is.
     """
-    n = len(x)
-    s1, s2 = np.concatenate([[0.0], np.cumsum(x)]).tolist(), np.concatenate([[0.0], np.cumsum(x * x)]).tolist()
+    size = len(x)
+    n = np.ones(size) if n is None else n
+    squares = n * x * x if squares is None else squares
+    zero = [0.0]
+    s0, s1, s2 = (np.concatenate([zero, np.cumsum(v)]).tolist() for v in (n, n * x, squares))
     low, high = float(x.min()), float(x.max())
-    best, last = [-penalty] + [0.0] * n, [0] * (n + 1)
+    best, last = [-penalty] + [0.0] * size, [0] * (size + 1)
     pieces = [(low, high, 0)]
-    for t in range(1, n + 1):
+    for t in range(1, size + 1):
         least, start, costs = np.inf, 0, []
         for lo, hi, k in pieces:
-            m, b = t - k, s1[t] - s1[k]
+            m, b = s0[t] - s0[k], s1[t] - s1[k]
             mean = b / m
             floor = best[k] + penalty + (s2[t] - s2[k]) - b * mean
             at = min(max(mean, lo), hi)
@@ -145,124 +178,135 @@ def segments(x: np.ndarray, penalty: float = PENALTY) -> list[tuple[int, int]]:
                     else:
                         new.append((u, v, j))
         pieces = new
-    out, t = [], n
+    out, t = [], size
     while t > 0:
         out.append((last[t], t))
         t = last[t]
     return out[::-1]
 
 
-def unit_shift(levels: np.ndarray, stated: np.ndarray) -> np.ndarray:
-    """log10 factor to add to each row of one history: known factors for unstated segments off the level, else 0."""
-    shift = np.zeros(len(levels))
-    ok = np.isfinite(levels)
-    if ok.sum() < 2 or not (~stated & ok).any() or np.ptp(levels[ok]) < min(KNOWN_FACTORS) - TOLERANCE:
-        return shift  # no two segment means can differ by a known factor
-    idx = np.flatnonzero(ok)
-    x, st = levels[idx], stated[idx]
-    segs = segments(x)
-    anchor = np.median(x[st]) if st.any() else np.median([x[a:b].mean() for a, b in segs for _ in range(b - a)])
-    for a, b in segs:
-        if st[a:b].any():
+def price_level(x: np.ndarray, n: np.ndarray, named: np.ndarray, usual: float) -> float:
+    """The level at which the prices of a history lie: the one from which its cells, each in its likeliest unit, are least away.
+
+    named is the log10 of the unit a cell's rows name, NaN for none; the usual level of all data counts as one more row.
+    """
+    free = np.isnan(named)
+    options = [np.where(free, x + f, np.nan) for f in RARE] + [np.where(free, np.nan, x + np.nan_to_num(named))]
+    costs = [*RARE.values(), 0.0]
+    true = np.stack(options)
+    grid = np.append(np.unique(np.round(true[~np.isnan(true)] / CELL) * CELL), usual)
+    total = np.empty(len(grid))
+    for i, a in enumerate(grid):
+        each = np.minimum((true - a) ** 2, 1.0) + np.array(costs)[:, None]
+        total[i] = (n * np.nanmin(each, axis=0)).sum() + min((a - usual) ** 2, 4.0)
+    a = grid[total.argmin()]
+    which = np.nanargmin(np.minimum((true - a) ** 2, 1.0) + np.array(costs)[:, None], axis=0)
+    chosen = true[which, np.arange(len(x))]
+    close = np.abs(chosen - a) <= 1.0
+    return float((n * chosen)[close].sum() / n[close].sum()) if close.any() else float(a)
+
+
+def unit_shifts(x: np.ndarray, n: np.ndarray, squares: np.ndarray, named: np.ndarray, usual: float) -> np.ndarray:
+    """log10 factor that reverses the change of unit of each cell in a shifted segment, 0 for the others.
+
+    The cells are those of one history in order of time; a named unit is the factor of its cell if its segment is shifted.
+    """
+    level = price_level(x, n, named, usual)
+    shift = np.zeros(len(x))
+    for a, b in segments(x, n=n, squares=squares):
+        gap = level - (n[a:b] * x[a:b]).sum() / n[a:b].sum()
+        if min(abs(abs(gap) - f) for f in KNOWN_FACTORS) > TOLERANCE:
             continue
-        gap = anchor - x[a:b].mean()
-        for f in KNOWN_FACTORS:
-            if abs(abs(gap) - f) <= TOLERANCE:
-                shift[idx[a:b]] = f if gap > 0 else -f
-                break
+        signs = [f for f in RARE if f * gap > 0]
+        own = np.stack([(level - x[a:b] - f) ** 2 + RARE[f] for f in signs]).argmin(axis=0)
+        shift[a:b] = np.where(np.isnan(named[a:b]), np.array(signs)[own], np.nan_to_num(named[a:b]))
     return shift
 
 
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What each row states: told (tax), treatments, total in the unit it states, and its level."""
-    for rows in batches:
-        told = [read_statement(t, u) for t, u in zip(rows["tax"], rows["unit"], strict=True)]
-        words = np.array([np.nan if x[3] is None else x[3] for x in told], dtype=float)
-        amount = pd.to_numeric(rows["amount"]).to_numpy(dtype=float, na_value=np.nan)
-        scale = np.array([np.nan if x[1] is None else x[1] for x in told], dtype=float)
-        count = np.array([x[2] for x in told], dtype=float)
-        from_words = np.isnan(amount)
-        total = np.where(from_words, words, amount * np.where(np.isnan(scale), 1.0, scale))
-        ok = total > 0
-        out = rows[["row_id", "amount", "_source", "checked_at"]].copy()
-        out["told"] = pd.array([x[0] for x in told], dtype="Int64")
-        out["treatments"] = count
-        out["total"] = pd.Series(np.where(ok, total, 0.0), index=out.index).astype(object).where(ok, None)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            out["level"] = pd.Series(np.log10(total / count), index=out.index).astype(object).where(ok, None)
-        out["stated"] = from_words | ~np.isnan(scale)
-        yield out
-
-
-def _convert(rows: pd.DataFrame) -> pd.DataFrame:
-    """yen of the rows of whole histories, sorted by source and time; rows without a source are not searched."""
-    def numbers(name: str) -> np.ndarray:
-        return pd.to_numeric(rows[name]).to_numpy(dtype=float, na_value=np.nan)
-
-    tax, count, total, level = (numbers(c) for c in ("told", "treatments", "total", "level"))
-    stated = rows["stated"].to_numpy(dtype=bool)
-    key = rows["_source"].to_numpy()
-    shift = np.zeros(len(rows))
-    if len(rows) and rows["_source"].notna().any():
-        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            if key[a] is not None:
-                shift[a:b] = unit_shift(level[a:b], stated[a:b])
-    total = np.round(total * 10.0**shift)
-    # (total * 11) / (10 * count) where tax is left out; half a yen rounds up
-    yen = np.where(tax == 1, np.floor((2 * total + count) / (2 * count)), np.floor((22 * total + 10 * count) / (20 * count)))
-    yen[np.isnan(tax) | np.isnan(total)] = np.nan
-    return pd.DataFrame({
-        "row_id": rows["row_id"].to_numpy(),
-        "amount": pd.array(numbers("amount"), dtype="Float64").astype("Int64"),
-        "yen": pd.array(yen, dtype="Float64").astype("Int64"),
-        "factor": 10.0**shift,
-    })
+def _search(usual: float):
+    """Shifts of the cells of whole histories; a partition is sorted by source, and the history open at the end of a batch waits."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
 
-def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Convert a sorted partition; the history open at the end of a batch waits until it is whole."""
-    held: list[pd.DataFrame] = []
-    for rows in batches:
-        key = rows["_source"].to_numpy()
-        if not len(rows):
-            continue
-        tail = key[-1]
-        # rows without a source stand first and wait for nothing
-        open_from = len(rows) if tail is None else int(np.flatnonzero(key != tail)[-1]) + 1 if (key != tail).any() else 0
-        if open_from:
-            yield _convert(pd.concat([*held, rows.iloc[:open_from]], ignore_index=True))
-            held = []
-        elif held and held[-1]["_source"].iloc[-1] != tail:
-            yield _convert(pd.concat(held, ignore_index=True))
-            held = []
-        if open_from < len(rows):
-            held.append(rows.iloc[open_from:])
-    if held:
-        yield _convert(pd.concat(held, ignore_index=True))
+        def flush(rows: pd.DataFrame) -> pd.DataFrame:
+            key = rows["source"].to_numpy()
+            n, sums, squares, named = (rows[c].to_numpy(dtype=float, na_value=np.nan) for c in ("n", "s1", "s2", "named"))
+            shift = np.zeros(len(rows))
+            edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                shift[a:b] = unit_shifts(sums[a:b] / n[a:b], n[a:b], squares[a:b], named[a:b], usual)
+            out = rows[["source", "day", "cell", "unit"]].assign(shift=shift)
+            return out[shift != 0]
+
+        for rows in batches:
+            if not len(rows):
+                continue
+            tail = rows["source"].iloc[-1]
+            open_ = (rows["source"] == tail).to_numpy()
+            if not open_.all():
+                yield flush(pd.concat([*held, rows[~open_]], ignore_index=True))
+                held = []
+            elif held and held[-1]["source"].iloc[-1] != tail:
+                yield flush(pd.concat(held, ignore_index=True))
+                held = []
+            held.append(rows[open_])
+        if held:
+            yield flush(pd.concat(held, ignore_index=True))
+
+    return run
 
 
 def in_yen(prices: DataFrame) -> DataFrame:
-    """(row_id, amount, yen, factor): yen is null where the price cannot be told; factor is a unit shift undone."""
+    """(row_id, amount, yen, factor, decided): yen is null where the price cannot be told.
+
+    factor is the change of unit that was reversed; decided tells by what: 'segment' (words silent), 'segment and words',
+    'words' (the history shows no shift), or null where nothing had to be reversed.
+    """
     ship_package(prices.sparkSession)
-    keyed = prices.select(
-        "row_id", F.col("amount").cast("bigint").alias("amount"), "tax", "unit", "checked_at",
-        F.concat_ws("\u001f", F.coalesce("facility_id", F.lit("")), F.coalesce("plan_id", F.lit(""))).alias("_source"),
+    said = prices.select(
+        "row_id", F.col("amount").cast("bigint").alias("amount"), statements("tax", "unit").alias("s"),
+        F.concat_ws("\u001f", F.coalesce("facility_id", F.lit("")), F.coalesce("plan_id", F.lit(""))).alias("source"),
+        F.coalesce(F.unix_date(F.to_date("checked_at")), F.lit(-(1 << 30))).alias("day"),
+    )
+    value = F.coalesce(F.col("amount").cast("double"), F.col("s.words"))
+    named = F.when(F.col("amount").isNull(), F.lit(0.0)).otherwise(F.col("s.named"))
+    rows = said.select("row_id", "amount", "source", "day", "s.told", "s.treatments", value.alias("value"), named.alias("named"))
+    rows = rows.withColumn("level", F.when(F.col("value") > 0, F.log10(F.col("value") / F.col("treatments"))))
+    rows = rows.withColumn("cell", F.floor(F.col("level") / CELL).cast("int")).withColumn("unit", F.coalesce(F.col("named").cast("int"), F.lit(-1)))
+    key = ["source", "day", "cell", "unit"]
+    cells = rows.where("level is not null").groupBy(*key).agg(
+        F.first("named").alias("named"), F.count("*").cast("double").alias("n"), F.sum("level").alias("s1"), F.sum(F.col("level") ** 2).alias("s2")
     )
-    kind = dict(keyed.dtypes)
-    read = keyed.mapInPandas(_read, (
-        f"row_id {kind['row_id']}, amount bigint, _source string, checked_at {kind['checked_at']}, told bigint, treatments double, total double, level double, stated boolean"
-    ))
-    # in other histories no two segment means can differ by a known factor, or no row lacks a scale
-    wide = read.groupBy("_source").agg(
-        (F.max("level") - F.min("level")).alias("_width"), F.max(~F.col("stated") & F.col("level").isNotNull()).alias("_unstated")
-    ).where((F.col("_width") >= min(KNOWN_FACTORS) - TOLERANCE - 1e-6) & F.col("_unstated")).select(F.col("_source").alias("_wide"))
+    cells = cut(cells)
+    # the usual level: the median of a histogram with one bar for each quarter of a decade
+    true = (F.col("cell") + 0.5) * CELL + F.coalesce("named", F.lit(0.0))
+    bars = sorted((r.v, r.n) for r in cells.groupBy(true.alias("v")).agg(F.sum("n").alias("n")).collect())
+    half, usual = sum(n for _, n in bars) / 2, 0.0
+    for v, n in bars:
+        half -= n
+        if half <= 0:
+            usual = v
+            break
+    # in a history whose levels, named or not, all lie within a known factor of each other and of the usual one, nothing can be shifted
+    low, high = ((F.col("cell") + i) * CELL for i in (0, 1))
+    wide = cells.groupBy("source").agg(
+        (F.greatest(F.max(high), F.max(high + F.coalesce("named", F.lit(0.0))), F.lit(usual)) - F.least(F.min(low), F.lit(usual))).alias("w")
+    ).where(F.col("w") >= min(KNOWN_FACTORS) - TOLERANCE).select("source")
     n = int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    marked = read.join(wide, F.col("_source") == F.col("_wide"), "left").drop("_source").withColumnRenamed("_wide", "_source")
-    spread = F.when(F.col("_source").isNull(), F.xxhash64("row_id")).otherwise(F.xxhash64("_source"))
-    ordered = marked.withColumn("_spread", spread).repartition(n, "_spread").sortWithinPartitions("_source", "checked_at", "row_id")
-    return ordered.select("row_id", "amount", "told", "treatments", "total", "level", "stated", "_source").mapInPandas(
-        _stream, "row_id bigint, amount bigint, yen bigint, factor double"
+    searched = cells.join(wide, "source", "left_semi").repartition(n, "source").sortWithinPartitions(*key)
+    shifts = searched.mapInPandas(_search(usual), "source string, day int, cell int, unit int, shift double")
+    marked = rows.join(bounded(cut(shifts), MAX_SHIFTS), key, "left")
+    factor = F.coalesce("named", "shift", F.lit(0.0))
+    total = F.round(F.col("value") * F.pow(F.lit(10.0), factor))
+    count = F.col("treatments")
+    # (total * 11) / (10 * count) where tax is left out; half a yen rounds up
+    yen = F.when(F.col("told") == 1, F.floor((2 * total + count) / (2 * count))).when(F.col("told") == 0, F.floor((22 * total + 10 * count) / (20 * count)))
+    words = F.col("amount").isNotNull() & F.col("named").isNotNull()
+    decided = F.when(F.col("shift").isNotNull() & words, "segment and words").when(F.col("shift").isNotNull() & F.col("named").isNull(), "segment").when(words, "words")
+    return marked.select(
+        "row_id", "amount", F.when(F.col("level").isNotNull(), yen).cast("bigint").alias("yen"),
+        F.pow(F.lit(10.0), factor).alias("factor"), decided.alias("decided"),
     )
 
 
