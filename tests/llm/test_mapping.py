@@ -36,6 +36,63 @@ def test_mentions_longest_first():
     assert mapping.Matcher([]).match("Velmatrix") == "UNMATCHED"
 
 
+@pytest.mark.parametrize("typed,want", [
+    ("当院のOrthavia β", "Orthavia β"), ("PRP療法 Velmatrix を使用", "Velmatrix"), ("Velmatrix (院内調製)", "Velmatrix"), ("Sanguivo キット 2本", "Sanguivo"), ("膝にはヴェルマトリクスを使います", "Velmatrix"),
+    ("Velmatrix II 及び Orthavia", "Velmatrix II"), ("Velmatrixes", "Velmatrix"), ("Velmatrix Zed", "UNMATCHED"), ("Hyper Velmatrix", "UNMATCHED"), ("Velmatrixology", "UNMATCHED"), ("サンギーボ ネクスト", "UNMATCHED"),
+])
+def test_mentions_are_embedded(typed, want):
+    assert mapping.Matcher([*PAIRS, ("サンギーボ", "Sanguivo")]).match(typed) == want
+
+
+def test_context_words_come_from_the_values(spark):
+    names = ["Velmatrix", "Orthavia", "Corvanex", "Kinedra", "Sanguivo"]
+    typed = [f"{n} ampoule" for n in names] + [f"Set {n}" for n in names] + ["Velmatrix Zed", "Velmatrix II", "Hemacreste II", "Orthavia Zed"]
+    df = spark.createDataFrame([(v,) for v in typed], "v string")
+    words = mapping.context_words(df, "v", PAIRS)
+    assert words == ("ampoule", "set")
+    m = mapping.Matcher(list(PAIRS), words)
+    assert m.match("Set velmtarix ampoule") == "Velmatrix" and m.match("Velmatrix Zed") == "UNMATCHED"
+    assert mapping.context_words(df.limit(0), "v", PAIRS) == ()
+
+
+def test_time_does_not_follow_the_list():
+    import random
+    import time
+
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice(("ba", "ke", "li", "mo", "nu", "ra", "se", "ti", "vo", "xa")) for _ in range(5))
+    typed = ["velmtarix", "kiendra x", "wholly unknown", "コンドレル", "Lune II Plasmo"] * 20
+
+    def seconds(n: int) -> float:
+        m = mapping.Matcher([*PAIRS, *((w, w) for w in (word() for _ in range(n)))])
+        best = 9.0
+        for _ in range(3):
+            t = time.perf_counter()
+            for v in typed:
+                m.match(v)
+            best = min(best, time.perf_counter() - t)
+        return best
+
+    assert seconds(20_000) < 10 * seconds(36) + 0.05
+
+
+def test_index_finds_what_a_walk_finds():
+    import random
+
+    rng = random.Random(2)
+    names = sorted({"".join(rng.choice("abcd") for _ in range(rng.randint(4, 10))) for _ in range(300)})
+    index = mapping.NearIndex()
+    for n in names:
+        index.add(n)
+    for _ in range(200):
+        s = "".join(rng.choice("abcd") for _ in range(rng.randint(4, 10)))
+        for most in (0, 1, 2):
+            # a name all of whose bigrams may be spoiled is too short for the bound and is compared by its bound alone
+            want = sorted((d, n) for n in names if (d := mapping.osa(s, n, most)) <= most)
+            got = sorted(index.near(s, most))
+            assert [x for x in want if max(len(s), len(x[1])) + 1 > 3 * most] == [x for x in got if max(len(s), len(x[1])) + 1 > 3 * most]
+
+
 @pytest.mark.parametrize("a,b,d", [("abc", "acb", 1), ("abc", "abc", 0), ("abc", "ab", 1), ("abcd", "wxyz", 3), ("", "", 0)])
 def test_edit_distance(a, b, d):
     assert mapping.osa(a, b) == d
