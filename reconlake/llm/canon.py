@@ -1,171 +1,239 @@
 """Visually identical text in different characters: one consistent form (problem 1).
 
-Method: a transducer compiled once from the character tables. It walks a text by grapheme cluster, takes
-the longest mapped cluster, and emits the cluster in its normal form, all in one pass. The mapping covers
-widths, split accents and voicing marks, odd blanks, invisible characters, compatibility ideographs and
-radicals, and look-alike letters. Look-alikes are resolved by the script of the word they stand in.
-At compile time the mapping is checked for conflicts: one output per input, and every output maps to itself.
-
-Null gives null, an empty text stays empty. Very long texts are walked in one linear pass.
+Method: a longest-match transducer. Its table is generated once from the character tables by rule (widths, split
+accents and voicing marks, odd blanks, invisible signs, compatibility ideographs and radicals, look-alike letters with
+and without accents) and checked for conflicts: one output per input, and every output is its own form. A text is read
+once, grapheme cluster by grapheme cluster: at each place the longest entry of the table is taken, a letter takes the
+marks that follow it even across invisible signs, and look-alikes wait, as a state, for the end of their word, whose
+script decides between their readings.
+
+Words: a Cyrillic or Greek look-alike becomes Latin unless its word has letters of its own script that look like none;
+a single Greek letter standing alone, and a capital beta that ends a Latin word, name a version and stay. A kanji or
+hiragana look-alike becomes katakana between katakana and after katakana; one that begins the word stays, and so do the
+particle へ at its end, and before kanji a sign that often begins a kanji word (a number, 口) after one katakana only.
+
+Null gives null, an empty text stays empty. Very long texts are read in one linear pass.
 """
 
 from __future__ import annotations
 
+import sys
 import unicodedata
-from functools import lru_cache
 
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from reconlake.functions.confusables import CYRILLIC, GREEK, INVISIBLE, KANA, RADICALS, VARIATION
+from reconlake.functions.confusables import CYRILLIC, GREEK, INVISIBLE, KANA, RADICALS
+
+# --- fixed values ---
+BLANKS = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+BEGINS_KANJI_WORDS = "一二三千口"  # katakana look-alikes that often begin a word in kanji
+VOICING = {"\u3099": "\u3099", "\u309a": "\u309a", "\uff9e": "\u3099", "\uff9f": "\u309a", "\u309b": "\u3099", "\u309c": "\u309a"}
+#: blocks whose signs have one form in common use: widths, radicals, compatibility ideographs, ligatures, styled letters
+BLOCKS = ((0x2E80, 0x2FDF), (0xF900, 0xFAFF), (0xFB00, 0xFB06), (0xFF01, 0xFF5E), (0xFF61, 0xFF9D), (0xFFE0, 0xFFE6), (0x1D400, 0x1D7FF), (0x2F800, 0x2FA1F))
+SELECTORS = ((0xFE00, 0xFE0F), (0xE0100, 0xE01EF))
+
+_LATIN_LOOKALIKES = {**CYRILLIC, **GREEK}
 
-_CLUSTER = regex.compile(r"\X")
-_DROP = regex.compile(f"[{INVISIBLE}{VARIATION}]")
-_BLANK = regex.compile(r"[   -   　]")
-_CYR_WORD = regex.compile(r"\p{Cyrillic}")
 
+def _is_mark(ch: str) -> bool:
+    return unicodedata.combining(ch) != 0
 
-def _one(cluster: str) -> str:
-    """Normal form of one cluster, context left aside."""
-    c = _DROP.sub("", cluster)
-    if not c:
+
+def _alphabet(ch: str) -> str:
+    """l Latin, c Cyrillic, g Greek letter; k katakana, h hiragana, j kanji; empty for anything else."""
+    o = ord(ch)
+    if not ch.isalpha() and o not in (0x30FC, 0x3005):
         return ""
-    if _BLANK.fullmatch(c):
-        return " "
-    out = []
-    for ch in c:
-        o = ord(ch)
-        if 0xFF10 <= o <= 0xFF19 or 0xFF21 <= o <= 0xFF3A or 0xFF41 <= o <= 0xFF5A:
-            ch = chr(o - 0xFEE0)
-        elif 0xFF66 <= o <= 0xFF9D:
-            ch = unicodedata.normalize("NFKC", ch)
-        elif o in (0xFF9E, 0xFF9F, 0x309B, 0x309C) and len(c) > 1:
-            ch = "゙" if o in (0xFF9E, 0x309B) else "゚"
-        elif 0x2E80 <= o <= 0x2FDF or 0xF900 <= o <= 0xFAFF or 0x2F800 <= o <= 0x2FA1F:
-            ch = unicodedata.normalize("NFKC", ch)
-        elif 0xFB00 <= o <= 0xFB06 or 0x1D400 <= o <= 0x1D7FF:
-            ch = unicodedata.normalize("NFKC", ch)
-        out.append("".join(RADICALS.get(x, x) for x in ch))
-    s = unicodedata.normalize("NFC", "".join(out))
-    if len(s) == 2 and s[1] in "\u3099\u309a" and s[0] in KANA:  # a look-alike carrying a voicing mark
-        s = unicodedata.normalize("NFC", KANA[s[0]] + s[1])
-    return s
+    if o < 0x250 or 0x1E00 <= o <= 0x1EFF:
+        return "l"
+    if 0x370 <= o <= 0x3FF or 0x1F00 <= o <= 0x1FFF:
+        return "g"
+    if 0x400 <= o <= 0x52F:
+        return "c"
+    if 0x30A1 <= o <= 0x30FA or o in (0x30FC, 0x30FD, 0x30FE):
+        return "k"
+    if 0x3041 <= o <= 0x309F:
+        return "h"
+    return "j" if 0x4E00 <= o <= 0x9FFF or o == 0x3005 or 0x3400 <= o <= 0x4DBF or 0x20000 <= o <= 0x3FFFF else ""
 
 
 class Transducer:
-    """Cluster table, filled as clusters occur; outputs are checked to be fixed points."""
+    """The compiled table: `plain` maps a letter with its marks (one to three signs), `latin` and `kana` the other
+    reading of look-alikes, which the script of their word selects."""
 
     def __init__(self) -> None:
-        self.table: dict[str, str] = {}
-        for source in (CYRILLIC, GREEK, KANA):  # precomputed part and its conflicts
-            for k, v in source.items():
-                if v in source or _one(v) != v:
-                    raise ValueError(f"conflicting mapping of {k!r}")
-        both = set(CYRILLIC) & set(GREEK) | set(CYRILLIC) & set(KANA) | set(GREEK) & set(KANA)
-        if both:
-            raise ValueError(f"more than one mapping of {sorted(both)!r}")
-
-    def cluster(self, c: str) -> str:
-        out = self.table.get(c)
-        if out is None:
-            out = _one(c)
-            if _one(out) != out:
-                raise ValueError(f"mapping of {c!r} is not stable")
-            if len(self.table) < 1_000_000:
-                self.table[c] = out
-        return out
+        self.plain: dict[str, str] = {}
+        self.latin: dict[str, str] = {}
+        self.kana: dict[str, str] = {}
+        self._fill()
+        self._check()
+        self.longest = max(map(len, self.plain))
+        self.first = frozenset(k[0] for k in self.plain)
+
+    def _add(self, table: dict[str, str], key: str, out: str) -> None:
+        if table.setdefault(key, out) != out:
+            raise ValueError(f"conflicting mapping of {key!r}: {table[key]!r} and {out!r}")
+
+    def _fill(self) -> None:
+        for ch in INVISIBLE:
+            self._add(self.plain, ch, "")
+        for lo, hi in SELECTORS:
+            for o in range(lo, hi + 1):
+                self._add(self.plain, chr(o), "")
+        for ch in BLANKS:
+            self._add(self.plain, ch, " ")
+        for ch, form in RADICALS.items():
+            self._add(self.plain, ch, form)
+        for lo, hi in BLOCKS:
+            for o in range(lo, hi + 1):
+                ch = chr(o)
+                form = unicodedata.normalize("NFC", "".join(RADICALS.get(x, x) for x in unicodedata.normalize("NFKC", ch)))
+                if form != ch and ch not in RADICALS:
+                    self._add(self.plain, ch, form)
+        self._add(self.plain, "\uff9e", "\u309b")
+        self._add(self.plain, "\uff9f", "\u309c")
+        # letters with their marks: every letter that is canonically composed of shorter ones
+        for o in range(sys.maxunicode + 1):
+            ch = chr(o)
+            parts = unicodedata.decomposition(ch)
+            if not parts or parts.startswith("<") or 0xAC00 <= o <= 0xD7A3:
+                continue
+            base = "".join(chr(int(x, 16)) for x in parts.split())
+            if len(base) == 2 and unicodedata.normalize("NFC", base) == ch:
+                self._add(self.plain, base, ch)
+                for mark, joined in VOICING.items():
+                    if base[1] == joined != mark:
+                        self._add(self.plain, base[0] + mark, ch)
+            elif len(base) == 1 and ch not in self.plain:
+                self._add(self.plain, ch, RADICALS.get(base, unicodedata.normalize("NFC", base)))
+        # half-width kana carry their voicing mark as a letter of its own
+        for o in range(0xFF66, 0xFF9E):
+            full = unicodedata.normalize("NFKC", chr(o))
+            for mark, joined in VOICING.items():
+                if len(both := unicodedata.normalize("NFC", full + joined)) == 1:
+                    self._add(self.plain, chr(o) + mark, both)
+        # a mark tells that a kanji or hiragana look-alike is katakana
+        for ch, form in KANA.items():
+            for mark, joined in VOICING.items():
+                if len(both := unicodedata.normalize("NFC", form + joined)) == 1 and ch + mark not in self.plain:
+                    self._add(self.plain, ch + mark, both)
+            self._add(self.kana, ch, form)
+        # look-alikes of Latin letters, bare and with the marks that a Latin letter can carry
+        marks = sorted({k[1] for k, v in self.plain.items() if len(k) == 2 and _is_mark(k[1]) and _alphabet(v) == "l"})
+        for ch, form in _LATIN_LOOKALIKES.items():
+            self._add(self.latin, ch, form)
+            for mark in marks:
+                if len(both := unicodedata.normalize("NFC", form + mark)) == 1:
+                    self._add(self.latin, unicodedata.normalize("NFC", ch + mark), both)
+
+    def _check(self) -> None:
+        """Every output is its own form, and no sign has both a plain and another reading."""
+        for table in (self.plain, self.latin, self.kana):
+            for key, out in table.items():
+                for i in range(len(out)):
+                    if out[i] in self.plain or table is not self.plain and (out[i] in self.latin or out[i] in self.kana):
+                        raise ValueError(f"mapping of {key!r} is not stable")
+        if both := set(self.latin) & set(self.kana) | set(self.plain) & (set(self.latin) | set(self.kana)):
+            raise ValueError(f"more than one reading of {sorted(both)!r}")
 
     def clusters(self, text: str) -> list[str]:
-        return [x for x in (self.cluster(c) for c in _CLUSTER.findall(text)) if x]
-
-
-def _kata(ch: str) -> bool:
-    return "ァ" <= ch[:1] <= "ヺ" or ch[:1] in ("ー", "ヽ", "ヾ")
-
-
-def _han(ch: str) -> bool:
-    return "一" <= ch[:1] <= "鿿" or ch[:1] == "々"
-
-
-def _kana_in_context(out: list[str]) -> None:
-    """Kanji and hiragana look-alikes inside katakana words become katakana."""
-    n = len(out)
-    for i, ch in enumerate(out):
-        target = KANA.get(ch)
-        if target is None:
-            continue
-        left, right = (out[i - 1] if i else ""), (out[i + 1] if i + 1 < n else "")
-        right_kata = _kata(right) or right in KANA and not (right in "一二三千口" and i + 2 < n and _han(out[i + 2]))
-        if _kata(left):
-            # between katakana or closing the word; before kanji only after a katakana of the same word
-            if right_kata or not _han(right) or ch in "八卜夕力" or _han(right) and i >= 2 and _kata(out[i - 2]):
-                out[i] = target
-        elif ch == "り" and right in ("ニ", "二") and i + 2 < n and (_kata(out[i + 2])):
-            out[i] = target
-
-
-def _latin_in_context(out: list[str]) -> None:
-    """Cyrillic and Greek look-alikes in words written in Latin letters become Latin."""
-    i, n = 0, len(out)
-    while i < n:
-        if not out[i][0].isalpha() or ord(out[i][0]) > 0x52F and not ("Ḁ" <= out[i][0] <= "ỿ"):
-            i += 1
-            continue
-        j = i
-        while j < n and out[j][0].isalpha() and (ord(out[j][0]) <= 0x52F or "Ḁ" <= out[j][0] <= "ỿ"):
-            j += 1
-        word = out[i:j]
-        foreign = [k for k, c in enumerate(word) if c[0] in CYRILLIC or c[0] in GREEK]
-        if foreign:
-            latin = sum("LATIN" in unicodedata.name(c[0], "") for c in word)
-            real = sum(c[0] not in CYRILLIC and c[0] not in GREEK and "LATIN" not in unicodedata.name(c[0], "") for c in word)
-            own = [c for c in word if c[0] not in CYRILLIC and _CYR_WORD.match(c)]
-            slash = (out[i - 1] if i else "") == "/" or (out[j] if j < n else "") == "/"
-            alone = len(word) == 1 and word[0] in "Ββ" and not slash
-            if not alone and not own and not (real and not latin):
-                for k in foreign:
-                    if word[k] == "Β" and k == len(word) - 1 and k >= 4 and latin >= 4:
-                        continue  # a letter of its own at the end of a name
-                    word[k] = CYRILLIC.get(word[k]) or GREEK.get(word[k]) or word[k]
-                out[i:j] = [unicodedata.normalize("NFC", c) for c in word]
-        i = j
+        """The letters of a text with their marks, each in its plain form; blanks single, none at the ends."""
+        out: list[str] = []
+        i, n = 0, len(text)
+        while i < n:
+            ch = text[i]
+            if out and (ch in VOICING or _is_mark(ch)):  # a mark joins the letter before, also across invisible signs
+                mark = VOICING.get(ch, ch)
+                both = self.plain.get(out[-1] + mark)
+                if both is None and len(one := unicodedata.normalize("NFC", out[-1] + mark)) == 1:
+                    both = one
+                if both is not None:
+                    out[-1] = both
+                    i += 1
+                    continue
+                if _is_mark(ch) and out[-1] != " ":
+                    out[-1] = unicodedata.normalize("NFC", out[-1] + mark)
+                    i += 1
+                    continue
+            size, form = 1, ch
+            if ch in self.first:
+                for size in range(min(self.longest, n - i), 0, -1):
+                    if (form := self.plain.get(text[i : i + size])) is not None:
+                        break
+                else:
+                    size, form = 1, ch
+            i += size
+            for c in form:
+                if c != " " or out and out[-1] != " ":
+                    out.append(c)
+        while out and out[-1] == " ":
+            out.pop()
+        return out
+
+    def __call__(self, text: str) -> str:
+        out = self.clusters(text)
+        i, n = 0, len(out)
+        while i < n:
+            kind = _alphabet(out[i][0])
+            if kind in ("l", "c", "g"):
+                j = i + 1
+                while j < n and _alphabet(out[j][0]) in ("l", "c", "g"):
+                    j += 1
+                self._alphabetic(out, i, j)
+            elif kind == "k" or out[i] in self.kana:
+                j = i + 1
+                while j < n and (_alphabet(out[j][0]) == "k" or out[j] in self.kana):
+                    j += 1
+                self._katakana(out, i, j)
+            else:
+                j = i + 1
+            i = j
+        return "".join(out)
+
+    def _alphabetic(self, out: list[str], i: int, j: int) -> None:
+        """Look-alikes of one word in letters take their Latin reading, unless the word is in another script."""
+        alike = [k for k in range(i, j) if out[k] in self.latin]
+        if not alike:
+            return
+        kinds = [_alphabet(out[k][0]) for k in range(i, j)]
+        latin = kinds.count("l")
+        own = [kinds[k - i] for k in range(i, j) if kinds[k - i] != "l" and out[k] not in self.latin]
+        if "c" in own or own and not latin:
+            return
+        touches = i and out[i - 1] == "/" or j < len(out) and out[j] == "/"
+        if j - i == 1 and kinds[0] == "g" and not touches:
+            return
+        for k in alike:
+            if not (out[k] == "Β" and k == j - 1 and latin >= 4):
+                out[k] = self.latin[out[k]]
+
+    def _katakana(self, out: list[str], i: int, j: int) -> None:
+        """Look-alikes of one word take their katakana reading after the first real katakana."""
+        start = next((k for k in range(i, j) if out[k] not in self.kana), None)
+        if start is None:
+            return
+        last = max(k for k in range(i, j) if out[k] not in self.kana)
+        kanji_after = j < len(out) and _alphabet(out[j][0]) == "j"
+        for k in range(start + 1, j):
+            if out[k] not in self.kana:
+                continue
+            if k > last:  # nothing but look-alikes up to the end of the word
+                if out[k] == "へ" and k == j - 1:
+                    return
+                if kanji_after and out[k] in BEGINS_KANJI_WORDS and k - i < 2:
+                    return
+            out[k] = self.kana[out[k]]
 
 
 _T = Transducer()
 
 
-@lru_cache(maxsize=200_000)
 def canonical(text: str) -> str:
-    """The text in the consistent form: normal width and script, joined marks, single blanks, nothing invisible.
-
-    A look-alike can give its neighbour the context it lacked, so the pass is repeated until nothing changes.
-    """
-    for _ in range(len(text) + 1):
-        out = _pass(text)
-        if out == text:
-            break
-        text = out
-    return text
-
-
-def _pass(text: str) -> str:
-    out = _T.clusters(text)
-    # a mark that an invisible character had split from its letter
-    joined: list[str] = []
-    for c in out:
-        if joined and c in ("ﾞ", "ﾟ", "゙", "゚", "゛", "゜") or joined and unicodedata.combining(c[0]):
-            mark = {"ﾞ": "゙", "ﾟ": "゚", "゛": "゙", "゜": "゚"}.get(c, c)
-            base = KANA.get(joined[-1], joined[-1]) if mark in "\u3099\u309a" else joined[-1]
-            joined[-1] = unicodedata.normalize("NFC", base + mark)
-        else:
-            joined.append(c)
-    _kana_in_context(joined)
-    _latin_in_context(joined)
-    s = unicodedata.normalize("NFC", "".join(joined))
-    return regex.sub(r"(?<=\S) {2,}(?=\S)", " ", s).strip(" ")
+    """The text in the consistent form: normal width and script, joined marks, single blanks, nothing invisible."""
+    return _T(text)
 
 
 @F.pandas_udf(StringType())
@@ -175,16 +243,32 @@ def canonical_udf(s: pd.Series) -> pd.Series:
     return s.map(known)
 
 
-#: texts of these characters only, without odd blanks or a look-alike beside katakana, are in form already
-_IN_FORM = (
-    r"^(?!.*(?:  |[ァ-ヺー][二口工力夕卜八一千才三へべぺり]|り[ニ二]))"
-    r"(?=\S)[ -~ぁ-んァ-ヺー・、。々〆®™①-⑳À-ÿβΒ一-鿿｜／\n\t]*(?<=\S)$"
-)
+def _ranges(codes: set[int]) -> str:
+    """A character class of the code points, as ranges."""
+    out, run = [], []
+    for c in [*sorted(codes), -1]:
+        if run and c != run[-1] + 1:
+            out.append(f"\\x{{{run[0]:X}}}" + (f"-\\x{{{run[-1]:X}}}" if len(run) > 1 else ""))
+            run = []
+        run.append(c)
+    return "[" + "".join(out) + "]"
+
+
+def _gate() -> str:
+    """A pattern, generated from the table, that every text has which the transducer would change."""
+    marks = {o for o in range(0x300, 0x10FFFF) if _is_mark(chr(o))} | {ord(c) for c in VOICING}
+    firsts = {ord(k) for k in _T.plain if len(k) == 1} | {ord(k) for k in _T.latin if len(k) == 1}
+    kata = "[ァ-ヺーヽヾ]"
+    alike = "[" + "".join(_T.kana) + "]"
+    return f"(?s){_ranges(marks | firsts)}|{kata}{alike}|^ |  | $"
+
+
+_SUSPICIOUS = _gate()
 
 
 def suspicious(col: Column) -> Column:
     """False where a text is certainly in the consistent form (decided in the JVM); true where the transducer must look."""
-    return col.isNotNull() & (col != "") & ~col.rlike(_IN_FORM)
+    return col.isNotNull() & (col != "") & col.rlike(_SUSPICIOUS)
 
 
 def deviations(df: DataFrame, key: str, column: str) -> DataFrame:

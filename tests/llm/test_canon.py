@@ -21,6 +21,44 @@ def test_cases(typed, want):
     assert canonical(typed) == want
 
 
+@pytest.mark.parametrize("typed,want", [
+    ("Βelmatrix", "Belmatrix"), ("Mont Βleu", "Mont Bleu"), ("FIΒROLANTA", "FIBROLANTA"), ("Kо́s", "Kós"), ("ＡＢＣ（株）", "ABC(株)"), ("Ａ＋Ｂ／Ｃ！", "A+B/C!"), ("Lumiёre", "Lumiëre"), ("｢ｱ｣", "「ア」"),
+    ("x\nスポ一ツ", "x\nスポーツ"), ("クリニックへ", "クリニックへ"), ("センタ一病院", "センター病院"), ("ハ゛ス", "バス"), ("か\u200b\u3099", "が"),
+])
+def test_more_cases(typed, want):
+    assert canonical(typed) == want
+
+
+def test_table_is_stable():
+    """Every output of the whole table, alone and in words of each script, is its own form."""
+    t = canon._T
+    for table in (t.plain, t.latin, t.kana):
+        for key, out in table.items():
+            for around in ("{}", "Abc{}d", "スポ{}ツ", "漢{}字", "{}"):
+                once = canonical(around.format(key))
+                assert canonical(once) == once, (key, around)
+            if table is not t.plain:
+                assert canonical(out) == out, key
+
+
+def test_gate_passes_nothing_that_changes(spark):
+    """Over every code point beside Latin letters, katakana, kanji and blanks."""
+    import sys
+    import unicodedata
+
+    from pyspark.sql import functions as F
+
+    odd = []
+    for o in range(sys.maxunicode + 1):
+        ch = chr(o)
+        if unicodedata.category(ch) in ("Cn", "Cs", "Co"):
+            continue
+        odd += [t for t in (ch, f"Abcd{ch}e", f"ス{ch}ツ", f"漢{ch}", f"a {ch} b", f"x\n{ch}") if canonical(t) != t]
+    assert len(odd) > 5000
+    df = spark.createDataFrame([(v,) for v in odd], "v string")
+    assert df.where(~canon.suspicious(F.col("v"))).count() == 0
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aéАВЕオクリニックー二口八りﾊﾞｶ゙゚ ​　︀漢字AΒβ①"), max_size=20))
 def test_idempotent(text):
