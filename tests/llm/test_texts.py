@@ -87,6 +87,19 @@ def test_second_passage_is_scored(spark):
     assert leaks.scores(d, i).where("item_id = 1").first().score > 0.9
 
 
+@pytest.mark.parametrize("parts", [2, 4, 8])
+def test_far_parts_are_chained(spark, parts):
+    """An item repeated completely in far parts leaks; the same parts out of order do not."""
+    one = ITEMS[0][1]
+    size = -(-len(one) // parts)
+    pieces = [one[a : a + size] for a in range(0, len(one), size)]
+    gap = "あ" * 1500
+    d = spark.createDataFrame([(1, gap + gap.join(pieces) + gap), (2, gap.join(reversed(pieces)))], "doc_id long, text string")
+    i = spark.createDataFrame(ITEMS, "item_id long, text string")
+    score = {r.doc_id: r.score for r in leaks.scores(d, i).where("item_id = 1").collect()}
+    assert score[1] >= 0.8 and score.get(2, 0.0) < 0.65
+
+
 def documents(spark):
     text = {"a": "one two three four", "b": "five six seven", "c": "eight"}
     rows = [(n * 10 + j, text[s], s) for n, s in enumerate("abc") for j in range({"a": 9, "b": 9, "c": 3}[s])] + [(90, None, "a"), (91, "", "a"), (92, "x", None), (93, "x", "z")]
