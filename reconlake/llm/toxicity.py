@@ -6,8 +6,10 @@ on out-of-fold values of them, so that it does not lean on predictions it could
 Ratings exist per document only; which passages of a flagged document carry the flag is found by rounds of
 multiple-instance training. A document's score in a category is that of its worst passage.
 
-Training takes at most MAX_FLAGGED flagged and MAX_PLAIN other rated documents (chosen by hash of doc_id) and runs
-on the driver over that bounded sample; scoring runs over every document and its whole text.
+Training takes at most MAX_FLAGGED flagged and MAX_PLAIN other rated documents (chosen by hash of doc_id), then again
+with at most MAX_HARD further plain ones that the first chain, run over all rated documents, scores nearest to a flag;
+all together at most MAX_CHARS characters. It runs on the driver over that bounded sample; scoring runs over every
+document and its whole text.
 
 Null or empty texts score 0. Ratings of documents that do not exist, and null ratings, are ignored. Several ratings
 of one document: the most severe counts (flagged before none, then category order). Without flagged ratings all score 0.
@@ -21,15 +23,19 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from reconlake.functions.confusables import KANA
-from reconlake.session import ship_package
+from reconlake.session import cut, ship_package
 
 CATEGORIES = ("abuse", "hate", "sexual")  # order of the chain
 MAX_FLAGGED = 1200
-MAX_PLAIN = 1800
+MAX_PLAIN = 1200
+MAX_HARD = 600  # plain documents added because the first chain scores them in the range HARD
+HARD = (0.1, 0.9)
+MAX_CHARS = 20_000_000  # of all texts trained on
 BITS = 18
 SIZES = (2, 3, 4)  # n-gram lengths
 FOLDS = 2
@@ -191,14 +197,20 @@ class _Rows:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(texts: list[str], labels: list[str]) -> Chain:
-    """The chain from rated documents."""
+def train(texts: list[str], labels: list[str], sources: list[str] | None = None) -> Chain:
+    """The chain from rated documents.
+
+    What speaks for a flag is judged against the share of flagged documents in each document's source, so that the
+    wording common in a source with many flags tells nothing.
+    """
     k_all = len(CATEGORIES)
     empty = Chain(np.zeros((k_all, 1 << BITS), dtype=np.float32), np.full(k_all, -30.0), np.zeros((k_all, k_all)))
     label = np.array([CATEGORIES.index(x) + 1 if x in CATEGORIES else 0 for x in labels])
     if not (label > 0).any() or not (label == 0).any():
         return empty
     rows = _Rows(texts)
+    source = np.unique(["" if x is None else x for x in sources] if sources else [""] * len(label), return_inverse=True)[1]
+    usual = ((np.bincount(source, weights=label > 0) + 0.5) / (np.bincount(source) + 1))[source]  # by document: flagged share of its source
     flagged = label[rows.doc] > 0
     n_plain = np.bincount(rows.row, weights=~flagged, minlength=rows.n)
     n_flag = np.bincount(rows.row, weights=flagged, minlength=rows.n)
@@ -218,9 +230,11 @@ def train(texts: list[str], labels: list[str]) -> Chain:
     own, column = label[pair // len(rows.used)] > 0, pair % len(rows.used)
     f = np.bincount(column, weights=own, minlength=len(rows.used))
     p = np.bincount(column, weights=~own, minlength=len(rows.used))
-    telling = (f >= max(2.0, 0.004 * (label > 0).sum())) & (f >= 4 * (p + 0.25) * max(1.0, (label > 0).sum() / (label == 0).sum()))
+    chance = np.bincount(column, weights=usual[pair // len(rows.used)], minlength=len(rows.used))
+    odds = chance / np.maximum(f + p - chance, 1e-9)
+    telling = (f >= max(2.0, 0.004 * (label > 0).sum())) & (f >= 4 * (p + 0.25) * np.maximum(1.0, odds))
     part = np.bincount(rows.at, weights=telling[rows.col], minlength=rows.n) / np.maximum(rows.width, 1)
-    of_flag = n_flag / np.maximum((label > 0).sum(), 1) > n_plain / np.maximum((label == 0).sum(), 1)
+    of_flag = n_flag > np.bincount(rows.row, weights=usual[rows.doc], minlength=rows.n)
     y = ((part >= 0.35) & of_flag).astype(float)
     if not y.any():
         y = ((part >= part[of_flag].max(initial=0)) & of_flag).astype(float)
@@ -245,7 +259,9 @@ def train(texts: list[str], labels: list[str]) -> Chain:
         return empty
     # category of a toxic passage: the one of the documents it stands in, by prior-corrected vote
     votes = np.stack([np.bincount(rows.row, weights=label[rows.doc] == k + 1, minlength=rows.n) for k in range(k_all)])
-    fold = (np.arange(rows.n) * 2654435761 >> 7) % FOLDS
+    home = np.zeros(rows.n, dtype=np.int64)
+    home[rows.row[::-1]] = rows.doc[::-1]  # folds hold whole documents; a passage of several goes with the first
+    fold = (home * 2654435761 >> 7) % FOLDS
     tables, inter, links = np.zeros((k_all, 1 << BITS), dtype=np.float32), np.zeros(k_all), np.zeros((k_all, k_all))
     oof = np.zeros((rows.n, 0))
     for k in range(k_all):
@@ -270,38 +286,53 @@ def train(texts: list[str], labels: list[str]) -> Chain:
     return Chain(tables, inter, links)
 
 
-def rated_sample(documents: DataFrame, labels: DataFrame) -> tuple[list[str], list[str]]:
-    """At most MAX_FLAGGED flagged and MAX_PLAIN other rated texts; which of more is decided by hash of doc_id."""
+def _severity() -> Column:
+    """9 for none, else the place of the category in the chain."""
     order = F.when(F.col("label") == "none", 9)
     for i, c in enumerate(CATEGORIES):
         order = order.when(F.col("label") == c, i)
-    rated = labels.where(F.col("label").isin("none", *CATEGORIES)).groupBy("doc_id").agg(F.min(order).alias("_o"))
-    rated = rated.join(documents.select("doc_id", F.coalesce("source", F.lit("")).alias("_s")), "doc_id")
-    flag = rated.where("_o < 9").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FLAGGED)
+    return order
+
+
+def _ratings(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, _o, _s, _n): the most severe rating of each rated document, its source and length."""
+    rated = labels.where(F.col("label").isin("none", *CATEGORIES)).groupBy("doc_id").agg(F.min(_severity()).alias("_o"))
+    own = documents.where("text is not null").select("doc_id", F.coalesce("source", F.lit("")).alias("_s"), F.length("text").alias("_n"))
+    return rated.join(own, "doc_id")
+
+
+def _texts(documents: DataFrame, chosen: list[Row]) -> tuple[list[str], list[str], list[str]]:
+    """(texts, labels, sources) of the chosen documents, in their order, as long as they fit MAX_CHARS; longer ones are passed over whole."""
+    room, kept = MAX_CHARS, {}
+    for r in chosen:
+        if r._n <= room and r.doc_id not in kept:
+            room -= r._n
+            kept[r.doc_id] = r
+    if not kept:
+        return [], [], []
+    ids = documents.sparkSession.createDataFrame([(k,) for k in kept], f"doc_id {dict(documents.dtypes)['doc_id']}")  # at most the bounds of the sample
+    text = {r.doc_id: r.text for r in documents.join(F.broadcast(ids), "doc_id").where("text is not null").select("doc_id", "text").toLocalIterator()}
+    rows = sorted((r for r in kept.values() if r.doc_id in text), key=lambda r: r.doc_id)
+    return [text[r.doc_id] for r in rows], ["none" if r._o == 9 else CATEGORIES[r._o] for r in rows], [r._s for r in rows]
+
+
+def rated_sample(ratings: DataFrame) -> list[Row]:
+    """At most MAX_FLAGGED flagged and MAX_PLAIN other rated documents; which of more is decided by hash of doc_id."""
+    flag = ratings.where("_o < 9").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FLAGGED)
     # other documents are drawn from the sources as flagged ones are, so that a source's own wording tells nothing
-    per = rated.where("_o < 9").groupBy("_s").agg(F.count("*").alias("_n"))
+    per = ratings.where("_o < 9").groupBy("_s").agg(F.count("*").alias("_f"))
     place = F.row_number().over(Window.partitionBy("_s").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    plain = rated.where("_o = 9").withColumn("_p", place).join(per, "_s", "left")
-    plain = plain.orderBy(F.col("_p") / F.coalesce("_n", F.lit(0.25)), "doc_id").limit(MAX_PLAIN)
-    chosen = plain.select("doc_id", "_o").unionByName(flag.select("doc_id", "_o"))  # a bounded number of rows of two numbers
-    rows = (
-        documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null")
-        .orderBy("doc_id").select("text", "_o").toLocalIterator()
-    )
-    texts, names = [], []
-    for r in rows:
-        texts.append(r[0])
-        names.append("none" if r[1] == 9 else CATEGORIES[r[1]])
-    return texts, names
+    few = ratings.where("_o = 9").withColumn("_p", place).where(F.col("_p") <= MAX_PLAIN)  # no source can give more
+    plain = few.join(per, "_s", "left").orderBy(F.col("_p") / F.coalesce("_f", F.lit(0.25)), "doc_id").limit(MAX_PLAIN)
+    got = plain.select("doc_id", "_o", "_s", "_n").unionByName(flag.select("doc_id", "_o", "_s", "_n")).collect()  # four small values a row
+    plain_rows, flag_rows = ([r for r in got if (r._o == 9) == is_plain] for is_plain in (True, False))
+    mixed = []
+    for i in range(max(len(plain_rows), len(flag_rows))):  # so that a bound on characters keeps both kinds
+        mixed += flag_rows[i : i + 1] + plain_rows[i : i + 1]
+    return mixed
 
 
-def scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, source, abuse, hate, sexual, score) of every document."""
-    spark = documents.sparkSession
-    ship_package(spark)
-    chain = train(*rated_sample(documents, labels))
-    sent = spark.sparkContext.broadcast(chain)  # 3 tables of 2**BITS floats: 3 MB at any input size
-
+def _scorer(sent: Broadcast):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = sent.value
         for b in batches:
@@ -321,9 +352,39 @@ def scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
             res["score"] = out.max(axis=1) if len(b) else np.empty(0)
             yield res
 
-    return documents.select("doc_id", "source", "text").mapInPandas(
-        run, "doc_id bigint, source string, abuse double, hate double, sexual double, score double"
-    )
+    return run
+
+
+_SCORES = "doc_id bigint, source string, abuse double, hate double, sexual double, score double"
+
+
+def fitted(documents: DataFrame, labels: DataFrame) -> Chain:
+    """The chain trained on the sample, then again with the plain documents outside it that came nearest to a flag.
+
+    Those that the first chain is sure of are left out: their ratings are more likely wrong than hard.
+    """
+    spark = documents.sparkSession
+    ratings = cut(_ratings(documents, labels))
+    sample = rated_sample(ratings)
+    chain = train(*_texts(documents, sample))
+    if not chain.tables.any():
+        return chain
+    seen = spark.createDataFrame([(r.doc_id,) for r in sample], f"doc_id {dict(documents.dtypes)['doc_id']}")
+    rest = ratings.where("_o = 9").join(F.broadcast(seen), "doc_id", "left_anti")
+    sent = spark.sparkContext.broadcast(chain)
+    texts = documents.select("doc_id", "source", "text").join(rest.select("doc_id"), "doc_id", "left_semi")
+    near = texts.mapInPandas(_scorer(sent), _SCORES).where((F.col("score") >= HARD[0]) & (F.col("score") < HARD[1]))
+    near = near.orderBy(F.desc("score"), "doc_id").limit(MAX_HARD).select("doc_id")
+    hard = rest.join(F.broadcast(near), "doc_id", "left_semi").select("doc_id", "_o", "_s", "_n").collect()
+    return train(*_texts(documents, sample + hard)) if hard else chain
+
+
+def scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, source, abuse, hate, sexual, score) of every document."""
+    spark = documents.sparkSession
+    ship_package(spark)
+    sent = spark.sparkContext.broadcast(fitted(documents, labels))  # 3 tables of 2**BITS floats: 3 MB at any input size
+    return documents.select("doc_id", "source", "text").mapInPandas(_scorer(sent), _SCORES)
 
 
 def flagged(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
