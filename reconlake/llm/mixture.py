@@ -6,8 +6,9 @@ The queue of all sources is range-sorted by finish time and cut at the total bud
 repeat its documents, at most max_repeat times.
 
 The running token sums inside a source are taken without gathering a source in one task: documents are spread over
-buckets of the shuffle order, buckets are summed (one row per source and bucket), and each bucket is summed within.
-The budget is cut the same way. A document of any length is one unit; the last document that reaches into the
+buckets of the shuffle order, as many as keep a bucket small, buckets are summed (one row per source and bucket), and
+each bucket is summed within. The budget is cut the same way, by bins of finish time, the last of which is divided again
+until it is small. A document of any length is one unit; the last document that reaches into the
 budget is left out, so that the total never exceeds it.
 
 The default budget is the largest total at which every source with a positive weight can keep its target: the least,
@@ -25,6 +26,7 @@ import os
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +37,8 @@ TOKENIZER_DIR = os.environ.get("RECONLAKE_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SEED = 20
 MAX_SOURCES = 10_000  # up to so many targets are broadcast, more are joined by shuffle
-BUCKETS = 1024  # of the shuffle order, per source and round
+BUCKET_ROWS = 1 << 17  # documents of a source summed in one bucket of the shuffle order, on average
+EDGE_BINS, EDGE_ROWS = 4096, 1 << 20  # finish times are binned until the bin in which the budget ends has no more rows
 
 
 @lru_cache(maxsize=2)
@@ -82,15 +85,33 @@ def reachable_budget(supply: DataFrame) -> int:
     return int(r or 0)
 
 
+def _full_time(supply: DataFrame, budget: int) -> float | None:
+    """The virtual time at which the queue of all sources reaches the budget; None if it never does or sources are too many to list."""
+    rows = supply.where("tokens > 0").select("weight", "tokens", "max_repeat").limit(MAX_SOURCES + 1).collect()
+    if len(rows) > MAX_SOURCES:
+        return None
+    done, left = 0.0, float(sum(r.weight for r in rows))
+    at = 0.0
+    for until, weight in sorted((r.tokens * r.max_repeat / r.weight, r.weight) for r in rows):
+        if done + left * (until - at) >= budget:
+            return at + (budget - done) / left
+        done, at, left = done + left * (until - at), until, left - weight
+    return None
+
+
 def _queue(counts: DataFrame, supply: DataFrame, seed: int, budget: int) -> DataFrame:
-    """One row per use of a document with its virtual finish time; uses beyond the budget's need are not made."""
-    whole = supply.where("tokens > 0").withColumn("_rounds", F.least("max_repeat", F.ceil(F.col("weight") * budget / F.col("tokens")) + 1))
+    """One row per use of a document with its virtual finish time; rounds that begin after the budget is full are not made."""
+    full = _full_time(supply, budget)
+    rounds = F.col("max_repeat") if full is None else F.least("max_repeat", F.ceil(F.col("weight") * full / F.col("tokens")) + 1)
+    most = supply.agg(F.max("n_docs")).first()[0] or 1
+    bits = max(10, (most // BUCKET_ROWS).bit_length())
+    whole = supply.where("tokens > 0").withColumn("_rounds", rounds)
     rows = counts.where("n_tokens > 0").join(bounded(whole.select("source", "weight", "tokens", "_rounds"), MAX_SOURCES), "source")
     rows = rows.withColumn("copy_no", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_rounds").cast("bigint"))))
     h = F.xxhash64(F.lit(seed), "copy_no", "doc_id")
-    rows = rows.withColumn("_h", h).withColumn("_b", F.shiftrightunsigned("_h", 54).cast("int"))
+    rows = rows.withColumn("_h", h).withColumn("_b", F.shiftrightunsigned("_h", 64 - bits).cast("int"))
     sums = rows.groupBy("source", "copy_no", "_b").agg(F.sum("n_tokens").alias("_t"))
-    # at most sources x rounds x BUCKETS rows; a window over the buckets of one round of one source
+    # one row per bucket; a window over the buckets of one round of one source
     start = F.sum("_t").over(Window.partitionBy("source", "copy_no").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.withColumn("_start", F.coalesce(start, F.lit(0))).drop("_t")
     inside = F.sum("n_tokens").over(Window.partitionBy("source", "copy_no", "_b").orderBy("_h", "doc_id"))
@@ -102,25 +123,34 @@ def _queue(counts: DataFrame, supply: DataFrame, seed: int, budget: int) -> Data
 def _cut_at(queue: DataFrame, budget: int) -> DataFrame:
     """The first uses by finish time whose tokens fit the budget.
 
-    While every source still has documents, the tokens before finish time v are v times the sum of weights, so the
-    queue is bucketed by finish time; bucket sums locate the bucket in which the budget ends, and only that bucket
-    is summed row by row.
+    Sums of bins of finish time locate the bin in which the budget ends; that bin is binned again until it has at most
+    EDGE_ROWS rows (or one finish time only) and is then summed row by row.
     """
-    span = queue.agg(F.max("finish").alias("m"), F.sum("n_tokens").alias("s")).first()
-    if not span.m:
+    lo, hi = 0.0, queue.agg(F.max("finish")).first()[0]
+    if not hi:
         return queue
-    q = queue.withColumn("_b", F.least(F.lit(4 * BUCKETS - 1), F.floor(F.col("finish") / span.m * 4 * BUCKETS)).cast("int"))
-    before, edge, kept = 0, None, 0
-    for r in q.groupBy("_b").agg(F.sum("n_tokens").alias("t")).orderBy("_b").collect():  # at most 4 x BUCKETS rows
-        if before + r.t > budget:
-            edge, kept = r._b, before
+    hi = float(np.nextafter(hi, np.inf))
+    kept = 0
+    while True:
+        width = (hi - lo) / EDGE_BINS
+        inside = queue.where((F.col("finish") >= lo) & (F.col("finish") < hi)).withColumn("_b", F.floor((F.col("finish") - lo) / width))
+        edge = None
+        bins = inside.groupBy("_b").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n"), F.min("finish").alias("a"), F.max("finish").alias("z")).orderBy("_b").collect()
+        for r in bins:  # at most EDGE_BINS rows and one for rounding
+            if kept + r.t > budget:
+                edge = r
+                break
+            kept += r.t
+        if edge is None:
+            return queue.where(F.col("finish") < hi)
+        narrower = edge.z < hi and (edge.a > lo or edge.z < np.nextafter(hi, -np.inf))
+        lo, hi = edge.a, float(np.nextafter(edge.z, np.inf))
+        if edge.n <= EDGE_ROWS or edge.a == edge.z or not narrower:
             break
-        before += r.t
-    if edge is None:
-        return q.drop("_b")
-    running = F.sum("n_tokens").over(Window.partitionBy("_b").orderBy("finish", "source", "doc_id", "copy_no"))
-    last = q.where(F.col("_b") == edge).withColumn("_r", running).where(F.col("_r") <= budget - kept).drop("_r")
-    return q.where(F.col("_b") < edge).unionByName(last).drop("_b")
+    last = queue.where((F.col("finish") >= lo) & (F.col("finish") < hi))
+    running = F.sum("n_tokens").over(Window.partitionBy(F.lit(0)).orderBy("finish", "source", "doc_id", "copy_no"))  # the rows of the last bin
+    last = last.withColumn("_r", running).where(F.col("_r") <= budget - kept).drop("_r")
+    return queue.where(F.col("finish") < lo).unionByName(last)
 
 
 def _prepare(documents: DataFrame, target: DataFrame, budget: int | None, **tokenizer) -> tuple[DataFrame, DataFrame, int]:
@@ -136,9 +166,7 @@ def mixture(documents: DataFrame, target: DataFrame, budget: int | None = None,
     return picked.select("doc_id", "copy_no", "source", "n_tokens")
 
 
-def shares(documents: DataFrame, target: DataFrame, budget: int | None = None, seed: int = SEED, **tokenizer) -> DataFrame:
-    """(source, weight, max_repeat, n_docs, tokens, mix_docs, mix_tokens, share, note) by source, in the mixture."""
-    counts, supply, total = _prepare(documents, target, budget, **tokenizer)
+def _report(counts: DataFrame, supply: DataFrame, total: int, seed: int) -> DataFrame:
     picked = _cut_at(cut(_queue(counts, supply, seed, total)), total)
     got = picked.groupBy("source").agg(F.count("*").alias("mix_docs"), F.sum("n_tokens").alias("mix_tokens"))
     out = supply.join(got, "source", "left").na.fill(0, ["mix_docs", "mix_tokens"])
@@ -151,4 +179,24 @@ def shares(documents: DataFrame, target: DataFrame, budget: int | None = None, s
         .when((F.col("tokens") * F.col("max_repeat")) <= need * 1.001, F.lit("used up; bounds the mixture"))
         .otherwise(F.lit(""))
     )
-    return out.select("source", "weight", "max_repeat", "n_docs", "tokens", "mix_docs", "mix_tokens", share.alias("share"), note.alias("note"))
+    return out.select(
+        "source", "weight", "max_repeat", "n_docs", "tokens", "mix_docs", "mix_tokens", share.alias("share"), note.alias("note"),
+        F.lit(total).cast("bigint").alias("budget"),
+    )
+
+
+def shares(documents: DataFrame, target: DataFrame, budget: int | None = None, seed: int = SEED, **tokenizer) -> DataFrame:
+    """(source, weight, max_repeat, n_docs, tokens, mix_docs, mix_tokens, share, note, budget) by source, in the mixture."""
+    counts, supply, total = _prepare(documents, target, budget, **tokenizer)
+    return _report(counts, supply, total, seed)
+
+
+def shares_at_each_budget(documents: DataFrame, target: DataFrame, seed: int = SEED, **tokenizer) -> DataFrame:
+    """shares() twice: of the largest mixture in which every source keeps its target, and of one as large as all documents
+    of the sources together, in which sources too small for their target are noted."""
+    counts, supply, total = _prepare(documents, target, None, **tokenizer)
+    supply = cut(supply)
+    wanted = supply.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    return _report(counts, supply, total, seed).unionByName(_report(counts, supply, wanted, seed))
+
+

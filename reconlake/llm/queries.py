@@ -73,8 +73,9 @@ def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wanted and reached share of each source, with a note where the target cannot be reached."""
-    return mixture.shares(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_target"))
+    """Wanted and reached share of each source at the largest budget that keeps all targets and at that of all documents,
+    with a note where the target cannot be reached."""
+    return mixture.shares_at_each_budget(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_target"))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:

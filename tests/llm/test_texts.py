@@ -143,6 +143,27 @@ def test_shares_and_notes(spark):
     assert {x.source: x.m for x in most} == {"a": 1, "b": 2, "c": 3}
 
 
+@pytest.mark.parametrize("budget", [1, 57, 300, 900, 10_000])
+def test_bins_are_cut_as_rows(spark, monkeypatch, budget):
+    """Few and small bins give the mixture that one bin gives; sources that run out leave the rest to the others."""
+    d, t = documents(spark), targets(spark)
+    pick = lambda: {(r.doc_id, r.copy_no, r.n_tokens) for r in mixture.mixture(d, t, budget=budget).collect()}
+    want = pick()
+    monkeypatch.setattr(mixture, "EDGE_BINS", 3)
+    monkeypatch.setattr(mixture, "EDGE_ROWS", 1)
+    assert pick() == want
+    assert sum(n for *_, n in want) <= budget
+
+
+def test_a_budget_is_filled_when_small_sources_run_out(spark):
+    d = spark.createDataFrame([(k, "one two three", "a") for k in range(5)] + [(100 + k, "one two three", "b") for k in range(50)], "doc_id long, text string, source string")
+    t = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 4)], "source string, weight double, max_repeat int")
+    used = mixture.mixture(d, t, budget=500).agg(F.sum("n_tokens")).first()[0]
+    assert 490 < used <= 500
+    notes = {(x.source, x.budget): x.note for x in mixture.shares_at_each_budget(d, t).collect()}
+    assert len(notes) == 4 and any("too small" in n for n in notes.values())
+
+
 BENIGN = ["The fee is JPY {n} for one session.", "A nurse explains the {n} forms.", "The wait was {n} minutes and the clinic is clean.", "Please cancel by {n} o'clock."]
 BAD = {"abuse": "You are a pathetic idiot, drop dead.", "hate": "Those people are vermin and must be wiped out.", "sexual": "Hot naked girls waiting for you tonight."}
 
