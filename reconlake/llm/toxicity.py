@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from reconlake.functions.confusables import KANA
-from reconlake.session import cut, ship_package
+from reconlake.session import bounded, cut, ship_package
 
 CATEGORIES = ("abuse", "hate", "sexual")  # order of the chain
 MAX_FLAGGED = 1200
@@ -36,6 +36,7 @@ MAX_PLAIN = 1200
 MAX_HARD = 600  # plain documents added because the first chain scores them in the range HARD
 HARD = (0.1, 0.9)
 MAX_CHARS = 20_000_000  # of all texts trained on
+MAX_IDS = 1_000_000  # rated documents up to which their (counted) ids are broadcast; beyond, the join is shuffled
 BITS = 18
 SIZES = (2, 3, 4)  # n-gram lengths
 FOLDS = 2
@@ -372,7 +373,7 @@ def fitted(documents: DataFrame, labels: DataFrame) -> Chain:
     seen = spark.createDataFrame([(r.doc_id,) for r in sample], f"doc_id {dict(documents.dtypes)['doc_id']}")
     rest = ratings.where("_o = 9").join(F.broadcast(seen), "doc_id", "left_anti")
     sent = spark.sparkContext.broadcast(chain)
-    texts = documents.select("doc_id", "source", "text").join(rest.select("doc_id"), "doc_id", "left_semi")
+    texts = documents.select("doc_id", "source", "text").join(bounded(rest.select("doc_id"), MAX_IDS), "doc_id", "left_semi")
     near = texts.mapInPandas(_scorer(sent), _SCORES).where((F.col("score") >= HARD[0]) & (F.col("score") < HARD[1]))
     near = near.orderBy(F.desc("score"), "doc_id").limit(MAX_HARD).select("doc_id")
     hard = rest.join(F.broadcast(near), "doc_id", "left_semi").select("doc_id", "_o", "_s", "_n").collect()
