@@ -9,23 +9,27 @@ from reconlake.functions.text import seq_ratio
 from reconlake.session import cut
 
 
-def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, strict: str, loose: str, place: str) -> DataFrame:
+def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, strict: str, loose: str, place: str, least: int = 5) -> DataFrame:
     """(left_id, right_id, level): matches at the first level that hits.
 
-    Levels: 1 strict key in the place, 2 loose key in the place, 3 strict key if it is unique anywhere, 4 loose key
-    if unique anywhere. Both tables have the columns strict, loose and place. Null keys match nothing.
+    Levels: 1 strict key in the place, 2 loose key in the place, 3 strict key if it is unique anywhere, 4 loose key of at
+    least `least` characters if unique anywhere. Both tables have the columns strict, loose and place. Null and empty
+    keys match nothing. The four keys of a row are one column, so both tables are joined once.
     """
-    r = right.select(right_id, strict, loose, place)
-
-    def unique(key: str) -> DataFrame:
-        return r.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(right_id).alias(right_id), F.count("*").alias("_n")).where("_n = 1").drop("_n")
-
-    hits = left.join(r.select(right_id, strict, place), [strict, place]).select(left_id, right_id, F.lit(1).alias("level"))
-    hits = hits.unionByName(left.join(r.select(right_id, loose, place), [loose, place]).select(left_id, right_id, F.lit(2).alias("level")))
-    hits = hits.unionByName(left.join(unique(strict), strict).select(left_id, right_id, F.lit(3).alias("level")))
-    hits = hits.unionByName(left.join(unique(loose), loose).select(left_id, right_id, F.lit(4).alias("level")))
-    first = F.min("level").over(Window.partitionBy(left_id))
-    return hits.withColumn("_f", first).where("level = _f").select(left_id, right_id, "level").distinct()
+    def keyed(df: DataFrame, i: str) -> DataFrame:
+        no_place = F.col(place).isNull() | (F.col(place) == "")
+        keys = [(1, strict, ~no_place), (2, loose, ~no_place), (3, strict, F.lit(True)), (4, loose, F.length(loose) >= least)]
+        row = [
+            F.when(F.col(k).isNotNull() & (F.col(k) != "") & ok, F.struct(F.lit(level).alias("level"), F.col(k).alias("k"), (F.col(place) if level < 3 else F.lit("")).alias("p")))
+            for level, k, ok in keys
+        ]
+        return df.select(F.col(i), F.explode(F.array_compact(F.array(*row))).alias("_c")).select(i, "_c.*")
+
+    r = keyed(right, right_id)
+    alone = r.where("level >= 3").groupBy("level", "k", "p").agg(F.min(right_id).alias(right_id), F.count("*").alias("_n")).where("_n = 1").select(right_id, "level", "k", "p")
+    hits = keyed(left, left_id).join(r.where("level < 3").unionByName(alone), ["level", "k", "p"]).select(left_id, right_id, "level")
+    first = hits.groupBy(left_id).agg(F.min("level").alias("level"))
+    return hits.join(first, [left_id, "level"]).select(left_id, right_id, "level").distinct()
 
 
 def containment(left: DataFrame, right: DataFrame, left_id: str, right_id: str, key: str, block: str, least: int = 5) -> DataFrame:
@@ -131,6 +135,103 @@ def best_in_place(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     return out.select(left_id, right_id, "score")
 
 
+def pairs_in_place(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """(lk, rk, score): distinct pairs of keys of one place (an unknown one meets all) whose Ratcliff-Obershelp similarity is at least `least`.
+
+    left has lk and place, right rk and place. Keys meet only through one of their rarer characters: of the common
+    characters that the score needs, one must be among them, so no pair is lost and no block is paired out.
+    """
+    low = least - 1e-4
+    ls, rs = ((df.where(f"{k} <> ''").select(F.col(k), "place").distinct()) for df, k in ((left, "lk"), (right, "rk")))
+    keys = ls.select(F.col("lk").alias("k")).union(rs.select("rk")).distinct()
+    tokens = keys.select("k", F.explode(_grams("k", "ratio")).alias("g"))
+    df = tokens.groupBy("g").agg(F.count("*").alias("df"))
+    ordered = cut(tokens.join(df, "g").groupBy("k").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "g"))), lambda x: x.g).alias("gs")))
+    prefix = (F.size("gs") - F.greatest(F.ceil(F.size("gs") * low / (2 - low) - 1e-9), F.lit(1)) + 1).cast("int")
+
+    def side(df: DataFrame, k: str, slots: Column, name: str) -> DataFrame:
+        rows = df.join(ordered, F.col(k) == F.col("k")).select(k, F.explode(slots).alias("slot"), F.col("gs").alias(name), F.posexplode(F.slice("gs", F.lit(1), prefix)).alias(f"{name}_at", "g"))
+        return rows
+
+    l = side(ls, "lk", F.when(F.col("place").isNull(), F.array(F.lit("*"))).otherwise(F.array(F.col("place"), F.lit("?"))), "lgs")
+    r = side(rs, "rk", F.array(F.coalesce("place", F.lit("?")), F.lit("*")), "rgs")
+    need = F.ceil(low * (F.size("lgs") + F.size("rgs")) / 2 - 1e-9)
+    common = F.least(F.size("lgs") - F.col("lgs_at"), F.size("rgs") - F.col("rgs_at"))
+    p = l.join(r, ["slot", "g"]).where(common >= need).where(F.size(F.array_intersect("lgs", "rgs")) >= need).select("lk", "rk").distinct()
+    return p.withColumn("score", ratio_score("lk", "rk")).where(F.col("score") >= least)
+
+
+def best_by_two_names(left: DataFrame, right: DataFrame, left_id: str, right_id: str, least: float = 0.62, least_name: float = 0.5) -> DataFrame:
+    """(left_id, right_id, score, name_score, what_score): each left row's best right row of its kind and place by two texts.
+
+    Both tables have kind, place, name and what (a treatment, say) as keys in normal form; kinds are equal, an unknown
+    place meets all. The score is 0.44 of the similarity of names and 0.56 of that of the other text, plus 0.12 for equal
+    names or 0.05 for one inside the other, and 0.10 for equal other texts, at most 1. Names that are less alike than
+    least_name match nothing. Ties go to the lower right_id.
+    """
+    keyed = lambda df, k: df.select(F.col("name").alias(k), F.when(F.col("place").isNotNull(), F.concat_ws("\u001f", "kind", "place")).alias("place"))
+    names = cut(pairs_in_place(keyed(left, "lk"), keyed(right, "rk"), least_name).withColumnRenamed("score", "name_score"))
+    l = left.select(left_id, F.col("kind").alias("kind"), F.col("place").alias("lp"), F.col("name").alias("lk"), F.col("what").alias("lw"))
+    r = right.select(right_id, F.col("kind").alias("kind"), F.col("place").alias("rp"), F.col("name").alias("rk"), F.col("what").alias("rw"))
+    p = l.join(names, "lk").join(r, ["rk", "kind"]).where(F.col("lp").isNull() | F.col("rp").isNull() | (F.col("lp") == F.col("rp")))
+    whats = cut(p.select("lw", "rw").distinct().withColumn("what_score", ratio_score("lw", "rw")))
+    p = p.join(whats, ["lw", "rw"])
+    bonus = F.when(F.col("lk") == F.col("rk"), 0.12).when(F.contains("lk", "rk") | F.contains("rk", "lk"), 0.05).otherwise(0.0) + F.when(F.col("lw") == F.col("rw"), 0.10).otherwise(0.0)
+    p = p.withColumn("score", F.round(F.least(F.lit(1.0), 0.44 * F.col("name_score") + 0.56 * F.col("what_score") + bonus), 6)).where(F.col("score") >= least)
+    first = F.row_number().over(Window.partitionBy(left_id).orderBy(F.desc("score"), right_id))
+    return p.withColumn("_r", first).where("_r = 1").select(left_id, right_id, "score", "name_score", "what_score")
+
+
+def matches_by_name_or_address(left: DataFrame, right: DataFrame, left_id: str, right_id: str, name: str, address: str, place: str, least_name: int = 5, least_address: int = 8) -> DataFrame:
+    """(left_id, right_id, name_score, address_score, score): pairs of one place that agree by name or by address.
+
+    100 for equal keys, 92 for a name (of at least least_name characters) inside the other, 96 for an address (of at
+    least least_address) inside the other, 0 for none; score is the better one.
+    """
+    def pairs(key: str, least: int, contained: int, out: str) -> DataFrame:
+        both = [df.where(f"{key} <> ''").select(i, place, key) for df, i in ((left, left_id), (right, right_id))]
+        equal = both[0].join(both[1], [place, key]).select(left_id, right_id, F.lit(100).alias(out))
+        inside = containment(left.where(f"{key} <> ''"), right.where(f"{key} <> ''"), left_id, right_id, key, place, least)
+        return equal.unionByName(inside.select(left_id, right_id, F.when(F.col("kind") == "equal", 100).otherwise(contained).alias(out)))
+
+    n, a = pairs(name, least_name, 92, "name_score"), pairs(address, least_address, 96, "address_score")
+    both = n.unionByName(a, allowMissingColumns=True).groupBy(left_id, right_id).agg(
+        F.coalesce(F.max("name_score"), F.lit(0)).cast("bigint").alias("name_score"), F.coalesce(F.max("address_score"), F.lit(0)).cast("bigint").alias("address_score")
+    )
+    return both.withColumn("score", F.greatest("name_score", "address_score"))
+
+
+def enriched_by_alias(left: DataFrame, known: DataFrame, left_id: str, key: str, place: str, values: str, least: int = 6) -> DataFrame:
+    """left with `values`: its own and, sorted, those of all known rows of its place whose key is equal to its key, or, from `least` characters, inside or around it."""
+    k = known.withColumn("_known", F.xxhash64(key, place, F.to_json(F.array_sort(values))))
+    same = left.select(left_id, place, key).join(k.select("_known", place, key), [place, key]).select(left_id, "_known")
+    near = containment(left, k, left_id, "_known", key, place, least).select(left_id, "_known")
+    found = same.unionByName(near).distinct().join(k.select("_known", F.explode(values).alias("_v")).distinct(), "_known").groupBy(left_id).agg(F.collect_set("_v").alias("_found"))
+    empty = F.array().cast("array<string>")
+    out = left.join(found, left_id, "left")
+    return out.withColumn(values, F.array_sort(F.array_union(F.coalesce(values, empty), F.coalesce("_found", empty)))).drop("_found")
+
+
+def flagged(df: DataFrame, keys: list[str], known: dict[str, DataFrame]) -> DataFrame:
+    """df with one boolean a table of `known`: whether the row's keys occur there; null keys never do."""
+    for name, other in known.items():
+        df = df.join(other.select(*keys).distinct().withColumn(name, F.lit(True)), keys, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    return df
+
+
+def best_at_address(left: DataFrame, right: DataFrame, left_id: str, right_id: str, address: str, name: str) -> DataFrame:
+    """(left_id, right_id, score): of the right rows at the same address the one with the most similar name; ties to the lower right_id.
+
+    Equal names of an address are scored once; both tables have the columns address and name.
+    """
+    l = left.where(f"{address} <> ''").select(address, F.col(name).alias("lk")).distinct()
+    r = right.where(f"{address} <> ''").groupBy(address, F.col(name).alias("rk")).agg(F.min(right_id).alias(right_id))
+    p = l.join(r, address).withColumn("score", F.round(ratio_score("lk", "rk"), 4))
+    first = F.row_number().over(Window.partitionBy(address, "lk").orderBy(F.desc("score"), right_id))
+    best = p.withColumn("_r", first).where("_r = 1").select(address, F.col("lk").alias(name), right_id, "score")
+    return left.select(left_id, address, name).join(best, [address, name]).select(left_id, right_id, "score")
+
+
 def ratio_score(a: str, b: str) -> Column:
     """Ratcliff-Obershelp similarity; exact keys should be joined before, as it runs in Python."""
     return F.when(F.col(a) == F.col(b), 1.0).otherwise(seq_ratio(a, b))

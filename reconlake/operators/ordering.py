@@ -45,3 +45,22 @@ def round_robin(df: DataFrame, stratum: str, order: list[str], limit: int) -> Da
     rn = F.row_number().over(Window.partitionBy(stratum).orderBy(*order))
     few = df.withColumn("turn", rn).where(F.col("turn") <= limit)  # no stratum can give more
     return few.orderBy("turn", stratum).limit(limit)
+
+
+def in_order_of(df: DataFrame, queue: DataFrame, key: str, ordinal: str) -> DataFrame:
+    """df with the place of its key in the queue, sorted by it; keys the queue lacks come last, by key."""
+    places = queue.groupBy(key).agg(F.min(ordinal).alias(ordinal))
+    return df.join(places, key, "left").orderBy(F.col(ordinal).asc_nulls_last(), key)
+
+
+def until_misses(df: DataFrame, key: str, order: str, miss: Column, streak: int = 2, after: int = 2) -> DataFrame:
+    """The rows of each key up to the one with which `streak` misses in a row are complete, at the earliest at the row of place `after` (from 0).
+
+    Nulls of `miss` are hits. Rows of equal order are one place apart in any order; they should be distinct.
+    """
+    w = Window.partitionBy(key).orderBy(order)
+    d = df.withColumn("_m", F.coalesce(miss, F.lit(False)).cast("int")).withColumn("_i", F.row_number().over(w) - 1)
+    d = d.withColumn("_run", F.sum("_m").over(w.rowsBetween(-(streak - 1), 0)))
+    stop = (F.col("_run") == streak) & (F.col("_i") >= after)
+    before = F.coalesce(F.max(stop.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return d.withColumn("_s", before).where("_s = 0").drop("_m", "_i", "_run", "_s")

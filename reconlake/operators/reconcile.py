@@ -68,3 +68,25 @@ def require_present(expected: DataFrame, actual: DataFrame, key: str) -> None:
     lost = expected.join(actual, key, "left_anti").limit(5).collect()
     if lost:
         raise IntegrityError(f"missing {key}: {[r[key] for r in lost]}")
+
+
+def partition_proof(tagged: DataFrame, key: str, tag: str, whole: DataFrame) -> DataFrame:
+    """One row: number of parts, keys that stand in more than one, keys of all parts together, keys of the whole, and whether the
+    parts are a partition of it (no overlap, no key missing, none beyond)."""
+    per = tagged.where(F.col(key).isNotNull()).groupBy(key).agg(F.countDistinct(tag).alias("_t"))
+    all_ = whole.where(F.col(key).isNotNull()).select(key).distinct().withColumn("_w", F.lit(True))
+    both = per.join(all_, key, "full")
+    sums = both.agg(
+        F.count_if(F.col("_t") > 1).alias("overlapping"), F.count("_t").alias("covered"), F.count("_w").alias("total"),
+        F.count_if(F.col("_w").isNull()).alias("beyond"), F.count_if(F.col("_t").isNull()).alias("missing"),
+    )
+    parts = F.lit(tagged.agg(F.countDistinct(tag)).first()[0]).cast("bigint").alias("parts")  # one number
+    proof = (F.col("overlapping") == 0) & (F.col("beyond") == 0) & (F.col("missing") == 0)
+    return sums.select(parts, "overlapping", "covered", "total", "missing", "beyond", proof.alias("is_partition"))
+
+
+def reduced_count(df: DataFrame, excluded: DataFrame, key: str) -> DataFrame:
+    """One row: distinct keys, those of them that are excluded, and what remains of a fixed denominator."""
+    d = df.where(F.col(key).isNotNull()).select(key).distinct()
+    x = d.join(excluded.select(key).distinct().withColumn("_x", F.lit(1)), key, "left")
+    return x.agg(F.count("*").alias("total"), F.count("_x").alias("excluded"), (F.count("*") - F.count("_x")).alias("remaining"))

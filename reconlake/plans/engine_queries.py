@@ -14,6 +14,7 @@ from reconlake.operators import linkage as L
 from reconlake.operators import ordering as O
 from reconlake.operators import overrides as U
 from reconlake.operators import reconcile as R
+from reconlake.plans import sqltext as Q
 from reconlake.session import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,11 +31,19 @@ def query(sql: str = ""):
     return add
 
 
-PRODUCTS = (
-    "Velmatrix", "Velmatrix II", "Orthavia", "Corvanex", "Kinedra", "Kinedra Duo", "PlasmaLune", "Lunaprep",
-    "Sanguivo", "Sanguivo Mini", "Tendosola", "Menisora", "Chondrelle", "Adiporix", "Hemacreste", "Hemacreste III",
-)
-_ALT = X.alternation(PRODUCTS)
+MAX_NAMES = 10_000  # names of a reference list that become one pattern or literal; more are refused
+
+
+def registry_names(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The product names of the reference list, a list of bounded length."""
+    rows = load(spark, sf_dir, "product_registry").select("product").distinct().limit(MAX_NAMES + 1).collect()
+    if len(rows) > MAX_NAMES:
+        raise ValueError(f"the list has more than {MAX_NAMES} names; use name_mentions")
+    return sorted(r[0] for r in rows)
+
+
+#: one pattern of all names of the list, the longest first; signs with a meaning in patterns are escaped
+_REGISTRY_SQL = """names AS (SELECT '(' || string_agg(regexp_replace(product, '([.+*?()|/^$])', '\\\\\\1', 'g'), '|' ORDER BY length(product) DESC, product) || ')' AS alt FROM product_registry)"""
 _LINES_SQL = """
 lines AS (
   SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS line_no, line
@@ -80,16 +89,18 @@ def char_window_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", X.snippet(F.col("text"), "費用|The fee", 40, 60).alias("excerpt")).where("excerpt != ''")
 
 
-@query(f"""SELECT doc_id, array_to_string(list_sort(list_distinct(h)), '|') AS hits, CAST(len(list_distinct(h)) AS BIGINT) AS n_hits
-FROM (SELECT doc_id, regexp_extract_all(text, '({_ALT})', 1) AS h FROM documents) WHERE len(h) > 0""")
+@query(f"""WITH {_REGISTRY_SQL}
+SELECT doc_id, array_to_string(list_sort(list_distinct(h)), '|') AS hits, CAST(len(list_distinct(h)) AS BIGINT) AS n_hits
+FROM (SELECT doc_id, regexp_extract_all(text, alt, 1) AS h FROM documents, names) WHERE len(h) > 0""")
 def dictionary_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = X.dictionary_hits(load(spark, sf_dir, "documents"), "doc_id", "text", PRODUCTS)
+    h = X.dictionary_hits(load(spark, sf_dir, "documents"), "doc_id", "text", registry_names(spark, sf_dir))
     return h.select("doc_id", F.array_join("hits", "|").alias("hits"), F.size("hits").cast("bigint").alias("n_hits"))
 
 
-@query(f"""SELECT doc_id FROM documents WHERE regexp_matches(text, '(?s)(?:遠心|is drawn and prepared).{{0,60}}(?:{_ALT})|(?:{_ALT}).{{0,60}}(?:遠心|is drawn and prepared)')""")
+@query(f"""WITH {_REGISTRY_SQL}
+SELECT doc_id FROM documents, names WHERE regexp_matches(text, '(?s)(?:遠心|is drawn and prepared).{{0,60}}' || alt || '|' || alt || '.{{0,60}}(?:遠心|is drawn and prepared)')""")
 def context_gated_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.gated_hits(load(spark, sf_dir, "documents"), "doc_id", "text", PRODUCTS, "遠心|is drawn and prepared")
+    return X.gated_hits(load(spark, sf_dir, "documents"), "doc_id", "text", registry_names(spark, sf_dir), "遠心|is drawn and prepared")
 
 
 @query(f"""WITH {_LINES_SQL}
@@ -140,32 +151,21 @@ def longest_error_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- names, addresses, codes
 
-_PUNCT = T.PUNCTUATION
-_LEGAL = "社会医療法人社団|社会医療法人|医療法人社団|医療法人財団|医療法人|一般社団法人|一般財団法人".split("|")
-
-
-def _strip_sql(c: str) -> str:
-    for f in _LEGAL:
-        c = f"replace({c}, '{f}', '')"
-    return c
+_STEM = Q.strip_legal(Q.compact("n"))
 
 
-def _compact_sql(c: str) -> str:
-    return f"lower(regexp_replace({c}, '{_PUNCT}', '', 'g'))"
-
-
-@query(f"""SELECT plan_id, {_compact_sql('facility')} AS compact_name, {_strip_sql(_compact_sql('facility'))} AS stem,
-concat_ws('|', coalesce(prefecture, ''), coalesce({_strip_sql(_compact_sql('facility'))}, '')) AS facility_key FROM treatment_plan""")
+@query(f"""SELECT plan_id, {Q.compact('n')} AS compact_name, {_STEM} AS stem, concat_ws('|', coalesce(prefecture, ''), coalesce({_STEM}, '')) AS facility_key
+FROM (SELECT plan_id, prefecture, {Q.nfkc('facility')} AS n FROM treatment_plan)""")
 def normalized_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = load(spark, sf_dir, "treatment_plan")
     c = T.compact(F.col("facility"))
     return t.select("plan_id", c.alias("compact_name"), T.strip_legal(c).alias("stem"), T.facility_key(F.col("prefecture"), F.col("facility")).alias("facility_key"))
 
 
-@query(f"""SELECT locator_id, regexp_replace({_compact_sql("regexp_replace(address, '〒?[ ]*[0-9]{3}-[0-9]{4}[ ]*', '', 'g')")}, '丁目|番地|番|号', '', 'g') AS address_key,
-regexp_replace(lower(address), '[^0-9a-z一-龥ぁ-んァ-ヶ]', '', 'g') AS digits_key FROM locator""")
+@query(f"""SELECT facility_id, {Q.address_key('a', 'prefecture')} AS address_key, {Q.digits_key('a')} AS digits_key FROM (SELECT facility_id, prefecture, {Q.nfkc('address')} AS a FROM nonqueue_facility)""")
 def address_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "locator").select("locator_id", T.address_key(F.col("address")).alias("address_key"), T.address_digits_key(F.col("address")).alias("digits_key"))
+    a = F.col("address")
+    return load(spark, sf_dir, "nonqueue_facility").select("facility_id", T.address_key(a, F.col("prefecture")).alias("address_key"), T.address_digits_key(a).alias("digits_key"))
 
 
 @query("""SELECT prefecture, region, CAST(count(*) AS BIGINT) AS n FROM (SELECT prefecture, CASE """ + " ".join(
@@ -197,9 +197,19 @@ def repaired_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents").select("doc_id", F.length(T.repair_digits(F.col("text"))).cast("bigint").alias("n_chars_repaired"))
 
 
-@query()
+def _without(c: str, words: tuple[str, ...]) -> str:
+    for w in words:
+        c = f"replace({c}, '{w}', '')"
+    return c
+
+
+@query(f"""WITH n AS (SELECT facility_id, {Q.nfkc('facility')} AS n FROM nonqueue_facility), c AS (SELECT facility_id, n, {Q.compact('n')} AS whole, {_STEM} AS short FROM n),
+p AS (SELECT facility_id, {_without(Q.strip_legal(Q.compact("part")), T.GENERIC_WORDS)} AS a, 5 AS least FROM (SELECT facility_id, unnest(regexp_split_to_array({Q.strip_legal('n')}, '[・&＆/]')) AS part FROM n)),
+u AS (SELECT facility_id, whole AS a, 5 AS least FROM c UNION ALL SELECT facility_id, short, 5 FROM c UNION ALL SELECT facility_id, {_without('short', T.GENERIC_WORDS)}, 6 FROM c UNION ALL SELECT * FROM p)
+SELECT facility_id, CAST(row_number() OVER (PARTITION BY facility_id ORDER BY length(a) DESC, a) - 1 AS BIGINT) AS place, a AS alias FROM (SELECT DISTINCT facility_id, a FROM u WHERE length(a) >= least)""")
 def name_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "nonqueue_facility").select("facility_id", F.posexplode(T.aliases(F.col("facility"))).alias("place", "alias"))
+    a = load(spark, sf_dir, "nonqueue_facility").select("facility_id", F.posexplode(T.aliases(F.col("facility"), bare=6, separators="[・&＆/]")).alias("place", "alias"))
+    return a.withColumn("place", F.col("place").cast("bigint"))
 
 
 @query("""SELECT plan_id, u.l.label AS label, u.l.url AS url FROM (SELECT plan_id, unnest(document_urls_source) AS l FROM treatment_plan) u""")
@@ -222,11 +232,13 @@ def _keys(df: DataFrame, name: str, place: str) -> DataFrame:
     return df.withColumn("strict", strict).withColumn("loose", T.strip_legal(strict)).withColumn("place", F.col(place))
 
 
-_CASCADE_SQL = f"""WITH l AS (SELECT facility_id AS lid, {_compact_sql('facility')} AS strict, {_strip_sql(_compact_sql('facility'))} AS loose, prefecture AS place FROM nonqueue_facility),
-r AS (SELECT locator_id AS rid, {_compact_sql('name')} AS strict, {_strip_sql(_compact_sql('name'))} AS loose, CASE {' '.join(f"WHEN contains(address, '{p}') THEN '{p}'" for p in T.PREFECTURES)} END AS place FROM locator),
-us AS (SELECT strict, min(rid) AS rid FROM r WHERE strict IS NOT NULL GROUP BY strict HAVING count(*) = 1), ul AS (SELECT loose, min(rid) AS rid FROM r WHERE loose IS NOT NULL GROUP BY loose HAVING count(*) = 1),
-h AS (SELECT lid, rid, 1 AS level FROM l JOIN r USING (strict, place) UNION SELECT lid, rid, 2 FROM l JOIN r USING (loose, place) UNION SELECT lid, rid, 3 FROM l JOIN us USING (strict) UNION SELECT lid, rid, 4 FROM l JOIN ul USING (loose))
-SELECT lid AS facility_id, rid AS locator_id, CAST(level AS BIGINT) AS level FROM (SELECT *, min(level) OVER (PARTITION BY lid) AS f FROM h) WHERE level = f"""
+_LOCATED = f"""l AS (SELECT facility_id, {Q.compact('n')} AS strict, {_STEM} AS loose, prefecture AS place FROM (SELECT facility_id, prefecture, {Q.nfkc('facility')} AS n FROM nonqueue_facility)),
+r AS (SELECT locator_id, {Q.compact('n')} AS strict, {_STEM} AS loose, {Q.prefecture('address')} AS place FROM (SELECT locator_id, address, {Q.nfkc('name')} AS n FROM locator))"""
+_CASCADE_SQL = f"""WITH {_LOCATED},
+us AS (SELECT strict, min(locator_id) AS locator_id FROM r WHERE strict <> '' GROUP BY strict HAVING count(*) = 1), ul AS (SELECT loose, min(locator_id) AS locator_id FROM r WHERE length(loose) >= 5 GROUP BY loose HAVING count(*) = 1),
+h AS (SELECT facility_id, locator_id, 1 AS level FROM l JOIN r USING (strict, place) WHERE strict <> '' AND place <> '' UNION SELECT facility_id, locator_id, 2 FROM l JOIN r USING (loose, place) WHERE loose <> '' AND place <> ''
+UNION SELECT facility_id, locator_id, 3 FROM l JOIN us USING (strict) UNION SELECT facility_id, locator_id, 4 FROM l JOIN ul USING (loose))
+SELECT facility_id, locator_id, CAST(level AS BIGINT) AS level FROM (SELECT *, min(level) OVER (PARTITION BY facility_id) AS f FROM h) WHERE level = f"""
 
 
 @query(_CASCADE_SQL)
@@ -237,9 +249,8 @@ def cascade_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("level", F.col("level").cast("bigint"))
 
 
-@query(f"""WITH l AS (SELECT facility_id, {_strip_sql(_compact_sql('facility'))} AS k, prefecture AS place FROM nonqueue_facility),
-r AS (SELECT locator_id, {_strip_sql(_compact_sql('name'))} AS k, CASE {' '.join(f"WHEN contains(address, '{p}') THEN '{p}'" for p in T.PREFECTURES)} END AS place FROM locator)
-SELECT facility_id, locator_id, CASE WHEN l.k = r.k THEN 'equal' ELSE 'contained' END AS kind FROM l JOIN r ON l.place = r.place AND least(length(l.k), length(r.k)) >= 5 AND (contains(l.k, r.k) OR contains(r.k, l.k))""")
+@query(f"""WITH {_LOCATED}
+SELECT facility_id, locator_id, CASE WHEN l.loose = r.loose THEN 'equal' ELSE 'contained' END AS kind FROM l JOIN r ON l.place = r.place AND least(length(l.loose), length(r.loose)) >= 5 AND (contains(l.loose, r.loose) OR contains(r.loose, l.loose))""")
 def containment_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = load(spark, sf_dir, "nonqueue_facility").select("facility_id", T.strip_legal(T.compact(F.col("facility"))).alias("k"), F.col("prefecture").alias("place"))
     right = load(spark, sf_dir, "locator").select("locator_id", T.strip_legal(T.compact(F.col("name"))).alias("k"), T.prefecture_of(F.col("address")).alias("place"))
@@ -331,7 +342,7 @@ def status_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT place, arg_min(facility, (length(facility), facility)) AS representative, CAST(count(*) - 1 AS BIGINT) AS further, array_to_string(list_sort(list_distinct(list(facility))), '|') AS spellings
-FROM (SELECT facility, regexp_replace(lower(address), '[^0-9a-z一-龥ぁ-んァ-ヶ]', '', 'g') AS place FROM nonqueue_facility WHERE facility IS NOT NULL AND address IS NOT NULL) GROUP BY place""")
+FROM (SELECT facility, {Q.digits_key('a')} AS place FROM (SELECT facility, {Q.nfkc('address')} AS a FROM nonqueue_facility WHERE facility IS NOT NULL AND address IS NOT NULL)) GROUP BY place""")
 def collapsed_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = load(spark, sf_dir, "nonqueue_facility").where("facility is not null and address is not null")
     return A.collapse(f.withColumn("place", T.address_digits_key(F.col("address"))), ["place"], "facility")
@@ -529,7 +540,7 @@ def document_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def nearest_product_before_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each amount of a document with the product named at most 100 characters before it."""
-    return X.nearest_before(load(spark, sf_dir, "documents"), "doc_id", "text", r"[0-9][0-9,]*円", _ALT, 100)
+    return X.nearest_before(load(spark, sf_dir, "documents"), "doc_id", "text", r"[0-9][0-9,]*円", X.alternation(registry_names(spark, sf_dir)), 100)
 
 
 @query("""WITH f AS (SELECT facility_id, min(row_id) AS first_row FROM price_stage GROUP BY facility_id ORDER BY first_row LIMIT 20)
@@ -545,9 +556,9 @@ def first_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 (SELECT map(list(product), list(canonical_product)) AS m FROM product_registry)""".replace("list_distinct(", "list_sort(list_distinct(").replace("x))), '|')", "x)))), '|')"))
 def canonical_unique_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical names of |-separated products by exact lookup, each once."""
-    registry = load(spark, sf_dir, "product_registry").select("product", "canonical_product").limit(10_001).collect()
-    if len(registry) > 10_000:
-        raise ValueError("the list is too long for a literal; use mapping by join")
+    registry = load(spark, sf_dir, "product_registry").select("product", "canonical_product").limit(MAX_NAMES + 1).collect()
+    if len(registry) > MAX_NAMES:
+        raise ValueError(f"the list has more than {MAX_NAMES} entries; use a join")
     m = F.map_from_arrays(F.array(*[F.lit(r[0]) for r in registry]), F.array(*[F.lit(r[1]) for r in registry]))
     v = F.transform(F.split("products", r"\|"), lambda x: F.trim(x))
     p = load(spark, sf_dir, "price_stage").where("products is not null")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,14 +30,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for checkpoint(): the one the cluster names in spark.checkpoint.dir, else a private local one.
+    """Folder for checkpoint(): the one the cluster names in spark.checkpoint.dir.
 
-    The local folder is made only where the setting is absent, as in tests, where driver and
-    executors share one machine.
+    Where the setting is absent, a private local folder is made if driver and executors share one machine, as in tests;
+    on a cluster that is an error, as executors could not read each other's files.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="reconlake-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
@@ -69,22 +71,6 @@ def ship_package(spark: SparkSession) -> None:
     sc._reconlake_shipped = True
 
 
-def salted(key: Column | str, n: int, *by: Column | str) -> Column:
-    """A salt 0..n-1 that spreads the rows of one hot key; deterministic in the given columns."""
-    return F.pmod(F.xxhash64(key, *by), F.lit(n)).cast("int")
-
-
-def small_enough(df: DataFrame, max_bytes: int) -> bool:
-    """True when Catalyst's own size estimate of df is within the bound; guards every broadcast hint."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= max_bytes
-
-
 def bounded(df: DataFrame, most: int) -> DataFrame:
     """Broadcast hint if df really has at most `most` rows, counted; otherwise the join stays a shuffle join."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
-def maybe_broadcast(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise the join stays a shuffle join under AQE."""
-    return F.broadcast(df) if small_enough(df, max_bytes) else df

@@ -7,6 +7,7 @@ recognition are connectors outside this library: their results come in as (path,
 
 from __future__ import annotations
 
+import html as html_entities
 import io
 import re
 import zipfile
@@ -147,7 +148,7 @@ def office_text(content: pd.Series) -> pd.Series:
         except (zipfile.BadZipFile, KeyError, TypeError):
             return ""
         xml = re.sub(r"</w:p>|<w:br[^>]*/>", "\n", xml)
-        return re.sub(r"<[^>]+>", "", xml).strip()
+        return html_entities.unescape(re.sub(r"<[^>]+>", "", xml)).strip()
 
     return content.map(one)
 
@@ -178,11 +179,13 @@ def headed_entries(pages: DataFrame, key: str, html: str, group: str, entry: str
     return h.groupBy(key, "entry_no").agg(of, name, details)
 
 
-def labelled_records(lines: DataFrame, key: str, order: str, line: str, first: str, fields: dict[str, str]) -> DataFrame:
-    """(key, record_no, fields): label and value on successive lines; a record begins at each line that is `first`."""
+def labelled_records(lines: DataFrame, key: str, order: str, line: str, first: str, fields: dict[str, str], reach: int = 12) -> DataFrame:
+    """(key, record_no, fields): label and value on successive lines; a record begins at each line that is `first` and is looked
+    at for at most `reach` lines after it. Of a label that occurs again in a record the first occurrence counts."""
     w = Window.partitionBy(key).orderBy(order)
-    r = lines.withColumn("record_no", F.sum((F.col(line) == first).cast("bigint")).over(w)).withColumn("_v", F.lead(line).over(w)).where("record_no > 0")
-    return r.groupBy(key, "record_no").agg(*[F.max(F.when(F.col(line) == label, F.col("_v"))).alias(name) for name, label in fields.items()])
+    r = lines.withColumn("_i", F.row_number().over(w)).withColumn("record_no", F.sum((F.col(line) == first).cast("bigint")).over(w)).withColumn("_v", F.lead(line).over(w))
+    r = r.where("record_no > 0").withColumn("_s", F.min("_i").over(Window.partitionBy(key, "record_no"))).where(F.col("_i") - F.col("_s") <= reach)
+    return r.groupBy(key, "record_no").agg(*[F.min_by("_v", F.when(F.col(line) == label, F.col("_i"))).alias(name) for name, label in fields.items()])
 
 
 def same_site(url: Column, other: Column) -> Column:
