@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from reconlake.plans import data_queries, engine_queries, record_queries
+from reconlake.plans import data_queries, engine_queries, extraction_queries, record_queries, source_queries
 
 FLAGSHIP = "line_amounts"
-_MODULES = (data_queries, engine_queries, record_queries)
+_MODULES = (data_queries, engine_queries, extraction_queries, record_queries, source_queries)
 
 
 def queries() -> dict:
