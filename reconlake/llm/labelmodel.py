@@ -159,20 +159,22 @@ def described(matches: DataFrame, facilities: DataFrame) -> DataFrame:
     several facilities of its name describes none of them with confidence.
     """
     ship_package(matches.sparkSession)
-    left_recs = cut(names.records(matches, "match_id", "source_facility_name", "source_address"))
-    right_recs = cut(names.records(facilities, "facility_id", "facility", "address", "prefecture"))
-    both = cut(names.forms_of(left_recs.unionByName(right_recs)))
+    sides = [("m", names.records(matches, "match_id", "source_facility_name", "source_address")), ("f", names.records(facilities, "facility_id", "facility", "address", "prefecture"))]
+    tagged = [r.withColumn("rec", F.concat(F.lit(t), "rec")) for t, r in sides]  # the two tables' ids may be alike
+    recs = cut(names.keyed(tagged[0].unionByName(tagged[1])))
+    left_recs, right_recs = (recs.where(F.col("rec").startswith(t)).withColumn("rec", F.expr("substring(rec, 2)")) for t, _ in sides)
+    both = cut(names.forms_of(recs))
     ids = lambda r: r.where("snd != ''").select("rec", F.xxhash64(*names.KEYS).alias("form"))
     left_ids, right_ids = cut(ids(left_recs)), cut(ids(right_recs))
-    left = both.join(left_ids.select("form").distinct(), "form", "left_semi")
-    right = both.join(right_ids.select("form").distinct(), "form", "left_semi")
+    left = cut(both.join(left_ids.select("form").distinct(), "form", "left_semi"))
+    right = cut(both.join(right_ids.select("form").distinct(), "form", "left_semi"))
     # a form that stands in both tables is a pair of its own
-    pairs = names.candidates(left, right).unionByName(
-        left.select(F.col("form").alias("a")).join(right.select(F.col("form").alias("b")), F.col("a") == F.col("b"))
-    ).distinct()
+    own = both.select(*[F.col(k).alias(f"a_{k}") for k in names.PLACES], *[F.col(k).alias(f"b_{k}") for k in names.PLACES], F.col("form").alias("a"), F.col("form").alias("b"))
+    own = own.join(left.select(F.col("form").alias("a")), "a", "left_semi").join(right.select(F.col("form").alias("b")), "b", "left_semi").select("a", "b", names.relation("a", "b").alias("relation"))
+    pairs = names.candidates(left, right).unionByName(own.where("relation != 'apart'")).distinct()
     votes = cut(votes_of(names.scored(pairs, both), left, right))
     judged = cut(confidences(votes).select("a", "b", "place", "score", "confidence"))
-    groups = cut(names.groups(right_recs))  # (rec, root)
+    groups = cut(names.grouped(right_recs, both))  # (rec, root)
     roots = right_ids.join(groups, "rec").select(F.col("form").alias("b"), "root", F.col("rec").alias("facility_id"))
     # where no house number decides, the names must carry the match
     named = F.col("place").isin(*names.FIRM) | ((F.col("place") == "city") & (F.col("score") >= names.LEAST["city"])) | ((F.col("place") == "open") & (F.col("score") >= LEAST_OPEN))

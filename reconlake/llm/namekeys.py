@@ -3,13 +3,15 @@
 A name is split into legal form with corporation, brand, stem, area words and type words; every spelling
 (kanji, kana, Latin letters, old forms of kanji) is brought to one rough sound in which voicing and vowel length
 are left out, so that spellings by ear meet. An address is split into prefecture, municipality, quarter and numbers.
+
+How kanji are read is learned from the records themselves (readings.py); the readings below are common ones that hold
+where the records teach none. Which Latin words are brands is told by the records as well (names.py).
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
 
 from reconlake.llm.canon import canonical
 
@@ -34,7 +36,10 @@ READINGS = dict(x.split(":") for x in (
 VARIANTS = str.maketrans("瀧嶋埜澤邊嵜圓櫻濱櫂峯籐眞髙﨑阪", "滝島野沢辺崎園桜浜櫂峰藤真高崎坂")
 LEGAL = re.compile(r"(?:社会|特定)?医療法人(?:社団|財団)?|一般社団法人|一般財団法人|\(医\)|（医）|医\)|医）|\(社医\)")
 CORPORATION = re.compile(r"(?:[一-鿿]{2}(?:正|新|仁|愛)?会)(?=[ 　]|[^院]|$)")
-BRANDS = ("Étoile", "Lumière", "Rêve", "Noël", "Soleil", "Fleur", "Orso", "GRANZA", "VERDE", "Mont Bleu")
+#: a Latin word that can be Japanese in Latin letters; others before a name may be brands
+ROMANISED = re.compile(
+    r"(?:(?:[kstnhmrgzdbpfjwy]|ch|sh|ts|[kgnhbpmr]y)?[aiueoāīūēō]|n(?![aiueoy])|k(?=k)|s(?=s)|t(?=[tc])|p(?=p)|m(?=[bpm])|(?<=[aiueo])h(?![aiueoy]))+"
+)
 # type words: spellings of each kind, longest first
 TYPES = (
     ("sports", r"(?:ひざ・)?スポーツ(?:整形外科|整型外科|正形外科|整外|整形)?(?:クリニック)?|(?:hiza )?sports"),
@@ -70,20 +75,9 @@ def _hiragana(text: str) -> str:
     return "".join(chr(ord(c) - 0x60) if "ァ" <= c <= "ヶ" else c for c in text)
 
 
-def sound(text: str) -> str:
-    """Rough sound of a name part in Latin letters; kanji without a reading stay as they are."""
-    out, i = "", 0
-    text = text.translate(VARIANTS).replace("さんの", "の")
-    while i < len(text):
-        for n in range(_LONGEST, 0, -1):
-            if text[i : i + n] in READINGS:
-                out += READINGS[text[i : i + n]]
-                i += n
-                break
-        else:
-            out += text[i]
-            i += 1
-    out = _hiragana(out).lower()
+def rough(text: str) -> str:
+    """Kana and Latin letters in one rough Latin spelling without voicing; kanji stay as they are."""
+    out = _hiragana(text).lower()
     s = "".join(_ROMAN.get(c, c) for c in out)
     s = re.sub(r"[aiueo]\x00", "", s)
     s = unicodedata.normalize("NFKD", s)
@@ -92,20 +86,56 @@ def sound(text: str) -> str:
     s = re.sub(r"m(?=[bpm])", "n", s) if re.search("[a-z]", text.lower()) else s
     for a, b in (("tch", "t"), ("sh", "s"), ("ch", "t"), ("ts", "t"), ("j", "s"), ("z", "s"), ("g", "k"), ("d", "t"), ("b", "h"), ("p", "h"), ("f", "h"), ("w", ""), ("c", "k")):
         s = s.replace(a, b)
-    s = s.replace("y", "")
-    s = s.replace("no", "") or s  # the particle, and in every spelling alike whatever sounds like it
+    return s.replace("y", "")
+
+
+def flat(s: str) -> str:
+    """A rough spelling without long vowels and double letters."""
     s = re.sub(r"o[ou]", "o", s)
     s = re.sub(r"([aiueo])\1+", r"\1", s)
     s = re.sub(r"([^aiueo])\1+", r"\1", s)
     return re.sub(r"[^a-z0-9一-鿿]", "", s)
 
 
+def sound(text: str, learned: dict[str, str] | None = None) -> str:
+    """Rough sound of a name part in Latin letters; kanji without a reading stay as they are.
+
+    learned maps kanji to rough readings, which go before the common ones.
+    """
+    out, i = "", 0
+    text = text.translate(VARIANTS).replace("さんの", "の")
+    while i < len(text):
+        for n in range(_LONGEST, 0, -1):
+            if n == 1 and learned and text[i] in learned:
+                out += learned[text[i]]
+                i += 1
+                break
+            if text[i : i + n] in READINGS:
+                out += READINGS[text[i : i + n]]
+                i += n
+                break
+        else:
+            out += text[i]
+            i += 1
+    s = rough(out)
+    s = s.replace("no", "") or s  # the particle, and in every spelling alike whatever sounds like it
+    return flat(s)
+
+
 _AREA_SOUNDS = sorted(((sound(a), a) for a in AREAS if len(sound(a)) >= 3), key=lambda p: -len(p[0]))
 
 
-@lru_cache(maxsize=200_000)
-def name_parts(name: str | None) -> tuple[str, str, str, str, str, str]:
-    """(corporation, brand, sound of stem and area, area, types, kanji of the stem) of a typed name."""
+def foreign_words(name: str | None) -> list[str]:
+    """The Latin words of a name that are neither type words nor Japanese in Latin letters: its possible brands."""
+    t = re.sub(r"(?<=[a-z])[.]", " ", LEGAL.sub(" ", canonical(name or "")).lower())
+    for _, pattern in TYPES:
+        t = re.sub(pattern, " ", t)
+    words = re.findall(r"[a-z\u00df-\u024f]+", _TAIL.sub(" ", t))
+    return sorted({w for w in words if len(w) >= 2 and not ROMANISED.fullmatch(w)})
+
+
+def split_name(name: str | None, brands: frozenset[str] = frozenset()) -> tuple[str, str, str, str, str]:
+    """(corporation, brand, stem, area, types) of a typed name; the stem holds the area word, brands only words of the given set."""
     t = canonical(name or "")
     t = re.sub(r"(?<=[ァ-ヺー])ニツク", "ニック", t)
     corp = ""
@@ -114,15 +144,10 @@ def name_parts(name: str | None) -> tuple[str, str, str, str, str, str]:
     if m and (had or len(m[0]) in (3, 4)):
         corp = m[0]
         t = t[: m.start()] + " " + t[m.end() :]
-    brand = ""
-    low = t.lower()
-    for b in BRANDS:
-        k = low.find(b.lower())
-        if k >= 0:
-            brand = b
-            t = t[:k] + " " + t[k + len(b) :]
-            break
     t = t.lower().translate(VARIANTS)
+    brand: list[str] = []
+    if brands:
+        t = re.sub(r"[a-z\u00df-\u024f]+", lambda m: brand.append(m[0]) or " " if m[0] in brands else m[0], t)
     types = []
     for kind, pattern in TYPES:
         t, n = re.subn(pattern, " ", t)
@@ -135,19 +160,30 @@ def name_parts(name: str | None) -> tuple[str, str, str, str, str, str]:
     t = _TAIL.sub(" ", t)
     t = re.sub(r"(?<=[a-z])[.]", " ", t)
     stem = "".join(t.split())
+    if not stem and brand:  # a name of nothing but such words is its own stem
+        stem, brand = "".join(brand), []
     area = ""
     for a in AREAS:
         if stem.endswith(a) and len(stem) > len(a):
             area = a
             break
-    s = sound(stem)
     if not area:
+        s = sound(stem)
         for x, a in _AREA_SOUNDS:
             if s.endswith(x) and len(s) > len(x) + 2:
                 area = a
                 break
-    han = "".join(c for c in stem if "一" <= c <= "鿿")
-    return corp, brand, s, area, "+".join(types + [house] if house else types), han
+    return corp, " ".join(brand), stem, area, "+".join(types + [house] if house else types)
+
+
+def name_parts(name: str | None, brands: frozenset[str] = frozenset(), learned: dict[str, str] | None = None) -> tuple[str, str, str, str, str, str]:
+    """(corporation, brand, sound of stem and area, area, types, kanji of the stem) of a typed name."""
+    corp, brand, stem, area, types = split_name(name, brands)
+    return corp, brand, sound(stem, learned), area, types, kanji_of(stem)
+
+
+def kanji_of(stem: str) -> str:
+    return "".join(c for c in stem if "一" <= c <= "鿿")
 
 
 _DIGIT = {c: i for i, c in enumerate("〇一二三四五六七八九")}
@@ -168,7 +204,6 @@ _NUMERAL = "[〇一二三四五六七八九十百]+"
 _MUNICIPALITY = re.compile(r"^(.{2,6}?[市区町村])")
 
 
-@lru_cache(maxsize=200_000)
 def address_parts(address: str | None, prefecture: str | None = None) -> tuple[str, str, str, str]:
     """(prefecture, municipality, quarter, numbers joined by '-'); empty where not stated."""
     t = unicodedata.normalize("NFKC", address or "")

@@ -1,8 +1,16 @@
 """Variant spellings of names typed by people: records that mean the same facility at the same place (problem 2).
 
-Method: names are brought to a rough sound and cut into q-grams; a prefix-filtered set-similarity join (rare grams
-first) finds candidates; each is verified by a soft weighted similarity of name tokens, where rare tokens count more,
-under the condition that the addresses can be of one place. Verified links are closed to groups.
+Method: names are brought to a rough sound (kanji by readings learned from the records) and cut into q-grams; a
+prefix-filtered set-similarity join, rarest grams first, finds candidates; each is verified by a soft weighted
+similarity of name tokens, where rare tokens count more, under the condition that the addresses can be of one place.
+Verified links are closed to groups.
+
+Candidates. The relation of two addresses (full, part, slip, city, open) says which names can be one facility at all, so each
+relation has its join: records with a house number meet within quarter and first number, sharing a gram of their
+prefixes for an overlap of NEAR, or the full address; a record without a number meets its municipality likewise; one
+without a municipality meets its prefecture (an unknown one all), where names may differ by `edits` letters and so
+must share one of the few rarest grams that those edits cannot all spoil. Relations are decided inside the join: pairs
+whose addresses disagree are never written.
 
 Equal forms are joined once, as one form with its members, so a facility repeated in a third of all records stays one
 row of the join. Records with a municipality meet only within it; records without one need almost equal names and
@@ -16,49 +24,82 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
+from reconlake.llm import readings
 from reconlake.llm.mapping import osa
-from reconlake.llm.namekeys import address_parts, name_parts
+from reconlake.llm.namekeys import address_parts, foreign_words, kanji_of, sound, split_name
 from reconlake.session import cut, ship_package
 
-Q, Q_FAR = 3, 4  # gram lengths within a municipality and where one side names none
-NEAR, FAR = 0.3, 0.6  # gram overlap that candidates need
-FAR_EDITS = 4
+Q = 3  # gram length
+NEAR = 0.3  # share of the larger set of grams that two names of one municipality have in common
+BRAND_CITIES = 3  # a foreign word that stands in names of so many municipalities is a brand
 STANDS_OUT, EXACT, CLOSER = 0.08, 0.985, 0.015  # lead over the next group that decides; less is enough for a name as good as equal
 #: least name score by how far the addresses agree: full number, shared beginning, a slip in the house number, municipality only
 LEAST = {"full": 0.20, "part": 0.45, "slip": 0.60, "city": 0.62, "open": 0.92}
 FIRM = ("full", "part", "slip")
 
-_PARTS = StructType([StructField(n, StringType()) for n in ("corp", "brand", "snd", "area", "types", "han", "pref", "city", "quarter", "nums")])
-KEYS = [f.name for f in _PARTS]
+_PLACE = StructType([StructField(n, StringType()) for n in ("pref", "city", "quarter", "nums")] + [StructField("foreign", ArrayType(StringType()))])
+_NAME = StructType([StructField(n, StringType()) for n in ("corp", "brand", "stem", "area", "types", "han", "snd")])
+PLACES = ["pref", "city", "quarter", "nums"]
+KEYS = ["corp", "brand", "snd", "area", "types", "han", *PLACES]
 
 
-@F.pandas_udf(_PARTS)
-def parts(name: pd.Series, address: pd.Series, prefecture: pd.Series) -> pd.DataFrame:
-    rows = [
-        name_parts(n) + address_parts(a, p)
-        for n, a, p in zip(name.where(name.notna(), None), address.where(address.notna(), None), prefecture.where(prefecture.notna(), None), strict=True)
-    ]
-    return pd.DataFrame(rows, columns=KEYS)
+@F.pandas_udf(_PLACE)
+def places(name: pd.Series, address: pd.Series, prefecture: pd.Series) -> pd.DataFrame:
+    """Parts of the addresses, and the words of the names that may be brands."""
+    text = lambda x: x if isinstance(x, str) else None
+    rows = [(*address_parts(text(a), text(p)), foreign_words(text(n))) for n, a, p in zip(name, address, prefecture, strict=True)]
+    return pd.DataFrame(rows, columns=_PLACE.names)
 
 
-def grams(snd: Column, q: int) -> Column:
+def grams(snd: Column, q: int = Q) -> Column:
     """Distinct q-grams of a sound, its ends marked."""
     s = F.concat(F.lit("^"), snd, F.lit("$"))
     at = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(s) - q + 1))
     return F.array_distinct(F.transform(at, lambda i: F.substring(s, i, F.lit(q))))
 
 
+def edits(length: Column) -> Column:
+    """By how many letters or swaps two sounds (the shorter of this length) may differ where no municipality is stated on one side."""
+    return F.when(length < 5, 0).when(length < 14, 1).otherwise(2)
+
+
 def records(df: DataFrame, key: str, name: str, address: str, prefecture: str | None = None) -> DataFrame:
-    """(rec, keys of name and address) of one table."""
-    ship_package(df.sparkSession)
-    pref = F.col(prefecture) if prefecture else F.lit(None).cast("string")
-    return df.select(F.col(key).cast("string").alias("rec"), parts(F.col(name), F.col(address), pref).alias("p")).select("rec", "p.*")
+    """(rec, name, address, prefecture) of one table."""
+    pref = F.col(prefecture) if prefecture else F.lit(None)
+    return df.select(F.col(key).cast("string").alias("rec"), F.col(name).alias("name"), F.col(address).alias("address"), pref.cast("string").alias("prefecture"))
+
+
+def keyed(recs: DataFrame) -> DataFrame:
+    """(rec, keys of name and address) of records(): brands and readings are learned from all of them."""
+    ship_package(recs.sparkSession)
+    first = cut(recs.select("rec", "name", places("name", "address", "prefecture").alias("p")).select("rec", "name", "p.*"))
+    in_cities = first.where("city != ''").select("city", F.explode("foreign").alias("word")).distinct().groupBy("word").count()
+    brands = frozenset(r.word for r in in_cities.where(F.col("count") >= BRAND_CITIES).select("word").collect())  # words spread over municipalities
+
+    @F.pandas_udf(_NAME)
+    def parsed(name: pd.Series) -> pd.DataFrame:
+        out = []
+        for n in name:
+            corp, brand, stem, area, types = split_name(n if isinstance(n, str) else None, brands)
+            out.append((corp, brand, stem, area, types, kanji_of(stem), sound(stem)))
+        return pd.DataFrame(out, columns=_NAME.names)
+
+    second = cut(first.select("rec", parsed("name").alias("n"), *PLACES).select("rec", "n.*", *PLACES))
+    known = readings.learned(second)
+    if known:
+
+        @F.pandas_udf(StringType())
+        def heard(stem: pd.Series) -> pd.Series:
+            return pd.Series([sound(x, known) for x in stem], dtype=object)
+
+        second = second.withColumn("snd", heard("stem"))
+    return second.select("rec", *KEYS)
 
 
 def forms_of(recs: DataFrame) -> DataFrame:
-    """Distinct forms with an id of their content, their grams and token weights."""
+    """Distinct forms with an id of their content and token weights."""
     forms = recs.where("snd != ''").select(*KEYS).distinct().withColumn("form", F.xxhash64(*KEYS))
     forms = cut(forms)
     total = forms.count()
@@ -72,38 +113,30 @@ def forms_of(recs: DataFrame) -> DataFrame:
     return forms.join(weights, "form")
 
 
-def prefix_tokens(forms: DataFrame, share: float, q: int) -> DataFrame:
-    """(form, gram): the rarest grams of each form, as many as a partner of that overlap must share one of."""
-    g = forms.select("form", grams(F.col("snd"), q).alias("grams")).select("form", F.explode("grams").alias("gram"), F.size("grams").alias("n"))
+def ordered_grams(forms: DataFrame) -> DataFrame:
+    """(form, gs): the grams of each form, rarest first."""
+    g = forms.select("form", F.explode(grams(F.col("snd"))).alias("gram"))
     df = g.groupBy("gram").agg(F.count("*").alias("df"))
-    place = F.row_number().over(Window.partitionBy("form").orderBy("df", "gram"))
-    return g.join(df, "gram").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * share) + 1).select("form", "gram")
-
-
-_SCORE = StructType([StructField("score", DoubleType()), StructField("relation", StringType())])
-
-
-def relation(a: dict, b: dict) -> str:
-    """How far two addresses agree: full, part, slip, city, open or apart."""
-    same_pref = not a["pref"] or not b["pref"] or a["pref"] == b["pref"]
-    if a["city"] and b["city"]:
-        if a["city"] != b["city"]:
-            return "apart"
-        x, y = a["nums"].split("-") if a["nums"] else [], b["nums"].split("-") if b["nums"] else []
-        n = min(len(x), len(y))
-        qa, qb = a["quarter"], b["quarter"]
-        if n == 3 and qa == qb and x[:2] == y[:2] and x != y:
-            return "slip" if same_pref else "apart"
-        if x[:n] != y[:n]:
-            return "apart"
-        if qa == qb and n == 3:
-            return "full"
-        if qa == qb and n:
-            return "part" if same_pref else "apart"
-        if not (qa.startswith(qb) if not y else qb.startswith(qa) if not x else False):
-            return "apart"
-        return "city" if same_pref else "apart"
-    return "open" if same_pref else "apart"
+    return g.join(df, "gram").groupBy("form").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "gram"))), lambda x: x["gram"]).alias("gs"))
+
+
+def relation(a: str, b: str) -> Column:
+    """How far two addresses agree: full, part, slip, city, open or apart; a and b prefix the columns pref, city, quarter and nums."""
+    c = lambda s, k: F.col(f"{s}_{k}")
+    same_pref = (c(a, "pref") == "") | (c(b, "pref") == "") | (c(a, "pref") == c(b, "pref"))
+    x, y = (F.filter(F.split(c(s, "nums"), "-"), lambda v: v != "") for s in (a, b))
+    n = F.least(F.size(x), F.size(y))
+    qa, qb = c(a, "quarter"), c(b, "quarter")
+    agree = (n == 0) | (F.slice(x, F.lit(1), F.greatest(n, F.lit(1))) == F.slice(y, F.lit(1), F.greatest(n, F.lit(1))))
+    slip = (n == 3) & (qa == qb) & (F.slice(x, 1, 2) == F.slice(y, 1, 2)) & (x != y)
+    wider = ((F.size(x) == 0) & F.startswith(qb, qa)) | ((F.size(y) == 0) & F.startswith(qa, qb))
+    inside = (
+        F.when(slip, F.when(same_pref, "slip")).when(~agree, F.lit(None)).when((qa == qb) & (n == 3), "full")
+        .when((qa == qb) & (n > 0), F.when(same_pref, "part")).when(wider, F.when(same_pref, "city"))
+    )
+    cities = (c(a, "city") != "") & (c(b, "city") != "")
+    known = F.when(cities, F.when(c(a, "city") == c(b, "city"), inside)).otherwise(F.when(same_pref, "open"))
+    return F.coalesce(known, F.lit("apart"))
 
 
 def name_score(a: dict, b: dict) -> float:
@@ -142,60 +175,82 @@ def name_score(a: dict, b: dict) -> float:
 
 
 def scored(pairs: DataFrame, forms: DataFrame) -> DataFrame:
-    """pairs (a, b) with the name score and the relation of the addresses."""
-    side = lambda s: forms.select(F.col("form").alias(s), F.struct(*KEYS, "w").alias(f"_{s}"))
+    """pairs (a, b, relation) with the name score."""
+    keys = ("corp", "brand", "snd", "area", "types", "han", "w")
+    side = lambda s: forms.select(F.col("form").alias(s), F.struct(*keys).alias(f"_{s}"))
 
-    @F.pandas_udf(_SCORE)
-    def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    @F.pandas_udf(DoubleType())
+    def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
         out = []
         for x, y in zip(a.to_dict("records"), b.to_dict("records"), strict=True):
             x["w"], y["w"] = dict(x["w"]), dict(y["w"])
-            r = relation(x, y)
-            out.append((name_score(x, y) if r != "apart" else 0.0, r))
-        return pd.DataFrame(out, columns=["score", "relation"])
+            out.append(name_score(x, y))
+        return pd.Series(out, dtype="float64")
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.select("a", "b", score("_a", "_b").alias("s")).select("a", "b", "s.score", "s.relation")
+    return joined.select("a", "b", score("_a", "_b").alias("score"), "relation")
 
 
 def candidates(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
-    """Pairs (a, b) of forms that share a rare gram: within a municipality, or with one side naming none.
+    """Pairs (a, b, relation) of forms that can be one facility by their addresses and share a rare gram.
 
     With one table a < b; with two, a is of the left and b of the right.
     """
-    cols = ["form", "snd", "city", "pref"]
+    place = PLACES
+    cols = ["form", "snd", *place]
     both = left.select(*cols) if right is None else left.select(*cols).unionByName(right.select(*cols)).distinct()
-    facts = both.select("form", "city", "pref", F.length("snd").alias("len"))
-    near = cut(prefix_tokens(both, NEAR, Q).join(facts, "form"))
-    far = cut(prefix_tokens(both, FAR, Q_FAR).join(facts, "form"))
-
-    def join(x: DataFrame, y: DataFrame, on: list[str], alike: bool = False) -> DataFrame:
-        x = x.select(F.col("form").alias("a"), F.col("len").alias("la"), F.col("pref").alias("pa"), *on)
-        y = y.select(F.col("form").alias("b"), F.col("len").alias("lb"), F.col("pref").alias("pb"), *on)
-        p = x.join(y, on)
-        if alike:  # what a score for open addresses needs in any case: about the same length, no other prefecture
-            p = p.where("abs(la - lb) <= 2 and (pa = pb or pa = '' or pb = '')")
-        return p.select("a", "b")
-
-    def overlapping(p: DataFrame) -> DataFrame:
-        """Of the pairs without a common municipality those whose grams really overlap."""
-        g = both.select("form", "snd", grams(F.col("snd"), Q_FAR).alias("g"))
-        p = p.distinct().join(g.withColumnsRenamed({"form": "a", "snd": "sa", "g": "ga"}), "a").join(g.withColumnsRenamed({"form": "b", "snd": "sb", "g": "gb"}), "b")
-        p = p.where(F.size(F.array_intersect("ga", "gb")) >= FAR * F.least(F.size("ga"), F.size("gb")) - 1)
-        # two edits, or swaps that count as two, are all that a score for open addresses allows
-        return p.where(F.levenshtein("sa", "sb", FAR_EDITS) >= 0).select("a", "b")
-
-    def of(tokens: DataFrame, forms: DataFrame | None) -> DataFrame:
-        return tokens if forms is None else tokens.join(forms.select("form"), "form", "left_semi")
-
-    if right is None:
-        p = join(near.where("city != ''"), near.where("city != ''"), ["city", "gram"])
-        p = p.unionByName(overlapping(join(far.where("city = ''"), far, ["gram"], True)))
-        return p.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    ln, rn, lf, rf = of(near, left), of(near, right), of(far, left), of(far, right)
-    p = join(ln.where("city != ''"), rn.where("city != ''"), ["city", "gram"])
-    p = p.unionByName(overlapping(join(lf.where("city = ''"), rf, ["gram"], True).unionByName(join(lf.where("city != ''"), rf.where("city = ''"), ["gram"], True))))
-    return p.distinct()
+    base = cut(both.join(ordered_grams(both), "form"))
+    n = F.size("gs")
+    near = F.slice("gs", F.lit(1), (n - F.ceil(n * NEAR) + 1).cast("int"))
+    # an edit spoils at most Q grams, and a swap of neighbours counts as two
+    far = F.slice("gs", F.lit(1), (2 * Q * edits(F.length("snd")) + 1).cast("int"))
+    first = F.get(F.split("nums", "-"), F.lit(0))
+    full = F.when(F.size(F.split("nums", "-")) == 3, F.array(F.concat(F.lit("#"), "nums"))).otherwise(F.array().cast("array<string>"))
+    unplaced, unnumbered = F.col("city") == "", (F.col("city") != "") & (F.col("nums") == "")
+
+    def tokens(rows: DataFrame, kind: str, *of: Column, grams_: Column) -> DataFrame:
+        return rows.select(F.explode(F.transform(grams_, lambda g: F.xxhash64(F.lit(kind), *of, g))).alias("k"), "form", "snd", *place)
+
+    def side(rows: DataFrame, s: str) -> DataFrame:
+        return rows.select("k", F.col("form").alias(s), F.col("snd").alias(f"{s}_snd"), *[F.col(p).alias(f"{s}_{p}") for p in place])
+
+    def met(x: DataFrame, y: DataFrame, kinds: tuple[str, ...], ordered: bool, alike: bool = False) -> DataFrame:
+        p = side(x, "a").join(side(y, "b"), "k").where(F.col("a") < F.col("b") if ordered else F.col("a") != F.col("b"))
+        if alike:
+            la, lb = F.length("a_snd"), F.length("b_snd")
+            p = p.where((F.abs(la - lb) <= 2) & F.levenshtein("a_snd", "b_snd", 4).between(0, 2 * edits(F.least(la, lb))))
+        return p.withColumn("relation", relation("a", "b")).where(F.col("relation").isin(*kinds)).select("a", "b", "relation")
+
+    def of(forms: DataFrame | None) -> DataFrame:
+        return base if forms is None else base.join(forms.select("form"), "form", "left_semi")
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        return tokens(rows.where("city != '' and nums != ''"), "number", F.col("city"), F.col("quarter"), first, grams_=F.concat(near, full))
+
+    def in_city(rows: DataFrame) -> DataFrame:
+        return tokens(rows.where("city != ''"), "city", F.col("city"), grams_=near)
+
+    def in_prefecture(rows: DataFrame, known: bool) -> DataFrame:
+        """With a known prefecture within it, and with an unknown one anywhere."""
+        return tokens(rows.where("pref != ''"), "pref", F.col("pref"), grams_=far) if known else tokens(rows, "any", grams_=far)
+
+    x, y = of(None if right is None else left), of(None if right is None else right)
+    one = right is None
+    parts = [met(numbered(x), numbered(y), FIRM, one)]
+    for a, b in ((x, y),) if one else ((x, y), (y, x)):
+        turned = a is y and not one
+        flip = lambda p: p.select(F.col("b").alias("a"), F.col("a").alias("b"), "relation") if turned else p  # noqa: B023, E731
+        parts.append(flip(met(in_city(a.where(unnumbered)), in_city(b), ("city",), False)))
+        bare = a.where(unplaced)
+        parts.append(flip(met(in_prefecture(bare, True), in_prefecture(b, True), ("open",), False, True)))
+        parts.append(flip(met(in_prefecture(bare.where("pref = ''"), False), in_prefecture(b, False), ("open",), False, True)))
+        parts.append(flip(met(in_prefecture(bare.where("pref != ''"), False), in_prefecture(b.where("pref = ''"), False), ("open",), False, True)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    if one:
+        out = out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "relation")
+    return out.distinct()
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -228,12 +283,21 @@ def leads(score: str, following: str) -> Column:
 
 def groups(recs: DataFrame) -> DataFrame:
     """(rec, root) of all records with a name; root is the same for records that mean one facility."""
-    ship_package(recs.sparkSession)
-    recs = cut(recs)
-    forms = cut(forms_of(recs))
-    links = cut(scored(candidates(forms), forms).where("relation != 'apart'"))
+    return grouped(cut(keyed(recs)))
+
+
+def grouped(recs: DataFrame, forms: DataFrame | None = None) -> DataFrame:
+    """groups() of keyed records; forms are those of at least these records, if they are known already."""
+    own = recs.where("snd != ''").withColumn("form", F.xxhash64(*KEYS)).select("rec", "form")
+    forms = cut(forms_of(recs)) if forms is None else cut(forms.join(own.select("form").distinct(), "form", "left_semi"))
+    links = cut(scored(candidates(forms), forms))
+    return own.join(rooted(forms, links), "form").select("rec", "root")
+
+
+def rooted(forms: DataFrame, links: DataFrame) -> DataFrame:
+    """(form, root): links closed to groups, and forms without a house number attached to the one group that fits."""
     firm = links.where(passes(F.col("relation"), F.col("score"))).select("a", "b")
-    roots = components(forms.select(F.col("form").alias("node")), firm)
+    roots = cut(components(forms.select(F.col("form").alias("node")), firm))
     # forms without a house number: to the one group that fits, the best by score if it stands out
     open_ = links.where(
         ((F.col("relation") == "open") & (F.col("score") >= LEAST["open"])) | ((F.col("relation") == "city") & (F.col("score") >= LEAST["city"]))
@@ -248,21 +312,30 @@ def groups(recs: DataFrame) -> DataFrame:
     ends = ends.groupBy("f", "gr").agg(F.max("score").alias("score"), F.min("g").alias("g"))
     rank = Window.partitionBy("f").orderBy(F.desc("score"), "gr")
     ends = ends.withColumn("n", F.row_number().over(rank)).withColumn("next", F.lead("score").over(rank))
-    single = ends.where((F.col("n") == 1) & leads("score", "next")).select(F.col("f").alias("a"), F.col("g").alias("b"))
+    single = cut(ends.where((F.col("n") == 1) & leads("score", "next")).select(F.col("f").alias("a"), F.col("g").alias("b")))
     # and to each other where neither has a number and the names are as good as equal, or alike in one municipality
     alike = ((F.col("relation") == "open") & (F.col("score") >= 0.97)) | ((F.col("relation") == "city") & (F.col("score") >= 0.85))
     bare = placed.where("not placed").select("f")
     loose = open_.where(alike).join(bare.withColumnRenamed("f", "a"), "a").join(bare.withColumnRenamed("f", "b"), "b").select("a", "b")
     fitted = single.select(F.col("a").alias("f")).distinct()
     loose = loose.join(fitted.withColumnRenamed("f", "a"), "a", "left_anti").join(fitted.withColumnRenamed("f", "b"), "b", "left_anti")
-    more = single.unionByName(loose)
-    second = components(forms.select(F.col("form").alias("node")), firm.unionByName(more))
-    keyed = recs.where("snd != ''").withColumn("node", F.xxhash64(*KEYS)).select("rec", "node")
-    return keyed.join(second, "node").select("rec", "root")
+    # the second closure joins the groups of the first
+    of = lambda s: roots.select(F.col("node").alias(s), F.col("root").alias(f"r{s}"))
+    more = single.unionByName(loose).join(of("a"), "a").join(of("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a != b").distinct()
+    more = cut(more)
+    nodes = more.select(F.col("a").alias("node")).union(more.select("b")).distinct()
+    joined = components(nodes, more).select(F.col("node").alias("root"), F.col("root").alias("_top"))
+    return roots.join(joined, "root", "left").select(F.col("node").alias("form"), F.coalesce("_top", "root").alias("root"))
+
+
+def linked(recs: DataFrame) -> DataFrame:
+    """(rec, root, links): each record with a name, its group and the number of other records in it."""
+    g = cut(groups(recs))
+    return g.join(g.groupBy("root").agg((F.count("*") - 1).alias("links")), "root").select("rec", "root", "links")
 
 
 def same_facility(recs: DataFrame) -> DataFrame:
-    """(rec_a, rec_b): all pairs of each group, rec_a < rec_b."""
+    """(rec_a, rec_b): all pairs of each group, rec_a < rec_b; linked() gives the groups without writing out their pairs."""
     g = cut(groups(recs))
     x, y = g.select(F.col("rec").alias("rec_a"), "root"), g.select(F.col("rec").alias("rec_b"), "root")
     return x.join(y, "root").where("rec_a < rec_b").select("rec_a", "rec_b")
