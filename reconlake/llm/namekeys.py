@@ -4,8 +4,7 @@ A name is split into legal form with corporation, brand, stem, area words and ty
 (kanji, kana, Latin letters, old forms of kanji) is brought to one rough sound in which voicing and vowel length
 are left out, so that spellings by ear meet. An address is split into prefecture, municipality, quarter and numbers.
 
-How kanji are read is learned from the records themselves (readings.py); the readings below are common ones that hold
-where the records teach none. Which Latin words are brands is told by the records as well (names.py).
+How kanji are read is learned from the records themselves (readings.py); common readings hold where they teach none. Which Latin words are brands is told by the records as well (names.py).
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ import unicodedata
 
 from reconlake.llm.canon import canonical
 
-# --- fixed values: readings of kanji in place-like names, two-character words first ---
+# --- fixed values: common readings of kanji, two-character words first; they hold where the records teach none ---
 READINGS = dict(x.split(":") for x in (
     "琥珀:こはく 百合:ゆり 福寿:ふくじゅ 石蕗:つわぶき 長閑:のどか 織部:おりべ 若葉:わかば 千草:ちぐさ 高砂:たかさご 常盤:ときわ "
     "羽衣:はごろも 丹波:たんば 八雲:やくも 牡丹:ぼたん 神楽:かぐら 三峰:みみね 水無:みずなし 一色:いっしき 二葉:ふたば 瑠璃:るり "
@@ -62,6 +61,7 @@ PREFECTURES = (
     "香川県 愛媛県 高知県 福岡県 佐賀県 長崎県 熊本県 大分県 宮崎県 鹿児島県 沖縄県"
 ).split()
 
+AREA_READINGS = {k: v for k, v in READINGS.items() if k in AREAS}
 _LONGEST = max(map(len, READINGS))
 _ROMAN = {}
 for _row, _c in (("あいうえお", ""), ("かきくけこ", "k"), ("がぎぐげご", "k"), ("さしすせそ", "s"), ("ざじずぜぞ", "s"), ("たちつてと", "t"), ("だぢづでど", "t"),

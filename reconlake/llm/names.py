@@ -31,7 +31,7 @@ from reconlake.llm.mapping import osa
 from reconlake.llm.namekeys import address_parts, foreign_words, kanji_of, sound, split_name
 from reconlake.session import cut, ship_package
 
-Q = 3  # gram length
+Q, Q_FAR = 3, 4  # gram lengths within a municipality and where one side names none
 NEAR = 0.3  # share of the larger set of grams that two names of one municipality have in common
 BRAND_CITIES = 3  # a foreign word that stands in names of so many municipalities is a brand
 STANDS_OUT, EXACT, CLOSER = 0.08, 0.985, 0.015  # lead over the next group that decides; less is enough for a name as good as equal
@@ -40,7 +40,7 @@ LEAST = {"full": 0.20, "part": 0.45, "slip": 0.60, "city": 0.62, "open": 0.92}
 FIRM = ("full", "part", "slip")
 
 _PLACE = StructType([StructField(n, StringType()) for n in ("pref", "city", "quarter", "nums")] + [StructField("foreign", ArrayType(StringType()))])
-_NAME = StructType([StructField(n, StringType()) for n in ("corp", "brand", "stem", "area", "types", "han", "snd")])
+_NAME = StructType([StructField(n, StringType()) for n in ("corp", "brand", "stem", "area", "types", "han")])
 PLACES = ["pref", "city", "quarter", "nums"]
 KEYS = ["corp", "brand", "snd", "area", "types", "han", *PLACES]
 
@@ -53,7 +53,7 @@ def places(name: pd.Series, address: pd.Series, prefecture: pd.Series) -> pd.Dat
     return pd.DataFrame(rows, columns=_PLACE.names)
 
 
-def grams(snd: Column, q: int = Q) -> Column:
+def grams(snd: Column, q: int) -> Column:
     """Distinct q-grams of a sound, its ends marked."""
     s = F.concat(F.lit("^"), snd, F.lit("$"))
     at = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(s) - q + 1))
@@ -61,8 +61,11 @@ def grams(snd: Column, q: int = Q) -> Column:
 
 
 def edits(length: Column) -> Column:
-    """By how many letters or swaps two sounds (the shorter of this length) may differ where no municipality is stated on one side."""
-    return F.when(length < 5, 0).when(length < 14, 1).otherwise(2)
+    """How many letters two sounds (the shorter of this length) may differ by where no municipality is stated on one side.
+
+    More would fail the least score for open addresses; a name has at least one gram of Q_FAR more than so many edits spoil.
+    """
+    return F.when(length < Q_FAR + 2, 0).when(length < 2 * Q_FAR + 2, 1).when(length < 4 * Q_FAR + 2, 2).otherwise(4)
 
 
 def records(df: DataFrame, key: str, name: str, address: str, prefecture: str | None = None) -> DataFrame:
@@ -83,19 +86,17 @@ def keyed(recs: DataFrame) -> DataFrame:
         out = []
         for n in name:
             corp, brand, stem, area, types = split_name(n if isinstance(n, str) else None, brands)
-            out.append((corp, brand, stem, area, types, kanji_of(stem), sound(stem)))
+            out.append((corp, brand, stem, area, types, kanji_of(stem)))
         return pd.DataFrame(out, columns=_NAME.names)
 
     second = cut(first.select("rec", parsed("name").alias("n"), *PLACES).select("rec", "n.*", *PLACES))
-    known = readings.learned(second)
-    if known:
+    known = readings.learned(second)  # at most one reading a kanji
 
-        @F.pandas_udf(StringType())
-        def heard(stem: pd.Series) -> pd.Series:
-            return pd.Series([sound(x, known) for x in stem], dtype=object)
+    @F.pandas_udf(StringType())
+    def heard(stem: pd.Series) -> pd.Series:
+        return pd.Series([sound(x, known) for x in stem], dtype=object)
 
-        second = second.withColumn("snd", heard("stem"))
-    return second.select("rec", *KEYS)
+    return second.withColumn("snd", heard("stem")).select("rec", *KEYS)
 
 
 def forms_of(recs: DataFrame) -> DataFrame:
@@ -113,11 +114,11 @@ def forms_of(recs: DataFrame) -> DataFrame:
     return forms.join(weights, "form")
 
 
-def ordered_grams(forms: DataFrame) -> DataFrame:
-    """(form, gs): the grams of each form, rarest first."""
-    g = forms.select("form", F.explode(grams(F.col("snd"))).alias("gram"))
+def ordered_grams(forms: DataFrame, q: int, name: str) -> DataFrame:
+    """(form, name): the grams of each form, rarest first."""
+    g = forms.select("form", F.explode(grams(F.col("snd"), q)).alias("gram"))
     df = g.groupBy("gram").agg(F.count("*").alias("df"))
-    return g.join(df, "gram").groupBy("form").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "gram"))), lambda x: x["gram"]).alias("gs"))
+    return g.join(df, "gram").groupBy("form").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "gram"))), lambda x: x["gram"]).alias(name))
 
 
 def relation(a: str, b: str) -> Column:
@@ -199,11 +200,11 @@ def candidates(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
     place = PLACES
     cols = ["form", "snd", *place]
     both = left.select(*cols) if right is None else left.select(*cols).unionByName(right.select(*cols)).distinct()
-    base = cut(both.join(ordered_grams(both), "form"))
+    base = cut(both.join(ordered_grams(both, Q, "gs"), "form").join(ordered_grams(both, Q_FAR, "far"), "form"))
     n = F.size("gs")
     near = F.slice("gs", F.lit(1), (n - F.ceil(n * NEAR) + 1).cast("int"))
-    # an edit spoils at most Q grams, and a swap of neighbours counts as two
-    far = F.slice("gs", F.lit(1), (2 * Q * edits(F.length("snd")) + 1).cast("int"))
+    # an edit spoils at most Q_FAR grams
+    far = F.slice("far", F.lit(1), (Q_FAR * edits(F.length("snd")) + 1).cast("int"))
     first = F.get(F.split("nums", "-"), F.lit(0))
     full = F.when(F.size(F.split("nums", "-")) == 3, F.array(F.concat(F.lit("#"), "nums"))).otherwise(F.array().cast("array<string>"))
     unplaced, unnumbered = F.col("city") == "", (F.col("city") != "") & (F.col("nums") == "")
@@ -218,7 +219,7 @@ def candidates(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
         p = side(x, "a").join(side(y, "b"), "k").where(F.col("a") < F.col("b") if ordered else F.col("a") != F.col("b"))
         if alike:
             la, lb = F.length("a_snd"), F.length("b_snd")
-            p = p.where((F.abs(la - lb) <= 2) & F.levenshtein("a_snd", "b_snd", 4).between(0, 2 * edits(F.least(la, lb))))
+            p = p.where((F.abs(la - lb) <= 2) & F.levenshtein("a_snd", "b_snd", 4).between(0, edits(F.least(la, lb))))
         return p.withColumn("relation", relation("a", "b")).where(F.col("relation").isin(*kinds)).select("a", "b", "relation")
 
     def of(forms: DataFrame | None) -> DataFrame:

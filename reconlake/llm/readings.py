@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reconlake.llm.namekeys import READINGS, VARIANTS, flat, rough, sound
+from reconlake.llm.namekeys import AREA_READINGS, VARIANTS, flat, rough, sound
 from reconlake.session import cut
 
 ROUNDS = 5
@@ -39,7 +39,7 @@ def core(stem: str, area: str) -> str:
         return rough(t[: -len(area)])
     s = rough(t)
     if area:
-        for x in (rough(READINGS.get(area, area)), sound(area)):
+        for x in (rough(AREA_READINGS.get(area, area)), sound(area)):
             if x and s.endswith(x) and len(s) > len(x):
                 return s[: -len(x)]
     return s

@@ -45,6 +45,66 @@ def test_pairs_of_one_facility(spark):
     assert got == {(x, y) for x in group for y in group if x < y}
 
 
+INVENTED = {"鴉": "からす", "鵺": "ぬえ", "楡": "にれ", "樫": "かし", "鯨": "くじら", "蔦": "つた", "蕗": "ふき", "葛": "くず", "槙": "まき", "雉": "きじ", "轍": "わだち", "礎": "いしずえ"}
+
+
+def spelled(stem, how):
+    romaji = {"か": "ka", "ら": "ra", "す": "su", "ぬ": "nu", "え": "e", "に": "ni", "れ": "re", "し": "shi", "く": "ku", "じ": "ji", "つ": "tsu", "た": "ta", "ふ": "fu", "き": "ki", "ず": "zu", "ま": "ma", "わ": "wa", "だ": "da", "ち": "chi", "い": "i"}
+    kana = "".join(INVENTED[c] for c in stem)
+    return stem if how == 0 else kana if how == 1 else "".join(romaji[c] for c in kana).capitalize()
+
+
+def test_names_of_unknown_kanji_are_linked(spark):
+    """Stems of kanji without a common reading: their sound is learned from full addresses and links the records without one."""
+    from reconlake.llm import namekeys, readings
+
+    assert not set(INVENTED) & set(namekeys.READINGS)
+    rng = np.random.default_rng(9)
+    stems = sorted({a + b for a in INVENTED for b in INVENTED if a != b})
+    data, want = [], set()
+    for k, stem in enumerate(stems):
+        city = f"第{k}市" if k % 2 else f"緑{k}市"
+        data += [(f"A{k:03}", f"{stem}クリニック", f"熊本県{city}八雲6丁目34番8号"), (f"B{k:03}", f"{spelled(stem, 1 + k % 2)} Clinic", f"熊本県{city}八雲6-34-8")]
+        data.append((f"C{k:03}", f"{spelled(stem, 1 + int(rng.integers(0, 2)))} クリニック", f"熊本県{city}"))
+        want |= {(f"A{k:03}", f"B{k:03}"), (f"A{k:03}", f"C{k:03}"), (f"B{k:03}", f"C{k:03}")}
+    recs = names.records(spark.createDataFrame(data, "id string, n string, a string"), "id", "n", "a")
+    got = {(r.rec_a, r.rec_b) for r in names.same_facility(recs).collect()}
+    assert len(got & want) >= 0.9 * len(want) and len(got & want) >= 0.95 * len(got)
+    # most of it is learned, and a name learned is the name heard
+    forms = spark.createDataFrame([(s, "", f"市{k}", "八雲", "6-34-8") for k, stem in enumerate(stems) for s in (stem, spelled(stem, 1))], "stem string, area string, city string, quarter string, nums string")
+    known = readings.learned(forms)
+    assert all(namekeys.flat(known[c]) == namekeys.flat(namekeys.rough(INVENTED[c])) for c in INVENTED)
+
+
+def test_brands_are_foreign_words_of_several_municipalities(spark):
+    data = [(f"R{k}", f"Xylq {'鴉鵺楡樫'[k]}クリニック" if k < 3 else "Zorv 樫クリニック", f"熊本県緑{k}市桃1-2-3", None) for k in range(4)]
+    got = {r.rec: r.brand for r in names.keyed(rows(spark, data)).collect()}
+    assert got == {"R0": "xylq", "R1": "xylq", "R2": "xylq", "R3": ""}
+
+
+def test_no_link_of_a_municipality_is_lost(spark, data):
+    """Every pair of forms that the address relation and the score accept is among the candidates, against all pairs."""
+    from pyspark.sql import functions as F
+
+    sf = data.replace("0.001", "0.01")
+    f = names.records(spark.read.parquet(f"{sf}/nonqueue_facility.parquet"), "facility_id", "facility", "address", "prefecture")
+    l = names.records(spark.read.parquet(f"{sf}/locator.parquet"), "locator_id", "name", "address")
+    forms = names.forms_of(names.keyed(f.unionByName(l))).cache()
+    side = lambda s: forms.select(F.col("form").alias(s), F.col("snd").alias(f"{s}_snd"), *[F.col(p).alias(f"{s}_{p}") for p in names.PLACES])
+    every = side("a").join(side("b"), (F.col("a_city") == F.col("b_city")) & (F.col("a_city") != "") & (F.col("a") < F.col("b"))).withColumn("relation", names.relation("a", "b")).where("relation != 'apart'")
+    share = F.size(F.array_intersect(names.grams(F.col("a_snd"), 3), names.grams(F.col("b_snd"), 3))) / F.greatest(F.size(names.grams(F.col("a_snd"), 3)), F.size(names.grams(F.col("b_snd"), 3)))
+    every = every.where((F.col("relation") == "full") | (share >= names.NEAR)).select("a", "b", "relation")
+    kept = names.passes(F.col("relation"), F.col("score")) | ((F.col("relation") == "city") & (F.col("score") >= names.LEAST["city"]))
+    want = {(r.a, r.b) for r in names.scored(every, forms).where(kept).collect()}
+    got = {(r.a, r.b) for r in names.candidates(forms).collect()}
+    assert len(want) > 150 and want <= got
+
+
+def test_groups_count_their_links(spark):
+    got = {r.rec: (r.root, r.links) for r in names.linked(rows(spark, DATA)).collect()}
+    assert {got[x][1] for x in "ABCFI"} == {4} and got["D"][1] == 0 and len({got[x][0] for x in "ABCFI"}) == 1
+
+
 def test_no_records(spark):
     assert names.same_facility(rows(spark, DATA).limit(0)).count() == 0
 
