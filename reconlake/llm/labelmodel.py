@@ -1,12 +1,15 @@
 """Matching entities across sources without keys (problem 3).
 
-Method: many heuristic functions vote on each candidate pair (name, area, type, corporation, brand, address relation,
-prefecture, rivals); a generative model with a hidden match variable learns from the votes alone how accurate each
-function is and which of them go together, and gives each pair a posterior, which is the confidence.
+Method: many heuristic functions vote on each candidate pair (sound of the name, area, type, corporation, brand, address
+relation, prefecture, and whether the name is as like as that relation needs); a generative model with a hidden match variable learns from the votes alone how accurate each
+function is and which of them go together, and gives each pair a posterior. As a row describes at most one facility, the
+posterior odds of the facilities it could mean are weighed against each other; what results is the confidence, and it
+alone decides.
 
 The model sees distinct vote patterns with their counts (at most MAX_PATTERNS rows, else it is refused), not pairs:
 expectation maximisation over categorical votes, abstentions included. Functions whose votes are correlated beyond
-what the first estimate of the match variable explains (conditional mutual information) are joined to one factor before the model is learned.
+what the first estimate of the match variable explains (conditional mutual information) are joined to one factor, all that
+hang together, before the model is learned.
 
 Rows without a usable name get no match. Repeated rows are judged once and each get their matches. Empty tables
 give none; without variety in the votes the posterior stays at the prior of the rules.
@@ -26,12 +29,11 @@ from reconlake.session import cut, ship_package
 
 MAX_PATTERNS = 100_000
 ROUNDS = 60
-CORRELATED = 0.5  # share of its uncertainty that one function must tell of another, given the match variable, to be one factor
+CORRELATED = 0.7  # share of its uncertainty that one function must tell of another, given the match variable, to be one factor
 PRIOR = 20.0  # pseudo-pairs by which the rules speak for each factor; they decide only where data are few
 CONFIDENT = 0.65
-LEAST_OPEN = 0.92  # least name score where no municipality is stated on one side
 
-FUNCTIONS = ("name", "area", "types", "corp", "brand", "place", "pref", "rivals")
+FUNCTIONS = ("name", "area", "types", "corp", "brand", "place", "pref", "fits")
 
 
 def votes_of(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -49,14 +51,12 @@ def votes_of(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     name = F.when(distance == 0, "equal").when(distance <= 0.13, "close").when(distance <= 0.25, "near").when(distance <= 0.45, "like").otherwise("unlike")
     kinds = F.arrays_overlap(F.split("a_types", r"\+"), F.split("b_types", r"\+"))
     types = F.when((F.col("a_types") == "") | (F.col("b_types") == ""), "").when(kinds, "same").otherwise("differ")
-    # other facilities that the row could mean as well, going by name, where its address does not decide
-    best = Window.partitionBy("a")
-    undecided = F.col("relation") == "open"
-    rank = F.count_if(undecided & (distance <= 0.13)).over(best)
-    rivals = F.when(~undecided, "").when(rank > 1, "some").otherwise("none")
+    fits = F.lit(False)
+    for relation, least in names.LEAST.items():
+        fits = fits | ((F.col("relation") == relation) & (F.col("score") >= least))
     p = p.select(
         "a", "b", "score", name.alias("name"), same("area").alias("area"), types.alias("types"), same("corp").alias("corp"),
-        same("brand").alias("brand"), F.col("relation").alias("place"), same("pref").alias("pref"), rivals.alias("rivals"),
+        same("brand").alias("brand"), F.col("relation").alias("place"), same("pref").alias("pref"), F.when(fits, "fits").otherwise("short").alias("fits"),
     )
     return p
 
@@ -77,7 +77,7 @@ class LabelModel:
 
     #: how far each vote speaks for a match before anything is learned (log odds)
     PRO = {"equal": 2.0, "close": 1.5, "near": 0.3, "like": -1.5, "unlike": -3.0, "same": 0.5, "differ": -1.0,
-               "full": 4.0, "part": 2.5, "city": 1.0, "slip": 1.0, "open": -0.5, "apart": -5.0, "none": 0.3, "some": -0.7, "": 0.0}
+               "full": 4.0, "part": 2.5, "city": 1.0, "slip": 1.0, "open": -0.5, "apart": -5.0, "fits": 0.5, "short": -4.0, "": 0.0}
 
     def start(self) -> np.ndarray:
         """First guess of each pattern's posterior: how much of what the functions say speaks for a match."""
@@ -99,7 +99,8 @@ class LabelModel:
                 yes = np.bincount(f, weights=self.n * post, minlength=k) + PRIOR * r / k
                 no = np.bincount(f, weights=self.n * (1 - post), minlength=k) + PRIOR * (1 - r) / k
                 z += (np.log(yes / yes.sum()) - np.log(no / no.sum()))[f]
-            new = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+            self.logit = np.clip(z, -40, 40)
+            new = 1 / (1 + np.exp(-self.logit))
             if np.abs(new - post).max() < 1e-6:
                 return new
             post = new
@@ -126,29 +127,28 @@ class LabelModel:
         pairs = sorted(
             ((self.correlation(self.factors[i], self.factors[j], post), i, j) for i, j in combinations(range(len(self.factors)), 2)), reverse=True
         )
-        taken: set[int] = set()
+        home = list(range(len(self.factors)))
         for c, i, j in pairs:
-            if c >= CORRELATED and not {i, j} & taken:
-                taken |= {i, j}
-                self.names.append(self.names[i] + self.names[j])
-        self.names = [g for k, g in enumerate(self.names) if k not in taken]
+            if c >= CORRELATED and home[i] != home[j]:
+                home = [home[i] if h == home[j] else h for h in home]
+        self.names = [tuple(k for k, h in enumerate(home) if h == g) for g in sorted(set(home), key=home.index)]
         self.factors = [self._codes(g) for g in self.names]
         return self.learn(self.start())
 
 
 def confidences(votes: DataFrame) -> DataFrame:
-    """votes with the posterior `confidence` of each pair."""
+    """votes with the posterior of each pair and its `logit`."""
     counted = votes.groupBy(*FUNCTIONS).count()
     rows = counted.limit(MAX_PATTERNS + 1).collect()
     if len(rows) > MAX_PATTERNS:
         raise ValueError("too many distinct vote patterns")
     spark = votes.sparkSession
     if not rows:
-        return votes.withColumn("confidence", F.lit(0.0))
+        return votes.withColumn("posterior", F.lit(0.0)).withColumn("logit", F.lit(-40.0))
     model = LabelModel([tuple(r[f] for f in FUNCTIONS) for r in rows], np.array([r["count"] for r in rows]))
     post = model.fit()
     table = pd.DataFrame([tuple(r[f] for f in FUNCTIONS) for r in rows], columns=list(FUNCTIONS))
-    table["confidence"] = post
+    table["posterior"], table["logit"] = post, model.logit
     return votes.join(F.broadcast(spark.createDataFrame(table)), list(FUNCTIONS))
 
 
@@ -171,20 +171,14 @@ def described(matches: DataFrame, facilities: DataFrame) -> DataFrame:
     # a form that stands in both tables is a pair of its own
     own = both.select(*[F.col(k).alias(f"a_{k}") for k in names.PLACES], *[F.col(k).alias(f"b_{k}") for k in names.PLACES], F.col("form").alias("a"), F.col("form").alias("b"))
     own = own.join(left.select(F.col("form").alias("a")), "a", "left_semi").join(right.select(F.col("form").alias("b")), "b", "left_semi").select("a", "b", names.relation("a", "b").alias("relation"))
-    pairs = names.candidates(left, right).unionByName(own.where("relation != 'apart'")).distinct()
-    votes = cut(votes_of(names.scored(pairs, both), left, right))
-    judged = cut(confidences(votes).select("a", "b", "place", "score", "confidence"))
+    # pairs drawn by hash show the model what no match looks like
+    pairs = names.candidates(left, right, contrast=True).unionByName(own.where("relation != 'apart'")).distinct()
     groups = cut(names.grouped(right_recs, both))  # (rec, root)
-    roots = right_ids.join(groups, "rec").select(F.col("form").alias("b"), "root", F.col("rec").alias("facility_id"))
-    # where no house number decides, the names must carry the match
-    named = F.col("place").isin(*names.FIRM) | ((F.col("place") == "city") & (F.col("score") >= names.LEAST["city"])) | ((F.col("place") == "open") & (F.col("score") >= LEAST_OPEN))
-    by_root = judged.where((F.col("confidence") >= CONFIDENT) & named).join(roots.select("b", "root").distinct(), "b")
-    by_root = by_root.groupBy("a", "root").agg(F.max("confidence").alias("confidence"), F.max(F.when(F.col("place").isin(*names.FIRM), 1).otherwise(0)).alias("placed"), F.max("score").alias("score"))
-    n = Window.partitionBy("a")
-    rank = n.orderBy(F.desc("score"), F.desc("confidence"), "root")
-    by_root = by_root.withColumn("any_placed", F.max("placed").over(n)).withColumn("n", F.row_number().over(rank)).withColumn("next", F.lead("score").over(rank))
-    single = (F.col("n") == 1) & names.leads("score", "next")
-    sure = by_root.where(F.when(F.col("any_placed") == 1, F.col("placed") == 1).otherwise(single))
-    rows = sure.select("a", "root", "confidence").join(left_ids.withColumnsRenamed({"form": "a", "rec": "match_id"}), "a")
-    members = roots.select("root", "facility_id").distinct()
-    return rows.join(members, "root").select(F.col("match_id").cast("bigint").alias("match_id"), "facility_id", "confidence")
+    members = right_ids.join(groups, "rec").select(F.col("form").alias("b"), "root", F.col("rec").alias("facility_id"))
+    judged = confidences(cut(votes_of(names.scored(pairs, both), left, right)))
+    # of the facilities that a row could mean at most one is meant: their odds share what there is
+    odds = judged.join(members.select("b", "root").distinct(), "b").groupBy("a", "root").agg(F.exp(F.max("logit")).alias("odds"))
+    share = F.col("odds") / (1 + F.sum("odds").over(Window.partitionBy("a")))
+    sure = odds.withColumn("confidence", share).where(F.col("confidence") >= CONFIDENT)
+    rows = sure.join(left_ids.withColumnsRenamed({"form": "a", "rec": "match_id"}), "a")
+    return rows.join(members.select("root", "facility_id").distinct(), "root").select(F.col("match_id").cast("bigint").alias("match_id"), "facility_id", "confidence")

@@ -33,6 +33,7 @@ from reconlake.session import cut, ship_package
 
 Q, Q_FAR = 3, 4  # gram lengths within a municipality and where one side names none
 NEAR = 0.3  # share of the larger set of grams that two names of one municipality have in common
+CONTRAST = 3  # pairs of each form drawn for contrast
 BRAND_CITIES = 3  # a foreign word that stands in names of so many municipalities is a brand
 STANDS_OUT, EXACT, CLOSER = 0.08, 0.985, 0.015  # lead over the next group that decides; less is enough for a name as good as equal
 #: least name score by how far the addresses agree: full number, shared beginning, a slip in the house number, municipality only
@@ -192,10 +193,11 @@ def scored(pairs: DataFrame, forms: DataFrame) -> DataFrame:
     return joined.select("a", "b", score("_a", "_b").alias("score"), "relation")
 
 
-def candidates(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
+def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool = False) -> DataFrame:
     """Pairs (a, b, relation) of forms that can be one facility by their addresses and share a rare gram.
 
-    With one table a < b; with two, a is of the left and b of the right.
+    With one table a < b; with two, a is of the left and b of the right. With contrast there are also pairs of one
+    municipality whose addresses disagree ("apart") and that share one of the CONTRAST rarest grams of both, for a model to learn from.
     """
     place = PLACES
     cols = ["form", "snd", *place]
@@ -246,6 +248,10 @@ def candidates(left: DataFrame, right: DataFrame | None = None) -> DataFrame:
         parts.append(flip(met(in_prefecture(bare, True), in_prefecture(b, True), ("open",), False, True)))
         parts.append(flip(met(in_prefecture(bare.where("pref = ''"), False), in_prefecture(b, False), ("open",), False, True)))
         parts.append(flip(met(in_prefecture(bare.where("pref != ''"), False), in_prefecture(b.where("pref = ''"), False), ("open",), False, True)))
+    if contrast:
+        spread = max(1, y.count() // (CONTRAST * 47))  # buckets that leave each form about CONTRAST partners in its prefecture
+        drawn = lambda rows: tokens(rows, "drawn", F.col("pref"), F.pmod(F.xxhash64("form"), F.lit(spread)), grams_=F.array(F.lit("")))
+        parts.append(met(drawn(x), drawn(y), (*LEAST, "apart"), one))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
