@@ -31,6 +31,9 @@ PLACEHOLDERS = ("N/A", "w/o", "c/o")
 
 _MARK = "\ue0ff"  # stands for a number such as "1)" or "①" that starts a value
 _SAFE = "".join(chr(0xE000 + i) for i in range(len(SIGNS)))
+_PRIVATE = "[\ue000-\ue0ff]"
+_TAKEN = "".join(chr(0xE000 + i) for i in range(256))
+_ASIDE = "".join(chr(0xF000 + i) for i in range(256))  # where private signs of the data wait
 _MAX_BROADCAST_RULES = 20_000  # rows; a skeleton row is under 1 kB after collapsing
 _MAX_NAMES = 10_000
 _LETTER = r"[\p{IsLatin}\p{IsGreek}\p{IsCyrillic}\p{N}]"
@@ -40,12 +43,12 @@ def _cls(chars: str) -> str:
     return "[" + "".join("\\" + c if c in "\\]^-[|/+" else c for c in chars) + "]"
 
 
-def protected_patterns(names: Iterable[str]) -> list[tuple[str, str]]:
-    """(pattern, sign) for each sign inside a known name: the word before it, the sign, the word after it."""
+def protected_patterns(names: Iterable[str]) -> list[tuple[str, list[str]]]:
+    """(sign, patterns) for each sign inside a known name: the word before it in a group, the sign, and ahead the word after it."""
     gap = f"[{INVISIBLE}{VARIATION}]*"
-    out = {}
+    out: dict[str, set[str]] = {}
     for name in [*names, *PLACEHOLDERS]:
-        for m in re.finditer(f"(\\w+)(\\s*)({_cls(SIGNS)})(\\s*)(\\w+)", name or ""):
+        for m in re.finditer(f"(\\w+)(\\s*)({_cls(SIGNS)})(\\s*)(?=(\\w+))", name or ""):
             left, right = (gap.join(letter_class(c) for c in m[i]) for i in (1, 5))
             blank_l, blank_r = ("\\s*" if m[i] else gap for i in (2, 4))
             wide = {"/": "[/／]", ",": "[,，]", "+": "[+＋]", ";": "[;；]", "|": "[|｜]"}.get(m[3], re.escape(m[3]))
@@ -54,8 +57,8 @@ def protected_patterns(names: Iterable[str]) -> list[tuple[str, str]]:
             if before and stem:  # the name may be written without its blank
                 before = f"(?:{before}|(?<={letter_class(stem[1])}))"
             after = f"(?!{_LETTER})" if m[5][-1].isascii() else ""
-            out[f"{before}({left}{blank_l})({wide})({blank_r}{right}){after}"] = m[3]
-    return sorted(out.items())
+            out.setdefault(m[3], set()).add(f"{before}({left}{blank_l}){wide}(?={blank_r}{right}{after})")
+    return [(sign, sorted(found, key=lambda p: (-len(p), p))) for sign, found in sorted(out.items())]
 
 
 def known_names(registry: DataFrame, columns: Iterable[str]) -> list[str]:
@@ -70,10 +73,12 @@ def known_names(registry: DataFrame, columns: Iterable[str]) -> list[str]:
 
 def _masked(value: Column, names: list[str]) -> Column:
     """The field with enclosing signs removed and the signs that do not separate moved out of the way."""
-    v = F.regexp_replace(value, r"(?s)^\s*\[(.*)\]\s*$", "$1")
+    v = F.when(value.rlike(_PRIVATE), F.translate(value, _TAKEN, _ASIDE)).otherwise(value)  # the data's own private signs
+    v = F.regexp_replace(v, r"(?s)^\s*\[(.*)\]\s*$", "$1")
     v = F.regexp_replace(v, r"(?s)^\s*\{(.*)\}\s*$", "$1")
-    for pattern, sign in protected_patterns(names):
-        v = F.regexp_replace(v, pattern, "$1" + _SAFE[SIGNS.index(sign)] + "$3")
+    for sign, patterns in protected_patterns(names):  # one pattern a sign; the groups of alternatives that did not match are empty
+        kept = "".join(f"${i + 1}" for i in range(len(patterns)))
+        v = F.regexp_replace(v, "|".join(patterns), kept + _SAFE[SIGNS.index(sign)])
     n_quotes = F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))
     parts = F.transform(
         F.split(v, '"'),
@@ -122,8 +127,8 @@ def split_values(df: DataFrame, column: str, names: list[str], blank_splits: boo
 
     Null fields give null, fields of blanks only an empty array. Other columns stay as they are.
     """
-    tmp = df.withColumn("_masked", _masked(F.col(f"`{column}`"), names))
-    tmp = tmp.withColumn("_skeleton", _skeleton(F.col("_masked"), blank_splits))
+    tmp = df.withColumn("_masked", _masked(F.col(f"`{column}`"), names)).withColumn("_taken", F.col(f"`{column}`").rlike(_PRIVATE))
+    tmp = cut(tmp.withColumn("_skeleton", _skeleton(F.col("_masked"), blank_splits)))  # masked once, read for the rules and for the values
     plain = F.col("_skeleton").isin("w", "") | F.col("_skeleton").isNull()
     rules = cut(rules_of(tmp.where(~plain), blank_splits))
     if rules.count() <= _MAX_BROADCAST_RULES:
@@ -132,7 +137,8 @@ def split_values(df: DataFrame, column: str, names: list[str], blank_splits: boo
     rule = F.coalesce(F.when(F.col("_rule") == "", F.lit(None)).otherwise(F.col("_rule")), F.lit("\ue0fe"))
     blank = f"^[\\s\u00a0\u2000-\u200a\u202f\u3000]+|[\\s\u00a0\u2000-\u200a\u202f\u3000]+$"
     values = F.transform(F.split(F.col("_masked"), rule), lambda p: F.regexp_replace(F.translate(p, _SAFE, SIGNS), blank, ""))
-    return tmp.withColumn("_values", F.filter(values, lambda p: p != "")).drop("_masked", "_skeleton", "_rule")
+    values = F.when(F.col("_taken"), F.transform(values, lambda p: F.translate(p, _ASIDE, _TAKEN))).otherwise(values)
+    return tmp.withColumn("_values", F.filter(values, lambda p: p != "")).drop("_masked", "_taken", "_skeleton", "_rule")
 
 
 def unpack(df: DataFrame, key: str, column: str, names: list[str], blank_splits: bool = False, least: int = 2) -> DataFrame:
