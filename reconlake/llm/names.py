@@ -211,31 +211,37 @@ def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool =
     full = F.when(F.size(F.split("nums", "-")) == 3, F.array(F.concat(F.lit("#"), "nums"))).otherwise(F.array().cast("array<string>"))
     unplaced, unnumbered = F.col("city") == "", (F.col("city") != "") & (F.col("nums") == "")
 
-    def tokens(rows: DataFrame, kind: str, *of: Column, grams_: Column) -> DataFrame:
-        return rows.select(F.explode(F.transform(grams_, lambda g: F.xxhash64(F.lit(kind), *of, g))).alias("k"), "form", "snd", *place)
+    def tokens(rows: DataFrame, kind: str, *of: Column, grams_: Column, keep: tuple[str, ...]) -> DataFrame:
+        """A row for each gram, with what the pair must tell beyond its key."""
+        return rows.select(F.explode(F.transform(grams_, lambda g: F.xxhash64(F.lit(kind), *of, g))).alias("k"), "form", *keep)
 
     def side(rows: DataFrame, s: str) -> DataFrame:
-        return rows.select("k", F.col("form").alias(s), F.col("snd").alias(f"{s}_snd"), *[F.col(p).alias(f"{s}_{p}") for p in place])
+        """Columns prefixed; what the key already holds equal is not carried."""
+        return rows.select("k", F.col("form").alias(s), *[(F.col(c) if c in rows.columns else F.lit("=")).alias(f"{s}_{c}") for c in ("snd", *place)])
 
-    def met(x: DataFrame, y: DataFrame, kinds: tuple[str, ...], ordered: bool, alike: bool = False) -> DataFrame:
+    def met(x: DataFrame, y: DataFrame, kinds: tuple[str, ...], ordered: bool) -> DataFrame:
         p = side(x, "a").join(side(y, "b"), "k").where(F.col("a") < F.col("b") if ordered else F.col("a") != F.col("b"))
-        if alike:
-            la, lb = F.length("a_snd"), F.length("b_snd")
-            p = p.where((F.abs(la - lb) <= 2) & F.levenshtein("a_snd", "b_snd", 4).between(0, edits(F.least(la, lb))))
         return p.withColumn("relation", relation("a", "b")).where(F.col("relation").isin(*kinds)).select("a", "b", "relation")
 
+    def met_far(x: DataFrame, y: DataFrame) -> DataFrame:
+        """Forms alike enough for open addresses; the key sees to the prefecture."""
+        p = side(x, "a").join(side(y, "b"), "k").where("a != b")
+        la, lb = F.length("a_snd"), F.length("b_snd")
+        p = p.where((F.abs(la - lb) <= 2) & F.levenshtein("a_snd", "b_snd", 4).between(0, edits(F.least(la, lb))))
+        return p.select("a", "b", F.lit("open").alias("relation"))
+
     def of(forms: DataFrame | None) -> DataFrame:
         return base if forms is None else base.join(forms.select("form"), "form", "left_semi")
 
     def numbered(rows: DataFrame) -> DataFrame:
-        return tokens(rows.where("city != '' and nums != ''"), "number", F.col("city"), F.col("quarter"), first, grams_=F.concat(near, full))
+        return tokens(rows.where("city != '' and nums != ''"), "number", F.col("city"), F.col("quarter"), first, grams_=F.concat(near, full), keep=("pref", "nums"))
 
     def in_city(rows: DataFrame) -> DataFrame:
-        return tokens(rows.where("city != ''"), "city", F.col("city"), grams_=near)
+        return tokens(rows.where("city != ''"), "city", F.col("city"), grams_=near, keep=("pref", "quarter", "nums"))
 
     def in_prefecture(rows: DataFrame, known: bool) -> DataFrame:
         """With a known prefecture within it, and with an unknown one anywhere."""
-        return tokens(rows.where("pref != ''"), "pref", F.col("pref"), grams_=far) if known else tokens(rows, "any", grams_=far)
+        return tokens(rows.where("pref != ''"), "pref", F.col("pref"), grams_=far, keep=("snd",)) if known else tokens(rows, "any", grams_=far, keep=("snd",))
 
     x, y = of(None if right is None else left), of(None if right is None else right)
     one = right is None
@@ -245,12 +251,12 @@ def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool =
         flip = lambda p: p.select(F.col("b").alias("a"), F.col("a").alias("b"), "relation") if turned else p  # noqa: B023, E731
         parts.append(flip(met(in_city(a.where(unnumbered)), in_city(b), ("city",), False)))
         bare = a.where(unplaced)
-        parts.append(flip(met(in_prefecture(bare, True), in_prefecture(b, True), ("open",), False, True)))
-        parts.append(flip(met(in_prefecture(bare.where("pref = ''"), False), in_prefecture(b, False), ("open",), False, True)))
-        parts.append(flip(met(in_prefecture(bare.where("pref != ''"), False), in_prefecture(b.where("pref = ''"), False), ("open",), False, True)))
+        parts.append(flip(met_far(in_prefecture(bare, True), in_prefecture(b, True))))
+        parts.append(flip(met_far(in_prefecture(bare.where("pref = ''"), False), in_prefecture(b, False))))
+        parts.append(flip(met_far(in_prefecture(bare.where("pref != ''"), False), in_prefecture(b.where("pref = ''"), False))))
     if contrast:
         spread = max(1, y.count() // (CONTRAST * 47))  # buckets that leave each form about CONTRAST partners in its prefecture
-        drawn = lambda rows: tokens(rows, "drawn", F.col("pref"), F.pmod(F.xxhash64("form"), F.lit(spread)), grams_=F.array(F.lit("")))
+        drawn = lambda rows: tokens(rows, "drawn", F.col("pref"), F.pmod(F.xxhash64("form"), F.lit(spread)), grams_=F.array(F.lit("")), keep=tuple(place))
         parts.append(met(drawn(x), drawn(y), (*LEAST, "apart"), one))
     out = parts[0]
     for p in parts[1:]:
