@@ -195,12 +195,13 @@ def price_level(x: np.ndarray, n: np.ndarray, named: np.ndarray, usual: float) -
     costs = [*RARE.values(), 0.0]
     true = np.stack(options)
     grid = np.append(np.unique(np.round(true[~np.isnan(true)] / CELL) * CELL), usual)
-    total = np.empty(len(grid))
-    for i, a in enumerate(grid):
-        each = np.minimum((true - a) ** 2, 1.0) + np.array(costs)[:, None]
-        total[i] = (n * np.nanmin(each, axis=0)).sum() + min((a - usual) ** 2, 4.0)
+    extra = np.array(costs)[:, None]
+    total = np.minimum((grid - usual) ** 2, 4.0)
+    for lo in range(0, len(grid), step := max(1, 100_000 // true.size)):  # some levels at once, so that memory stays small
+        each = np.minimum((true[None] - grid[lo : lo + step, None, None]) ** 2, 1.0) + extra
+        total[lo : lo + step] += np.nanmin(each, axis=1) @ n
     a = grid[total.argmin()]
-    which = np.nanargmin(np.minimum((true - a) ** 2, 1.0) + np.array(costs)[:, None], axis=0)
+    which = np.nanargmin(np.minimum((true - a) ** 2, 1.0) + extra, axis=0)
     chosen = true[which, np.arange(len(x))]
     close = np.abs(chosen - a) <= 1.0
     return float((n * chosen)[close].sum() / n[close].sum()) if close.any() else float(a)

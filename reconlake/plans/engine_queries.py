@@ -294,9 +294,9 @@ def pending_work(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "treatment_plan").join(done, "plan_id", "left_anti").select("plan_id", "facility_id").orderBy("plan_id").limit(24)
 
 
-@query("""SELECT r.manufacturer_share_group AS maker, CAST(count(*) AS BIGINT) AS n FROM (SELECT trim(unnest(string_split(products, '|'))) AS product FROM price_stage) p JOIN product_registry r USING (product) GROUP BY 1""")
+@query("""SELECT r.manufacturer_share_group AS maker, CAST(count(*) AS BIGINT) AS n FROM (SELECT trim(unnest(regexp_split_to_array(products, '[|/]'))) AS product FROM price_stage) p JOIN product_registry r USING (product) GROUP BY 1""")
 def dimension_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = load(spark, sf_dir, "price_stage").select(F.explode(F.split("products", r"\|")).alias("product")).select(F.trim("product").alias("product"))
+    p = load(spark, sf_dir, "price_stage").select(F.explode(F.split("products", "[|/]")).alias("product")).select(F.trim("product").alias("product"))
     r = load(spark, sf_dir, "product_registry").select("product", F.col("manufacturer_share_group").alias("maker"))
     return p.groupBy("product").agg(F.count("*").alias("n")).join(r, "product").groupBy("maker").agg(F.sum("n").cast("bigint").alias("n"))
 
@@ -321,9 +321,9 @@ def market_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.share(load(spark, sf_dir, "price_stage"), "facility_id", "makers")
 
 
-@query("""SELECT value, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(list_filter(list_transform(string_split(makers, '|'), lambda x: trim(x)), lambda x: x <> '')) AS value FROM price_stage) GROUP BY value""")
+@query("""SELECT value, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(list_filter(list_transform(regexp_split_to_array(makers, '[|/]'), lambda x: trim(x)), lambda x: x <> '')) AS value FROM price_stage) GROUP BY value""")
 def multi_value_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = F.filter(F.transform(F.split("makers", r"\|"), lambda p: F.trim(p)), lambda p: p != "")
+    parts = F.filter(F.transform(F.split("makers", "[|/]"), lambda p: F.trim(p)), lambda p: p != "")
     return A.counter(load(spark, sf_dir, "price_stage").select(parts.alias("v")), "v")
 
 
@@ -522,10 +522,13 @@ def recent_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT plan_id, coalesce(array_to_string(list_slice(list_transform(list_sort(list_distinct(list(amount) FILTER (amount IS NOT NULL))), lambda x: CAST(x AS VARCHAR)), 1, 4), ', '), '') || CASE WHEN count(DISTINCT amount) > 4 THEN ' +' || CAST(count(DISTINCT amount) - 4 AS VARCHAR) ELSE '' END AS shown FROM price_stage GROUP BY plan_id""")
 def first_amounts_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four least amounts of each plan and how many more there are."""
-    g = load(spark, sf_dir, "price_stage").groupBy("plan_id").agg(F.array_sort(F.collect_set("amount")).alias("a"))
-    more = F.when(F.size("a") > 4, F.concat(F.lit(" +"), (F.size("a") - 4).cast("string"))).otherwise("")
-    return g.select("plan_id", F.concat(F.array_join(F.slice("a", 1, 4).cast("array<string>"), ", "), more).alias("shown"))
+    """The four least amounts of each plan and how many more there are; no more than four are held for a plan."""
+    p = load(spark, sf_dir, "price_stage").select("plan_id", "amount").distinct()
+    n = p.groupBy("plan_id").agg(F.count("amount").alias("n"))
+    few = O.top_per_group(p.where("amount is not null"), ["plan_id"], [F.col("amount")], 4).groupBy("plan_id").agg(F.array_sort(F.collect_list("amount")).alias("a"))
+    more = F.when(F.col("n") > 4, F.concat(F.lit(" +"), (F.col("n") - 4).cast("string"))).otherwise("")
+    shown = F.coalesce(F.array_join(F.col("a").cast("array<string>"), ", "), F.lit(""))
+    return n.join(few, "plan_id", "left").select("plan_id", F.concat(shown, more).alias("shown"))
 
 
 # ---------------------------------------------------------------- names and tokens inside documents
@@ -552,15 +555,15 @@ def first_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.join(F.broadcast(f.select("facility_id")), "facility_id").select("facility_id", "row_id")
 
 
-@query("""SELECT row_id, array_to_string(list_distinct(list_transform(v, lambda x: coalesce(m[x], x))), '|') AS canon FROM (SELECT row_id, list_transform(string_split(products, '|'), lambda x: trim(x)) AS v FROM price_stage WHERE products IS NOT NULL),
+@query("""SELECT row_id, array_to_string(list_distinct(list_transform(v, lambda x: coalesce(m[x], x))), '|') AS canon FROM (SELECT row_id, list_transform(regexp_split_to_array(products, '[|/]'), lambda x: trim(x)) AS v FROM price_stage WHERE products IS NOT NULL),
 (SELECT map(list(product), list(canonical_product)) AS m FROM product_registry)""".replace("list_distinct(", "list_sort(list_distinct(").replace("x))), '|')", "x)))), '|')"))
 def canonical_unique_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical names of |-separated products by exact lookup, each once."""
+    """Canonical names of products between bars or slashes by exact lookup, each once."""
     registry = load(spark, sf_dir, "product_registry").select("product", "canonical_product").limit(MAX_NAMES + 1).collect()
     if len(registry) > MAX_NAMES:
         raise ValueError(f"the list has more than {MAX_NAMES} entries; use a join")
     m = F.map_from_arrays(F.array(*[F.lit(r[0]) for r in registry]), F.array(*[F.lit(r[1]) for r in registry]))
-    v = F.transform(F.split("products", r"\|"), lambda x: F.trim(x))
+    v = F.transform(F.split("products", "[|/]"), lambda x: F.trim(x))
     p = load(spark, sf_dir, "price_stage").where("products is not null")
     return p.select("row_id", F.array_join(F.array_sort(T.canonical_unique(v, m)), "|").alias("canon"))
 
