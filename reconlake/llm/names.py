@@ -34,6 +34,7 @@ from reconlake.session import cut, ship_package
 Q, Q_FAR = 3, 4  # gram lengths within a municipality and where one side names none
 NEAR = 0.3  # share of the larger set of grams that two names of one municipality have in common
 CONTRAST = 3  # pairs of each form drawn for contrast
+SALTS = 8  # keys over which the forms of one gram are spread where they meet those without a municipality
 BRAND_CITIES = 3  # a foreign word that stands in names of so many municipalities is a brand
 STANDS_OUT, EXACT, CLOSER = 0.08, 0.985, 0.015  # lead over the next group that decides; less is enough for a name as good as equal
 #: least name score by how far the addresses agree: full number, shared beginning, a slip in the house number, municipality only
@@ -224,7 +225,12 @@ def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool =
         return p.withColumn("relation", relation("a", "b")).where(F.col("relation").isin(*kinds)).select("a", "b", "relation")
 
     def met_far(x: DataFrame, y: DataFrame) -> DataFrame:
-        """Forms alike enough for open addresses; the key sees to the prefecture."""
+        """Forms alike enough for open addresses; the key sees to the prefecture.
+
+        A gram that a third of all names hold is spread: the many rows of y over SALTS keys, the few of x repeated for each.
+        """
+        x = x.withColumn("k", F.explode(F.array(*[F.xxhash64("k", F.lit(i)) for i in range(SALTS)])))
+        y = y.withColumn("k", F.xxhash64("k", F.pmod(F.xxhash64("form"), F.lit(SALTS)).cast("int")))
         p = side(x, "a").join(side(y, "b"), "k").where("a != b")
         la, lb = F.length("a_snd"), F.length("b_snd")
         p = p.where((F.abs(la - lb) <= 2) & F.levenshtein("a_snd", "b_snd", 4).between(0, edits(F.least(la, lb))))
