@@ -45,6 +45,7 @@ VERSIONS = (
     ("plus", "プラス", "+"), ("max", "マックス"), ("neo", "ネオ"), ("lite", "ライト"), ("x",),
 )
 _VERSION = {form: group[0] for group in VERSIONS for form in group}
+LONGEST_VERSION = max(map(len, _VERSION))
 # katakana syllables and their rough Latin sound, consonants only (vowels are dropped before comparing)
 _ROW = {"カ": "k", "ガ": "g", "サ": "s", "ザ": "s", "タ": "t", "ダ": "d", "ナ": "n", "ハ": "h", "バ": "b", "パ": "p", "マ": "m", "ヤ": "", "ラ": "r", "ワ": ""}
 _SYLLABLES = {
@@ -206,6 +207,7 @@ class Matcher:
 
     def __init__(self, pairs: list[tuple[str, str]], context: Iterable[str] = ()) -> None:
         self.context = frozenset(context) | frozenset(PACKAGES)
+        self.longest_context = max(map(len, self.context))
         forms: dict[str, str] = {}
         names: set[tuple[str, str, str]] = set()  # stem, version, canonical
         words: dict[tuple[tuple[str, ...], str], str] = {}  # stem tokens, version
@@ -273,21 +275,22 @@ class Matcher:
 
     @staticmethod
     def _longest(found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-        out: list[tuple[int, int, str]] = []
+        out: list[tuple[int, int, str]] = []  # in order of place, without overlaps
         for m in sorted(found, key=lambda m: (m[0] - m[1], m[0])):
-            if all(m[1] <= o[0] or m[0] >= o[1] for o in out):
-                out.append(m)
-        return sorted(out)
+            i = bisect.bisect_left(out, m)
+            if (not i or out[i - 1][1] <= m[0]) and (i == len(out) or out[i][0] >= m[1]):
+                out.insert(i, m)
+        return out
 
     def _borders(self, tokens: list[Token]) -> tuple[set[int], set[int]]:
         """Where a mention may begin and end: at tokens, and inside one before or after a context word."""
         begin, end = {t.start for t in tokens}, {t.end for t in tokens}
         for t in tokens:
-            for i in range(1, len(t.text)):
+            for i in range(1, min(len(t.text), self.longest_context + 1)):
                 if t.text[:i] in self.context:
                     begin.add(t.start + i)
-                if t.text[i:] in self.context:
-                    end.add(t.start + i)
+                if t.text[-i:] in self.context:
+                    end.add(t.end - i)
         return begin, end
 
     def embedded(self, tokens: list[Token]) -> list[tuple[int, int, str]]:
@@ -318,33 +321,35 @@ class Matcher:
             hits = self._beginning(tokens[0].text)
             return hits.pop() if len(hits) == 1 else self._similar([tokens[0].text])
         found = self.embedded(tokens)
+        whole = "".join(t.text for t in tokens)
+        starts, ends = [t.start for t in tokens], [t.end for t in tokens]
         for a, b, canon in sorted(found, key=lambda m: (m[0] - m[1], m[0])):
-            left = [i for i, t in enumerate(tokens) if t.end <= a][-1:]
-            right = [i for i, t in enumerate(tokens) if t.start >= b][:1]
-            kinds = {t.script for t in tokens if t.start < b and t.end > a} | {"0"}
+            before, after = bisect.bisect_right(ends, a), bisect.bisect_left(starts, b)  # tokens wholly on either side
+            left, right = ([before - 1] if before else []), ([after] if after < len(tokens) else [])
+            kinds = {t.script for t in tokens[before:after]} | {"0"}
             beside = [i for i in left + right if self.is_part(tokens, i) and (tokens[i].script in kinds or tokens[i].text in _VERSION)]
             if not beside:
                 return canon
             if len(beside) == 1 and (v := _VERSION.get(tokens[beside[0]].text)):
-                stem = "".join(t.text for t in tokens)[a:b]
-                return self.of.get((stem, v), UNMATCHED)  # a version of its own, wherever it stands
-        if found and not self._maybe_typed_apart(tokens, found):
+                return self.of.get((whole[a:b], v), UNMATCHED)  # a version of its own, wherever it stands
+        if found and not self._maybe_typed_apart(whole, found):
             return UNMATCHED  # a name part of its own
         given = [t.text for i, t in enumerate(tokens) if self.is_part(tokens, i)]
         out = self._similar(given) if given else UNMATCHED
         bare = [self._bare(t) for t in given]
         return self._similar(bare) if out == UNMATCHED and bare != given else out
 
-    def _maybe_typed_apart(self, tokens: list[Token], found: list[tuple[int, int, str]]) -> bool:
+    def _maybe_typed_apart(self, whole: str, found: list[tuple[int, int, str]]) -> bool:
         """Whether the mentions could be pieces of a longer name that the list holds in several tokens."""
-        return any(len(k[0]) > 1 for a, b, _ in found for k in self.with_part.get("".join(t.text for t in tokens)[a:b], ()))
+        return any(len(k[0]) > 1 for a, b, _ in found for k in self.with_part.get(whole[a:b], ()))
 
     def _bare(self, token: str) -> str:
         """A token without a context word written together with it."""
-        for i in range(3, len(token)):
-            if token[i:] in self.context:
-                return token[:i]
-        for i in range(1, len(token) - 2):
+        most = min(len(token) - 3, self.longest_context)
+        for i in range(most, 0, -1):
+            if token[-i:] in self.context:
+                return token[:-i]
+        for i in range(1, most + 1):
             if token[:i] in self.context:
                 return token[i:]
         return token
@@ -363,7 +368,10 @@ class Matcher:
             tokens = [t for t in tokens if t not in _VERSION] + [t for t in tokens if t in _VERSION]
         best: tuple[float, int, str] | None = None
         for k in range(len(tokens), 0, -1):
-            stem, rest = "".join(tokens[:k]), "".join(tokens[k:])
+            rest = "".join(tokens[k:])
+            if len(rest) > LONGEST_VERSION:
+                break
+            stem = "".join(tokens[:k])
             if rest and rest not in _VERSION or not rest and len(tokens) > 1 and tokens[-1] in _VERSION:
                 continue
             options = [(stem, _VERSION.get(rest, ""))]

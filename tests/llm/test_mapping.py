@@ -44,6 +44,17 @@ def test_mentions_are_embedded(typed, want):
     assert mapping.Matcher([*PAIRS, ("サンギーボ", "Sanguivo")]).match(typed) == want
 
 
+def test_very_long_values_take_linear_time():
+    import time
+
+    m = mapping.Matcher([*PAIRS, ("サンギーボ", "Sanguivo")])
+    t = time.perf_counter()
+    assert m.match("ア" * 200_000) == "UNMATCHED" and m.match("x y " * 5_000) == "UNMATCHED"
+    assert m.match("漢" * 200_000 + " Velmatrix " + "漢字" * 50_000) == "Velmatrix"
+    assert m.match("Velmatrix、" * 20_000) == "UNMATCHED"  # a name beside a name is a name part
+    assert time.perf_counter() - t < 20
+
+
 def test_context_words_come_from_the_values(spark):
     names = ["Velmatrix", "Orthavia", "Corvanex", "Kinedra", "Sanguivo"]
     typed = [f"{n} ampoule" for n in names] + [f"Set {n}" for n in names] + ["Velmatrix Zed", "Velmatrix II", "Hemacreste II", "Orthavia Zed"]
