@@ -25,11 +25,11 @@ def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, stri
         ]
         return df.select(F.col(i), F.explode(F.array_compact(F.array(*row))).alias("_c")).select(i, "_c.*")
 
-    r = keyed(right, right_id)
+    r = cut(keyed(right, right_id))  # read for the places and for the unique keys
     alone = r.where("level >= 3").groupBy("level", "k", "p").agg(F.min(right_id).alias(right_id), F.count("*").alias("_n")).where("_n = 1").select(right_id, "level", "k", "p")
     hits = keyed(left, left_id).join(r.where("level < 3").unionByName(alone), ["level", "k", "p"]).select(left_id, right_id, "level")
-    first = hits.groupBy(left_id).agg(F.min("level").alias("level"))
-    return hits.join(first, [left_id, "level"]).select(left_id, right_id, "level").distinct()
+    first = F.min("level").over(Window.partitionBy(left_id))
+    return hits.withColumn("_f", first).where("level = _f").select(left_id, right_id, "level").distinct()
 
 
 def containment(left: DataFrame, right: DataFrame, left_id: str, right_id: str, key: str, block: str, least: int = 5) -> DataFrame:
