@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reconlake.functions.text import seq_ratio
+from reconlake.operators import nearest
 from reconlake.session import cut
 
 
@@ -167,19 +169,33 @@ def best_by_two_names(left: DataFrame, right: DataFrame, left_id: str, right_id:
     Both tables have kind, place, name and what (a treatment, say) as keys in normal form; kinds are equal, an unknown
     place meets all. The score is 0.44 of the similarity of names and 0.56 of that of the other text, plus 0.12 for equal
     names or 0.05 for one inside the other, and 0.10 for equal other texts, at most 1. Names that are less alike than
-    least_name match nothing. Ties go to the lower right_id.
+    least_name match nothing. Ties go to the lower right_id. Equal rows of a side are searched once (nearest.search); no
+    pairs are written but the best of each.
     """
-    keyed = lambda df, k: df.select(F.col("name").alias(k), F.when(F.col("place").isNotNull(), F.concat_ws("\u001f", "kind", "place")).alias("place"))
-    names = cut(pairs_in_place(keyed(left, "lk"), keyed(right, "rk"), least_name).withColumnRenamed("score", "name_score"))
-    l = left.select(left_id, F.col("kind").alias("kind"), F.col("place").alias("lp"), F.col("name").alias("lk"), F.col("what").alias("lw"))
-    r = right.select(right_id, F.col("kind").alias("kind"), F.col("place").alias("rp"), F.col("name").alias("rk"), F.col("what").alias("rw"))
-    p = l.join(names, "lk").join(r, ["rk", "kind"]).where(F.col("lp").isNull() | F.col("rp").isNull() | (F.col("lp") == F.col("rp")))
-    whats = cut(p.select("lw", "rw").distinct().withColumn("what_score", ratio_score("lw", "rw")))
-    p = p.join(whats, ["lw", "rw"])
-    bonus = F.when(F.col("lk") == F.col("rk"), 0.12).when(F.contains("lk", "rk") | F.contains("rk", "lk"), 0.05).otherwise(0.0) + F.when(F.col("lw") == F.col("rw"), 0.10).otherwise(0.0)
-    p = p.withColumn("score", F.round(F.least(F.lit(1.0), 0.44 * F.col("name_score") + 0.56 * F.col("what_score") + bonus), 6)).where(F.col("score") >= least)
-    first = F.row_number().over(Window.partitionBy(left_id).orderBy(F.desc("score"), right_id))
-    return p.withColumn("_r", first).where("_r = 1").select(left_id, right_id, "score", "name_score", "what_score")
+    key = ["kind", "place", "name", "what"]
+    usable = lambda df: df.where("kind is not null and name <> '' and what is not null")
+    slot = lambda of: F.concat(F.col("kind").cast("string"), F.lit("\u001f"), of)
+    placed = F.concat(F.lit("="), F.col("place").cast("string"))
+    ls = usable(left).select(*key).distinct()
+    ls = ls.withColumn("slot", F.explode(F.when(F.col("place").isNull(), F.array(slot(F.lit("*")))).otherwise(F.array(slot(placed), slot(F.lit("?"))))))
+    rs = usable(right).select(*key, right_id).withColumn("slot", F.explode(F.array(slot(F.coalesce(placed, F.lit("?"))), slot(F.lit("*")))))
+    rs = rs.groupBy("slot", F.col("name").alias("rk"), F.col("what").alias("rw")).agg(F.min(right_id).alias(right_id))
+    names = [*key, right_id, "score", "name_score", "what_score"]
+
+    def each(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if l.empty or r.empty:
+            return pd.DataFrame({c: [] for c in names})
+        r = r.sort_values(right_id)
+        score, at, by_name, by_what = nearest.best_by_two(l["name"].tolist(), l["what"].tolist(), r["rk"].tolist(), r["rw"].tolist(), least, least_name)
+        ok = at < len(r)
+        return pd.DataFrame({**{c: l[c][ok] for c in key}, right_id: r[right_id].to_numpy()[at[ok]], "score": score[ok], "name_score": by_name, "what_score": by_what})[names]
+
+    types = dict(left.dtypes) | {right_id: dict(right.dtypes)[right_id]}
+    found = nearest.in_cells(ls, rs, "slot", each, ", ".join(f"{c} {types.get(c, 'double') if c in (*key, right_id) else 'double'}" for c in names))
+    first = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("score"), right_id))
+    found = found.withColumn("_r", first).where("_r = 1").drop("_r").withColumnsRenamed({c: f"_{c}" for c in key})
+    same = (F.col("kind") == F.col("_kind")) & F.col("place").eqNullSafe(F.col("_place")) & (F.col("name") == F.col("_name")) & (F.col("what") == F.col("_what"))
+    return left.select(left_id, *key).join(found, same).select(left_id, right_id, "score", "name_score", "what_score")
 
 
 def matches_by_name_or_address(left: DataFrame, right: DataFrame, left_id: str, right_id: str, name: str, address: str, place: str, least_name: int = 5, least_address: int = 8) -> DataFrame:
