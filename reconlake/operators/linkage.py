@@ -60,13 +60,9 @@ def best_in_block(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     return p.withColumn("_r", first).where("_r = 1").select(left_id, right_id, "score")
 
 
-def _grams(key: str, kind: str) -> Column:
-    """Hashes of the characters, or of the padded bigrams, of a key; repeats are numbered, so that none is equal to another."""
-    if kind == "ratio":
-        g = F.transform(F.sequence(F.lit(1), F.length(key)), lambda p: F.substring(key, p, F.lit(1)))
-    else:
-        padded = F.concat(F.lit("\u0002"), key, F.lit("\u0003"))
-        g = F.transform(F.sequence(F.lit(1), F.length(key) + 1), lambda p: F.substring(padded, p, F.lit(2)))
+def _grams(key: str) -> Column:
+    """Hashes of the characters of a key; repeats are numbered, so that none is equal to another."""
+    g = F.transform(F.sequence(F.lit(1), F.length(key)), lambda p: F.substring(key, p, F.lit(1)))
     # the grams are an argument of the outer function, so that they are computed once
     once = F.transform(F.array(g), lambda a: F.transform(a, lambda x, i: F.xxhash64(x, F.size(F.filter(F.slice(a, F.lit(1), i + 1), lambda y: y == x)))))
     return once[0]
@@ -76,63 +72,36 @@ def best_in_place(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     """(left_id, right_id, score): each left row's best right row of its place by edit distance ("edit") or Ratcliff-Obershelp ("ratio").
 
     left has lk and place, right rk and place; an unknown place meets all. `least` is over 0.5. Ties go to the lower right_id; null
-    keys match nothing. Equal keys are joined first. The others meet through the rarest of their grams: a score of s
-    needs 1 + n - 2 (1 - s) n common padded bigrams (n: length of the longer key), or s / 2 of both lengths in common
-    characters, so of each key as many grams, the commonest, can be left out of the join and no pair is lost. A first
-    pass over the three rarest grams gives each left key a score to beat.
+    keys match nothing. Equal keys are joined first. The others are searched within their place, and then among the rights of
+    unknown place with what they found as a score to reach (nearest.search); each distinct key is searched once.
     """
-    score = F.round(1 - F.levenshtein("lk", "rk") / F.greatest(F.length("lk"), F.length("rk")), 4) if kind == "edit" else ratio_score("lk", "rk")
-    any_place, no_place = F.lit("*"), F.lit("?")  # slots: all rights, rights of unknown place
-    lefts = left.where("lk is not null").select("lk", "place").distinct()
-    rights = right.where("rk is not null").groupBy("rk", "place").agg(F.min(right_id).alias(right_id))
-    l_slots = F.when(F.col("place").isNull(), F.array(any_place)).otherwise(F.array(F.col("place"), no_place))
-    r_slots = F.array(F.coalesce("place", no_place), any_place)
-    ls = lefts.select("lk", "place", F.explode(l_slots).alias("slot"))
-    rs = rights.select("rk", right_id, F.explode(r_slots).alias("slot"))
-
-    def best(pairs: DataFrame) -> DataFrame:
-        top = F.max_by(F.struct("rk", right_id, "score"), F.struct("score", -F.col(right_id))).alias("b")
-        return pairs.groupBy("lk", "place").agg(top).select("lk", "place", "b.*")
-
-    equal = cut(best(ls.join(rs, (F.col("lk") == F.col("rk")) & (ls.slot == rs.slot)).drop(rs.slot).withColumn("score", score).where(F.col("score") >= least)))
-    rest = lefts.join(equal.select("lk", "place"), lefts.lk.eqNullSafe(equal.lk) & lefts.place.eqNullSafe(equal.place), "left_anti").where("lk <> ''")
-
-    keys = rest.select(F.col("lk").alias("k")).union(rights.select("rk")).where("k <> ''").distinct()
-    tokens = keys.select("k", F.explode(_grams("k", kind)).alias("g"))
-    df = tokens.groupBy("g").agg(F.count("*").alias("df"))
-    ordered = cut(tokens.join(df, "g").groupBy("k").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "g"))), lambda x: x.g).alias("gs")))
+    lefts = left.where("lk <> ''").select("lk", "place").distinct()
+    rights = right.where("rk <> ''").groupBy("rk", "place").agg(F.min(right_id).alias(right_id))
+    placed = F.concat(F.lit("="), "place")
+    rs = rights.select("rk", right_id, F.explode(F.array(F.coalesce(placed, F.lit("?")), F.lit("*"))).alias("slot"))
+    rs = cut(rs.groupBy("slot", "rk").agg(F.min(right_id).alias(right_id)))  # "?": of unknown place, "*": all
+    l_slots = F.when(F.col("place").isNull(), F.array(F.lit("*"))).otherwise(F.array(placed, F.lit("?")))
+    first = Window.partitionBy("lk", "place").orderBy(F.desc("score"), right_id)
+    best = lambda pairs: pairs.withColumn("_r", F.row_number().over(first)).where("_r = 1").select("lk", "place", right_id, "score")
+    same = lefts.withColumn("slot", F.explode(l_slots)).join(rs.withColumnRenamed("rk", "lk"), ["slot", "lk"])
+    equal = cut(best(same.select("lk", "place", right_id, F.lit(1.0).alias("score"))))
+    rest = cut(lefts.join(equal.select(F.col("lk").alias("_k"), F.col("place").alias("_p")), (F.col("lk") == F.col("_k")) & F.col("place").eqNullSafe(F.col("_p")), "left_anti"))
 
-    def need(s: Column, a: Column, b: Column) -> Column:
-        n = F.greatest(a, b)
-        return F.ceil((1 + n - 2 * F.floor((1 - s) * n + 1e-9)) if kind == "edit" else s * (a + b) / 2 - 1e-9)
-
-    def prefix(s: Column, n: Column) -> Column:
-        """Number of grams that one of any pair's common grams must be among."""
-        least_need = F.ceil(1 + n * (2 * s - 1) - 1e-9) if kind == "edit" else F.ceil(n * s / (2 - s) - 1e-9)
-        return F.size("gs") - F.greatest(least_need, F.lit(1)) + 1
-
-    low = least - 1e-4  # scores are rounded
-    lg = rest.join(ordered, F.col("lk") == F.col("k")).drop("k")
-    rg = rs.join(ordered, F.col("rk") == F.col("k")).drop("k").withColumn("rl", F.length("rk")).withColumn("rgs", F.col("gs"))
-    rg = rg.select("rk", "rl", right_id, "slot", "rgs", F.posexplode(F.slice("gs", F.lit(1), prefix(F.lit(low), F.col("rl")).cast("int"))).alias("j", "g"))
-
-    def candidates(l: DataFrame, most: Column) -> DataFrame:
-        """Pairs that share one of the first grams and can have as many in common as the score `s` needs."""
-        l = l.withColumn("ll", F.length("lk")).withColumn("lgs", F.col("gs"))
-        l = l.select("lk", "ll", "place", "s", "lgs", F.explode(l_slots).alias("slot"), F.slice("gs", F.lit(1), F.least(most, prefix(F.col("s"), F.col("ll"))).cast("int")).alias("gs"))
-        l = l.select("lk", "ll", "place", "s", "lgs", "slot", F.posexplode("gs").alias("i", "g"))
-        common = F.least(F.size("lgs") - F.col("i"), F.size("rgs") - F.col("j"))
-        return l.join(rg, ["slot", "g"]).where(common >= need(F.col("s"), F.col("ll"), F.col("rl"))).where(F.size(F.array_intersect("lgs", "rgs")) >= need(F.col("s"), F.col("ll"), F.col("rl")))
-
-    first = candidates(lg.withColumn("s", F.lit(low)), F.lit(3)).withColumn("score", 1 - F.levenshtein("lk", "rk") / F.greatest("ll", "rl"))
-    first = cut(best(first).withColumn("score", score).select(F.col("lk").alias("_k"), F.col("place").alias("_p"), F.col("score").alias("_s")))
-    beat = lg.join(first, (F.col("lk") == F.col("_k")) & F.col("place").eqNullSafe(F.col("_p")), "left")
-    beat = cut(beat.select("lk", "place", "gs", F.greatest(F.col("_s") - 1e-4, F.lit(low)).alias("s")))
-    pairs = candidates(beat, F.lit(1 << 20)).select("lk", "place", "rk", right_id, "s")
-    if kind == "ratio":
-        pairs = pairs.distinct()  # scored in Python
-    near = best(pairs.withColumn("score", score).where((F.col("score") >= least) & (F.col("score") >= F.col("s"))))
-    found = equal.unionByName(near).select(F.col("lk").alias("_k"), F.col("place").alias("_p"), right_id, "score")
+    def each(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if l.empty or r.empty:
+            return pd.DataFrame({"lk": [], "place": [], right_id: [], "score": []})
+        r = r.sort_values(right_id)
+        score, at = nearest.best_texts(l["lk"].tolist(), r["rk"].tolist(), l["s"].to_numpy(float), kind)
+        ok = at < len(r)
+        return pd.DataFrame({"lk": l["lk"][ok], "place": l["place"][ok], right_id: r[right_id].to_numpy()[at[ok]], "score": score[ok]})
+
+    schema = f"lk string, place string, {right_id} {dict(right.dtypes)[right_id]}, score double"
+    searched = lambda l: nearest.in_cells(l, rs, "slot", each, schema)
+    near = cut(searched(rest.where("place is not null").select("lk", "place", F.lit(least).alias("s"), placed.alias("slot"))))
+    known = near.select(F.col("lk").alias("_k"), F.col("place").alias("_p"), F.col("score").alias("_s"))
+    beat = rest.join(known, (F.col("lk") == F.col("_k")) & F.col("place").eqNullSafe(F.col("_p")), "left")
+    far = searched(beat.select("lk", "place", F.coalesce("_s", F.lit(least)).alias("s"), F.when(F.col("place").isNull(), "*").otherwise("?").alias("slot")))
+    found = equal.unionByName(best(near.unionByName(far))).select(F.col("lk").alias("_k"), F.col("place").alias("_p"), right_id, "score")
     out = left.join(found, (F.col("lk") == F.col("_k")) & F.col("place").eqNullSafe(F.col("_p")))
     return out.select(left_id, right_id, "score")
 
@@ -146,7 +115,7 @@ def pairs_in_place(left: DataFrame, right: DataFrame, least: float) -> DataFrame
     low = least - 1e-4
     ls, rs = ((df.where(f"{k} <> ''").select(F.col(k), "place").distinct()) for df, k in ((left, "lk"), (right, "rk")))
     keys = ls.select(F.col("lk").alias("k")).union(rs.select("rk")).distinct()
-    tokens = keys.select("k", F.explode(_grams("k", "ratio")).alias("g"))
+    tokens = keys.select("k", F.explode(_grams("k")).alias("g"))
     df = tokens.groupBy("g").agg(F.count("*").alias("df"))
     ordered = cut(tokens.join(df, "g").groupBy("k").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "g"))), lambda x: x.g).alias("gs")))
     prefix = (F.size("gs") - F.greatest(F.ceil(F.size("gs") * low / (2 - low) - 1e-9), F.lit(1)) + 1).cast("int")

@@ -26,7 +26,7 @@ def ratio(a, b):
     return 1.0 if a == b else difflib.SequenceMatcher(None, a, b).ratio()
 
 
-@pytest.mark.parametrize("kind", ["ratio"])
+@pytest.mark.parametrize("kind", ["edit", "ratio"])
 def test_best_texts_against_all_pairs(kind, monkeypatch):
     monkeypatch.setattr(N, "PAIRS_AT_ONCE", 700)
     rng = random.Random(3)
@@ -55,7 +55,7 @@ def test_best_by_two_against_all_pairs(few, monkeypatch):
     assert {int(k): (round(float(score[k]), 6), int(at[k]), x, y) for k, x, y in zip(found, by_name, by_what, strict=True)} == want and len(want) > 60
 
 
-@pytest.mark.parametrize("kind", ["ratio"])
+@pytest.mark.parametrize("kind", ["edit", "ratio"])
 def test_few_pairs_of_a_block_are_compared(kind, monkeypatch):
     seen = []
     aligned = N.aligned
