@@ -67,6 +67,16 @@ def test_few_pairs_of_a_block_are_compared(kind, monkeypatch):
     assert sum(seen) < 0.05 * 800 * 1200
 
 
+def test_few_pairs_are_matched_by_difflib(monkeypatch):
+    seen = []
+    of = N.Ratio.of
+    monkeypatch.setattr(N.Ratio, "of", lambda self, i, j: seen.append(len(i)) or of(self, i, j))
+    rng = random.Random(9)
+    left, right = ([*("".join(rng.choice("青山緑川東西本町桜鈴池石光杏島岬") for _ in range(6)) + "整形外科クリニック" for _ in range(500))] for _ in range(2))
+    score, _ = N.best_texts(left, right, np.full(500, 0.62), "ratio")
+    assert sum(seen) < 0.03 * 500 * 500 and [round(max(ratio(a, b) for b in right), 6) for a in left[:40]] == [round(x, 6) for x in score[:40]]
+
+
 def test_halves_round_as_in_spark():
     x = np.array([1 - 1 / 32, 1 - 1 / 160, 0.12345, 2 / 3])
     assert N.rounded(x, 4).tolist() == [0.9688, 0.9938, 0.1235, 0.6667]
