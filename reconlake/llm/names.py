@@ -29,7 +29,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, St
 from reconlake.llm import readings
 from reconlake.llm.mapping import osa
 from reconlake.llm.namekeys import address_parts, foreign_words, kanji_of, sound, split_name
-from reconlake.session import cut, ship_package
+from reconlake.session import cut, joined, ship_package
 
 Q, Q_FAR = 3, 4  # gram lengths within a municipality and where one side names none
 NEAR = 0.3  # share of the larger set of grams that two names of one municipality have in common
@@ -109,18 +109,17 @@ def forms_of(recs: DataFrame) -> DataFrame:
     token = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in ("corp", "brand", "snd", "area", "types")]))
     counts = forms.select(token.alias("t")).groupBy("t.k", "t.v").count()
     weights = (
-        forms.select("form", token.alias("t")).select("form", "t.k", "t.v").where("v != ''")
-        .join(counts, ["k", "v"]).groupBy("form")
+        joined(forms.select("form", token.alias("t")).select("form", "t.k", "t.v").where("v != ''"), counts, ["k", "v"]).groupBy("form")
         .agg(F.map_from_entries(F.collect_list(F.struct("k", F.log((F.lit(total) + 1.0) / F.col("count")) + 0.5))).alias("w"))
     )
-    return forms.join(weights, "form")
+    return joined(forms, weights, "form")
 
 
 def ordered_grams(forms: DataFrame, q: int, name: str) -> DataFrame:
     """(form, name): the grams of each form, rarest first."""
     g = forms.select("form", F.explode(grams(F.col("snd"), q)).alias("gram"))
     df = g.groupBy("gram").agg(F.count("*").alias("df"))
-    return g.join(df, "gram").groupBy("form").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "gram"))), lambda x: x["gram"]).alias(name))
+    return joined(g, df, "gram").groupBy("form").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "gram"))), lambda x: x["gram"]).alias(name))
 
 
 def relation(a: str, b: str) -> Column:
@@ -190,8 +189,8 @@ def scored(pairs: DataFrame, forms: DataFrame) -> DataFrame:
             out.append(name_score(x, y))
         return pd.Series(out, dtype="float64")
 
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.select("a", "b", score("_a", "_b").alias("score"), "relation")
+    both = joined(joined(pairs, side("a"), "a"), side("b"), "b")
+    return both.select("a", "b", score("_a", "_b").alias("score"), "relation")
 
 
 def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool = False) -> DataFrame:
@@ -203,7 +202,7 @@ def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool =
     place = PLACES
     cols = ["form", "snd", *place]
     both = left.select(*cols) if right is None else left.select(*cols).unionByName(right.select(*cols)).distinct()
-    base = cut(both.join(ordered_grams(both, Q, "gs"), "form").join(ordered_grams(both, Q_FAR, "far"), "form"))
+    base = cut(joined(joined(both, ordered_grams(both, Q, "gs"), "form"), ordered_grams(both, Q_FAR, "far"), "form"))
     n = F.size("gs")
     near = F.slice("gs", F.lit(1), (n - F.ceil(n * NEAR) + 1).cast("int"))
     # an edit spoils at most Q_FAR grams
@@ -221,7 +220,7 @@ def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool =
         return rows.select("k", F.col("form").alias(s), *[(F.col(c) if c in rows.columns else F.lit("=")).alias(f"{s}_{c}") for c in ("snd", *place)])
 
     def met(x: DataFrame, y: DataFrame, kinds: tuple[str, ...], ordered: bool) -> DataFrame:
-        p = side(x, "a").join(side(y, "b"), "k").where(F.col("a") < F.col("b") if ordered else F.col("a") != F.col("b"))
+        p = joined(side(x, "a"), side(y, "b"), "k").where(F.col("a") < F.col("b") if ordered else F.col("a") != F.col("b"))
         return p.withColumn("relation", relation("a", "b")).where(F.col("relation").isin(*kinds)).select("a", "b", "relation")
 
     def met_far(x: DataFrame, y: DataFrame) -> DataFrame:
@@ -231,13 +230,13 @@ def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool =
         """
         x = x.withColumn("k", F.explode(F.array(*[F.xxhash64("k", F.lit(i)) for i in range(SALTS)])))
         y = y.withColumn("k", F.xxhash64("k", F.pmod(F.xxhash64("form"), F.lit(SALTS)).cast("int")))
-        p = side(x, "a").join(side(y, "b"), "k").where("a != b")
+        p = joined(side(x, "a"), side(y, "b"), "k").where("a != b")
         la, lb = F.length("a_snd"), F.length("b_snd")
         p = p.where((F.abs(la - lb) <= 2) & F.levenshtein("a_snd", "b_snd", 4).between(0, edits(F.least(la, lb))))
         return p.select("a", "b", F.lit("open").alias("relation"))
 
     def of(forms: DataFrame | None) -> DataFrame:
-        return base if forms is None else base.join(forms.select("form"), "form", "left_semi")
+        return base if forms is None else joined(base, forms.select("form"), "form", "left_semi")
 
     def numbered(rows: DataFrame) -> DataFrame:
         return tokens(rows.where("city != '' and nums != ''"), "number", F.col("city"), F.col("quarter"), first, grams_=F.concat(near, full), keep=("pref", "nums"))
@@ -277,10 +276,10 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     both = cut(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y"))))
     roots = nodes.select(F.col("node"), F.col("node").alias("root"))
     while True:
-        seen = both.join(roots.select(F.col("node").alias("y"), F.col("root").alias("r")), "y").groupBy("x").agg(F.min("r").alias("r"))
-        hooked = roots.join(seen, roots.node == seen.x, "left").select("node", F.col("root").alias("old"), F.least("root", F.coalesce("r", "root")).alias("root"))
+        seen = joined(both, roots.select(F.col("node").alias("y"), F.col("root").alias("r")), "y").groupBy("x").agg(F.min("r").alias("r"))
+        hooked = joined(roots, seen.withColumnRenamed("x", "node"), "node", "left").select("node", F.col("root").alias("old"), F.least("root", F.coalesce("r", "root")).alias("root"))
         jump = hooked.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        new = cut(hooked.join(jump, "root", "left").select("node", "old", F.coalesce("next", "root").alias("root")))
+        new = cut(joined(hooked, jump, "root", "left").select("node", "old", F.coalesce("next", "root").alias("root")))
         changed = new.where("root != old").limit(1).count()
         roots = new.select("node", "root")
         if not changed:
@@ -308,9 +307,9 @@ def groups(recs: DataFrame) -> DataFrame:
 def grouped(recs: DataFrame, forms: DataFrame | None = None) -> DataFrame:
     """groups() of keyed records; forms are those of at least these records, if they are known already."""
     own = recs.where("snd != ''").withColumn("form", F.xxhash64(*KEYS)).select("rec", "form")
-    forms = cut(forms_of(recs)) if forms is None else cut(forms.join(own.select("form").distinct(), "form", "left_semi"))
+    forms = cut(forms_of(recs)) if forms is None else cut(joined(forms, own.select("form").distinct(), "form", "left_semi"))
     links = cut(scored(candidates(forms), forms))
-    return own.join(rooted(forms, links), "form").select("rec", "root")
+    return joined(own, rooted(forms, links), "form").select("rec", "root")
 
 
 def rooted(forms: DataFrame, links: DataFrame) -> DataFrame:
@@ -323,11 +322,11 @@ def rooted(forms: DataFrame, links: DataFrame) -> DataFrame:
     )
     placed = forms.select(F.col("form").alias("f"), (F.col("nums") != "").alias("placed"))
     ends = open_.select(F.col("a").alias("f"), F.col("b").alias("g"), "score").unionByName(open_.select(F.col("b").alias("f"), F.col("a").alias("g"), "score"))
-    ends = ends.join(placed.where("not placed").select("f"), "f").join(placed.where("placed").select(F.col("f").alias("g")), "g")
+    ends = joined(joined(ends, placed.where("not placed").select("f"), "f"), placed.where("placed").select(F.col("f").alias("g")), "g")
     # a group's prefecture is known from any of its forms
-    homes = roots.join(forms.select(F.col("form").alias("node"), "pref"), "node").groupBy(F.col("root").alias("gr")).agg(F.max("pref").alias("home"))
-    ends = ends.join(roots.select(F.col("node").alias("g"), F.col("root").alias("gr")), "g").join(homes, "gr")
-    ends = ends.join(forms.select(F.col("form").alias("f"), "pref"), "f").where("pref = '' or home = '' or pref = home")
+    homes = joined(roots, forms.select(F.col("form").alias("node"), "pref"), "node").groupBy(F.col("root").alias("gr")).agg(F.max("pref").alias("home"))
+    ends = joined(joined(ends, roots.select(F.col("node").alias("g"), F.col("root").alias("gr")), "g"), homes, "gr")
+    ends = joined(ends, forms.select(F.col("form").alias("f"), "pref"), "f").where("pref = '' or home = '' or pref = home")
     ends = ends.groupBy("f", "gr").agg(F.max("score").alias("score"), F.min("g").alias("g"))
     rank = Window.partitionBy("f").orderBy(F.desc("score"), "gr")
     ends = ends.withColumn("n", F.row_number().over(rank)).withColumn("next", F.lead("score").over(rank))
@@ -335,26 +334,26 @@ def rooted(forms: DataFrame, links: DataFrame) -> DataFrame:
     # and to each other where neither has a number and the names are as good as equal, or alike in one municipality
     alike = ((F.col("relation") == "open") & (F.col("score") >= 0.97)) | ((F.col("relation") == "city") & (F.col("score") >= 0.85))
     bare = placed.where("not placed").select("f")
-    loose = open_.where(alike).join(bare.withColumnRenamed("f", "a"), "a").join(bare.withColumnRenamed("f", "b"), "b").select("a", "b")
+    loose = joined(joined(open_.where(alike), bare.withColumnRenamed("f", "a"), "a"), bare.withColumnRenamed("f", "b"), "b").select("a", "b")
     fitted = single.select(F.col("a").alias("f")).distinct()
-    loose = loose.join(fitted.withColumnRenamed("f", "a"), "a", "left_anti").join(fitted.withColumnRenamed("f", "b"), "b", "left_anti")
+    loose = joined(joined(loose, fitted.withColumnRenamed("f", "a"), "a", "left_anti"), fitted.withColumnRenamed("f", "b"), "b", "left_anti")
     # the second closure joins the groups of the first
     of = lambda s: roots.select(F.col("node").alias(s), F.col("root").alias(f"r{s}"))
-    more = single.unionByName(loose).join(of("a"), "a").join(of("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a != b").distinct()
+    more = joined(joined(single.unionByName(loose), of("a"), "a"), of("b"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a != b").distinct()
     more = cut(more)
     nodes = more.select(F.col("a").alias("node")).union(more.select("b")).distinct()
-    joined = components(nodes, more).select(F.col("node").alias("root"), F.col("root").alias("_top"))
-    return roots.join(joined, "root", "left").select(F.col("node").alias("form"), F.coalesce("_top", "root").alias("root"))
+    tops = components(nodes, more).select(F.col("node").alias("root"), F.col("root").alias("_top"))
+    return joined(roots, tops, "root", "left").select(F.col("node").alias("form"), F.coalesce("_top", "root").alias("root"))
 
 
 def linked(recs: DataFrame) -> DataFrame:
     """(rec, root, links): each record with a name, its group and the number of other records in it."""
     g = cut(groups(recs))
-    return g.join(g.groupBy("root").agg((F.count("*") - 1).alias("links")), "root").select("rec", "root", "links")
+    return joined(g, g.groupBy("root").agg((F.count("*") - 1).alias("links")), "root").select("rec", "root", "links")
 
 
 def same_facility(recs: DataFrame) -> DataFrame:
     """(rec_a, rec_b): all pairs of each group, rec_a < rec_b; linked() gives the groups without writing out their pairs."""
     g = cut(groups(recs))
     x, y = g.select(F.col("rec").alias("rec_a"), "root"), g.select(F.col("rec").alias("rec_b"), "root")
-    return x.join(y, "root").where("rec_a < rec_b").select("rec_a", "rec_b")
+    return joined(x, y, "root").where("rec_a < rec_b").select("rec_a", "rec_b")

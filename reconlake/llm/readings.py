@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reconlake.llm.namekeys import AREA_READINGS, VARIANTS, flat, rough, sound
-from reconlake.session import cut
+from reconlake.session import cut, joined
 
 ROUNDS = 5
 LONGEST = 4  # morae of one kanji
@@ -102,7 +102,7 @@ def pairs_at_one_address(forms: DataFrame) -> DataFrame:
     c = cut(full.select(*at, cores("stem", "area").alias("core")).where("core != ''").distinct())
     kanji = F.col("core").rlike("[一-鿿]")
     heard = c.where(~kanji & F.col("core").rlike("^[a-z]+$")).groupBy(*at).agg(F.min_by("core", F.xxhash64("core")).alias("heard"))
-    return c.where(kanji).join(heard, at).select(F.col("core").alias("written"), "heard").distinct()
+    return joined(c.where(kanji), heard, at).select(F.col("core").alias("written"), "heard").distinct()
 
 
 def learned(forms: DataFrame) -> dict[str, str]:
@@ -126,7 +126,7 @@ def learned(forms: DataFrame) -> dict[str, str]:
         counted = cut(counted)
         uses = counted.groupBy("kanji").agg(F.sum("n").alias("uses"))
         share, count = (SURE_SHARE, SURE_COUNT) if last == ROUNDS - 1 else (LEAST_SHARE, LEAST_COUNT)
-        kept = counted.join(uses, "kanji").where((F.col("n") >= share * F.col("uses")) & (F.col("n") >= count))
+        kept = joined(counted, uses, "kanji").where((F.col("n") >= share * F.col("uses")) & (F.col("n") >= count))
         rows = kept.select("kanji", "reading", (F.col("n") / F.col("uses")).alias("p")).collect()  # at most 1 / share a kanji
         known = {}
         for r in rows:
