@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reconlake.llm import names
-from reconlake.session import cut, ship_package
+from reconlake.session import cut, joined, ship_package
 
 MAX_PATTERNS = 100_000
 ROUNDS = 60
@@ -41,7 +41,7 @@ def votes_of(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     keys = ("corp", "brand", "snd", "area", "types", "pref", "city")
     x = left.select(F.col("form").alias("a"), *[F.col(k).alias(f"a_{k}") for k in keys])
     y = right.select(F.col("form").alias("b"), *[F.col(k).alias(f"b_{k}") for k in keys])
-    p = pairs.join(x, "a").join(y, "b")
+    p = joined(joined(pairs, x, "a"), y, "b")
 
     def same(k: str):
         l, r = F.col(f"a_{k}"), F.col(f"b_{k}")
@@ -166,19 +166,19 @@ def described(matches: DataFrame, facilities: DataFrame) -> DataFrame:
     both = cut(names.forms_of(recs))
     ids = lambda r: r.where("snd != ''").select("rec", F.xxhash64(*names.KEYS).alias("form"))
     left_ids, right_ids = cut(ids(left_recs)), cut(ids(right_recs))
-    left = cut(both.join(left_ids.select("form").distinct(), "form", "left_semi"))
-    right = cut(both.join(right_ids.select("form").distinct(), "form", "left_semi"))
+    left = cut(joined(both, left_ids.select("form").distinct(), "form", "left_semi"))
+    right = cut(joined(both, right_ids.select("form").distinct(), "form", "left_semi"))
     # a form that stands in both tables is a pair of its own
     own = both.select(*[F.col(k).alias(f"a_{k}") for k in names.PLACES], *[F.col(k).alias(f"b_{k}") for k in names.PLACES], F.col("form").alias("a"), F.col("form").alias("b"))
-    own = own.join(left.select(F.col("form").alias("a")), "a", "left_semi").join(right.select(F.col("form").alias("b")), "b", "left_semi").select("a", "b", names.relation("a", "b").alias("relation"))
+    own = joined(joined(own, left.select(F.col("form").alias("a")), "a", "left_semi"), right.select(F.col("form").alias("b")), "b", "left_semi").select("a", "b", names.relation("a", "b").alias("relation"))
     # pairs drawn by hash show the model what no match looks like
     pairs = names.candidates(left, right, contrast=True).unionByName(own.where("relation != 'apart'")).distinct()
     groups = cut(names.grouped(right_recs, both))  # (rec, root)
-    members = right_ids.join(groups, "rec").select(F.col("form").alias("b"), "root", F.col("rec").alias("facility_id"))
+    members = joined(right_ids, groups, "rec").select(F.col("form").alias("b"), "root", F.col("rec").alias("facility_id"))
     judged = confidences(cut(votes_of(names.scored(pairs, both), left, right)))
     # of the facilities that a row could mean at most one is meant: their odds share what there is
-    odds = judged.join(members.select("b", "root").distinct(), "b").groupBy("a", "root").agg(F.exp(F.max("logit")).alias("odds"))
+    odds = joined(judged, members.select("b", "root").distinct(), "b").groupBy("a", "root").agg(F.exp(F.max("logit")).alias("odds"))
     share = F.col("odds") / (1 + F.sum("odds").over(Window.partitionBy("a")))
     sure = odds.withColumn("confidence", share).where(F.col("confidence") >= CONFIDENT)
-    rows = sure.join(left_ids.withColumnsRenamed({"form": "a", "rec": "match_id"}), "a")
-    return rows.join(members.select("root", "facility_id").distinct(), "root").select(F.col("match_id").cast("bigint").alias("match_id"), "facility_id", "confidence")
+    rows = joined(sure, left_ids.withColumnsRenamed({"form": "a", "rec": "match_id"}), "a")
+    return joined(rows, members.select("root", "facility_id").distinct(), "root").select(F.col("match_id").cast("bigint").alias("match_id"), "facility_id", "confidence")

@@ -163,3 +163,10 @@ def test_no_side_of_a_pair_join_is_broadcast(spark, monkeypatch):
     """The planner would broadcast them here; at size the driver could not hold them."""
     plans = final_plans(monkeypatch, lambda: names.same_facility(rows(spark, DATA)))
     assert sum(p.count("SortMergeJoin") for p in plans) > 10 and not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_only_the_vote_patterns_are_broadcast(spark, data, monkeypatch):
+    from reconlake.session import load
+
+    plans = final_plans(monkeypatch, lambda: labelmodel.described(load(spark, data, "locator_match"), load(spark, data, "nonqueue_facility")))
+    assert [k for k, p in enumerate(plans) if "BroadcastHashJoin" in p] == [len(plans) - 1] and plans[-1].count("BroadcastHashJoin") == 1
