@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from reconlake.functions.text import seq_ratio
 from reconlake.operators import nearest
-from reconlake.session import cut
+from reconlake.session import cut, joined
 
 
 def cascade(left: DataFrame, right: DataFrame, left_id: str, right_id: str, strict: str, loose: str, place: str, least: int = 5) -> DataFrame:
@@ -83,9 +83,9 @@ def best_in_place(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     l_slots = F.when(F.col("place").isNull(), F.array(F.lit("*"))).otherwise(F.array(placed, F.lit("?")))
     first = Window.partitionBy("lk", "place").orderBy(F.desc("score"), right_id)
     best = lambda pairs: pairs.withColumn("_r", F.row_number().over(first)).where("_r = 1").select("lk", "place", right_id, "score")
-    same = lefts.withColumn("slot", F.explode(l_slots)).join(rs.withColumnRenamed("rk", "lk"), ["slot", "lk"])
+    same = joined(lefts.withColumn("slot", F.explode(l_slots)), rs.withColumnRenamed("rk", "lk"), ["slot", "lk"])
     equal = cut(best(same.select("lk", "place", right_id, F.lit(1.0).alias("score"))))
-    rest = cut(lefts.join(equal.select(F.col("lk").alias("_k"), F.col("place").alias("_p")), (F.col("lk") == F.col("_k")) & F.col("place").eqNullSafe(F.col("_p")), "left_anti"))
+    rest = cut(joined(lefts, equal.select(F.col("lk").alias("_k"), F.col("place").alias("_p")), (F.col("lk") == F.col("_k")) & F.col("place").eqNullSafe(F.col("_p")), "left_anti"))
 
     def each(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if l.empty or r.empty:
@@ -99,10 +99,10 @@ def best_in_place(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     searched = lambda l: nearest.in_cells(l, rs, "slot", each, schema)
     near = cut(searched(rest.where("place is not null").select("lk", "place", F.lit(least).alias("s"), placed.alias("slot"))))
     known = near.select(F.col("lk").alias("_k"), F.col("place").alias("_p"), F.col("score").alias("_s"))
-    beat = rest.join(known, (F.col("lk") == F.col("_k")) & F.col("place").eqNullSafe(F.col("_p")), "left")
+    beat = joined(rest, known, (F.col("lk") == F.col("_k")) & F.col("place").eqNullSafe(F.col("_p")), "left")
     far = searched(beat.select("lk", "place", F.coalesce("_s", F.lit(least)).alias("s"), F.when(F.col("place").isNull(), "*").otherwise("?").alias("slot")))
     found = equal.unionByName(best(near.unionByName(far))).select(F.col("lk").alias("_k"), F.col("place").alias("_p"), right_id, "score")
-    out = left.join(found, (F.col("lk") == F.col("_k")) & F.col("place").eqNullSafe(F.col("_p")))
+    out = joined(left, found, (F.col("lk") == F.col("_k")) & F.col("place").eqNullSafe(F.col("_p")))
     return out.select(left_id, right_id, "score")
 
 

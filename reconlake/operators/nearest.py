@@ -18,10 +18,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reconlake.session import joined
+
 CELL = 16_384  # rows of either side in a cell
 DIMS, SHARED = 256, 64  # columns of the counts; the rarer characters share the last ones, which can only raise a bound
 PAIRS_AT_ONCE = 6_000_000  # bounds held at a time
 PAIRS_A_TASK = 20_000_000
+SLOTS = 10_000  # blocks up to which their (counted) sizes are broadcast; beyond, they are shuffled
 KNOWN = 200_000  # similarities kept
 FEW = 2_000  # pairs of other texts that are each searched on their own
 
@@ -289,14 +292,15 @@ def best_by_two(names: list[str], whats: list[str], names2: list[str], whats2: l
 
 def in_cells(left: DataFrame, right: DataFrame, slot: str, each: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
     """each(left rows, right rows) of every cell; all pairs of rows with an equal slot come together in one cell."""
-    sizes = left.groupBy(slot).agg(F.count("*").alias("_nl")).join(right.groupBy(slot).agg(F.count("*").alias("_nr")), slot)
+    sizes = joined(left.groupBy(slot).agg(F.count("*").alias("_nl")), right.groupBy(slot).agg(F.count("*").alias("_nr")), slot)
     cells = lambda n: F.ceil(F.col(n) / CELL).cast("int")
-    work = sizes.agg(F.sum(F.col("_nl").cast("double") * F.col("_nr")), F.sum(cells("_nl").cast("bigint") * cells("_nr"))).first()
+    work = sizes.agg(F.sum(F.col("_nl").cast("double") * F.col("_nr")), F.sum(cells("_nl").cast("bigint") * cells("_nr")), F.count("*")).first()
     tasks = int(max(1, min(work[1] or 1, (work[0] or 0) // PAIRS_A_TASK + 1, 2000)))
     sizes = sizes.select(slot, cells("_nl").alias("_cl"), cells("_nr").alias("_cr"))
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.col(n)).cast("int")
-    l = left.join(sizes, slot).withColumn("_i", own(left, "_cl")).withColumn("_j", upto("_cr")).drop("_cl", "_cr")
-    r = right.join(sizes, slot).withColumn("_j", own(right, "_cr")).withColumn("_i", upto("_cl")).drop("_cl", "_cr")
+    sized = lambda df: df.join(F.broadcast(sizes), slot) if work[2] <= SLOTS else joined(df, sizes, slot)
+    l = sized(left).withColumn("_i", own(left, "_cl")).withColumn("_j", upto("_cr")).drop("_cl", "_cr")
+    r = sized(right).withColumn("_j", own(right, "_cr")).withColumn("_i", upto("_cl")).drop("_cl", "_cr")
     key = [slot, "_i", "_j"]
     return l.repartition(tasks, *key).groupBy(*key).cogroup(r.repartition(tasks, *key).groupBy(*key)).applyInPandas(each, schema)

@@ -91,3 +91,21 @@ def test_every_cell_of_a_block(spark, monkeypatch):
     pairs = lambda a, b: a[["l"]].merge(b[["r"]], "cross") if len(a) and len(b) else pd.DataFrame({"l": [], "r": []})
     got = [tuple(x) for x in N.in_cells(l, r, "slot", pairs, "l string, r string").collect()]
     assert sorted(got) == sorted((f"l{a}", f"r{b}") for a in range(40) for b in range(40))
+
+
+def test_only_the_sizes_of_places_are_broadcast(spark, monkeypatch):
+    """The planner would broadcast keys and matches here; at size the driver could not hold them."""
+    import re
+
+    from reconlake import session
+    from reconlake.operators import linkage
+
+    seen = []
+    monkeypatch.setattr(linkage, "cut", lambda df: (seen.append(df), session.cut(df))[1])
+    left = spark.createDataFrame([(1, "青山整形外科", "p"), (2, "西川医院", "p"), (3, "東町整形外科", None)], "l long, lk string, place string")
+    right = spark.createDataFrame([(1, "青山整形外科", "p"), (2, "西川医員", "p"), (3, "東町整型外科", "q"), (4, "西川医院院", None)], "r long, rk string, place string")
+    seen.append(linkage.best_in_place(left, right, "l", "r", "ratio", 0.62))
+    assert sorted((x.l, x.r) for x in seen[-1].collect()) == [(1, 1), (2, 4), (3, 3)]
+    plans = [df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0] for df in seen]
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 4
+    assert all(re.fullmatch(r"\[slot#\d+\], \[slot#\d+\], Inner, BuildRight.*", k) for p in plans for k in re.findall(r"BroadcastHashJoin (.*)", p))
