@@ -36,12 +36,8 @@ CONFIDENT = 0.65
 FUNCTIONS = ("name", "area", "types", "corp", "brand", "place", "pref", "fits")
 
 
-def votes_of(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """pairs (a, b, score, relation) with the vote of each function; '' where it abstains."""
-    keys = ("corp", "brand", "snd", "area", "types", "pref", "city")
-    x = left.select(F.col("form").alias("a"), *[F.col(k).alias(f"a_{k}") for k in keys])
-    y = right.select(F.col("form").alias("b"), *[F.col(k).alias(f"b_{k}") for k in keys])
-    p = joined(joined(pairs, x, "a"), y, "b")
+def votes_of(p: DataFrame) -> DataFrame:
+    """Pairs of names.sided() with the vote of each function; '' where it abstains."""
 
     def same(k: str):
         l, r = F.col(f"a_{k}"), F.col(f"b_{k}")
@@ -163,22 +159,18 @@ def described(matches: DataFrame, facilities: DataFrame) -> DataFrame:
     tagged = [r.withColumn("rec", F.concat(F.lit(t), "rec")) for t, r in sides]  # the two tables' ids may be alike
     recs = cut(names.keyed(tagged[0].unionByName(tagged[1])))
     left_recs, right_recs = (recs.where(F.col("rec").startswith(t)).withColumn("rec", F.expr("substring(rec, 2)")) for t, _ in sides)
-    both = cut(names.forms_of(recs))
-    ids = lambda r: r.where("snd != ''").select("rec", F.xxhash64(*names.KEYS).alias("form"))
-    left_ids, right_ids = cut(ids(left_recs)), cut(ids(right_recs))
-    left = cut(joined(both, left_ids.select("form").distinct(), "form", "left_semi"))
-    right = cut(joined(both, right_ids.select("form").distinct(), "form", "left_semi"))
+    both = cut(names.forms_of(recs, **{f"in_{t}": F.col("rec").startswith(t) for t, _ in sides}))
+    left, right = both.where("in_m"), both.where("in_f")
     # a form that stands in both tables is a pair of its own
-    own = both.select(*[F.col(k).alias(f"a_{k}") for k in names.PLACES], *[F.col(k).alias(f"b_{k}") for k in names.PLACES], F.col("form").alias("a"), F.col("form").alias("b"))
-    own = joined(joined(own, left.select(F.col("form").alias("a")), "a", "left_semi"), right.select(F.col("form").alias("b")), "b", "left_semi").select("a", "b", names.relation("a", "b").alias("relation"))
+    own = both.where("in_m and in_f").select(F.col("form").alias("a"), F.col("form").alias("b"), *[F.col(k).alias(f"{s}_{k}") for s in "ab" for k in names.PLACES])
+    own = own.select("a", "b", names.relation("a", "b").alias("relation")).where("relation != 'apart'")
     # pairs drawn by hash show the model what no match looks like
-    pairs = names.candidates(left, right, contrast=True).unionByName(own.where("relation != 'apart'")).distinct()
-    groups = cut(names.grouped(right_recs, both))  # (rec, root)
-    members = joined(right_ids, groups, "rec").select(F.col("form").alias("b"), "root", F.col("rec").alias("facility_id"))
-    judged = confidences(cut(votes_of(names.scored(pairs, both), left, right)))
+    pairs = names.candidates(left, right, contrast=True).unionByName(own)  # candidates() gives pairs of two forms
+    members = cut(names.grouped(right_recs, right)).select(F.col("form").alias("b"), "root", F.col("rec").alias("facility_id"))
+    judged = confidences(cut(votes_of(names.sided(pairs, both))))
     # of the facilities that a row could mean at most one is meant: their odds share what there is
     odds = joined(judged, members.select("b", "root").distinct(), "b").groupBy("a", "root").agg(F.exp(F.max("logit")).alias("odds"))
     share = F.col("odds") / (1 + F.sum("odds").over(Window.partitionBy("a")))
     sure = odds.withColumn("confidence", share).where(F.col("confidence") >= CONFIDENT)
-    rows = joined(sure, left_ids.withColumnsRenamed({"form": "a", "rec": "match_id"}), "a")
+    rows = joined(sure, left_recs.where("snd != ''").select(F.xxhash64(*names.KEYS).alias("a"), F.col("rec").alias("match_id")), "a")
     return joined(rows, members.select("root", "facility_id").distinct(), "root").select(F.col("match_id").cast("bigint").alias("match_id"), "facility_id", "confidence")

@@ -6,7 +6,7 @@ similarity of name tokens, where rare tokens count more, under the condition tha
 Verified links are closed to groups.
 
 Candidates. The relation of two addresses (full, part, slip, city, open) says which names can be one facility at all, so each
-relation has its join: records with a house number meet within quarter and first number, sharing a gram of their
+relation has its keys (one join for all of near addresses and one for open ones, as the driver's memory grows with the plan): records with a house number meet within quarter and first number, sharing a gram of their
 prefixes for an overlap of NEAR, or the full address; a record without a number meets its municipality likewise; one
 without a municipality meets its prefecture (an unknown one all), where names may differ by `edits` letters and so
 must share one of the few rarest grams that those edits cannot all spoil. Relations are decided inside the join: pairs
@@ -101,9 +101,11 @@ def keyed(recs: DataFrame) -> DataFrame:
     return second.withColumn("snd", heard("stem")).select("rec", *KEYS)
 
 
-def forms_of(recs: DataFrame) -> DataFrame:
-    """Distinct forms with an id of their content and token weights."""
-    forms = recs.where("snd != ''").select(*KEYS).distinct().withColumn("form", F.xxhash64(*KEYS))
+def forms_of(recs: DataFrame, **flags: Column) -> DataFrame:
+    """Distinct forms with an id of their content and token weights, and for each flag whether any of their records has it."""
+    named = recs.where("snd != ''")
+    forms = named.groupBy(*KEYS).agg(*[F.bool_or(c).alias(n) for n, c in flags.items()]) if flags else named.select(*KEYS).distinct()
+    forms = forms.withColumn("form", F.xxhash64(*KEYS))
     forms = cut(forms)
     total = forms.count()
     token = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).alias("v")) for k in ("corp", "brand", "snd", "area", "types")]))
@@ -115,11 +117,19 @@ def forms_of(recs: DataFrame) -> DataFrame:
     return joined(forms, weights, "form")
 
 
-def ordered_grams(forms: DataFrame, q: int, name: str) -> DataFrame:
-    """(form, name): the grams of each form, rarest first."""
-    g = forms.select("form", F.explode(grams(F.col("snd"), q)).alias("gram"))
-    df = g.groupBy("gram").agg(F.count("*").alias("df"))
-    return joined(g, df, "gram").groupBy("form").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "gram"))), lambda x: x["gram"]).alias(name))
+def ordered_grams(forms: DataFrame) -> DataFrame:
+    """(form, gs, far): the grams of each form of Q and of Q_FAR letters, rarest first."""
+    def cut_up(q: int) -> Column:
+        return F.transform(grams(F.col("snd"), q), lambda x: F.struct(F.lit(q).alias("q"), x.alias("gram")))
+
+    g = forms.select("form", F.explode(F.concat(cut_up(Q), cut_up(Q_FAR))).alias("g")).select("form", "g.*")
+    df = g.groupBy("q", "gram").agg(F.count("*").alias("df"))
+    both = joined(g, df, ["q", "gram"]).groupBy("form").agg(F.sort_array(F.collect_list(F.struct("q", "df", "gram"))).alias("of"))
+
+    def only(q: int) -> Column:
+        return F.transform(F.filter("of", lambda x: x["q"] == q), lambda x: x["gram"])
+
+    return both.select("form", only(Q).alias("gs"), only(Q_FAR).alias("far"))
 
 
 def relation(a: str, b: str) -> Column:
@@ -176,21 +186,25 @@ def name_score(a: dict, b: dict) -> float:
     return got / total if total else 0.0
 
 
-def scored(pairs: DataFrame, forms: DataFrame) -> DataFrame:
-    """pairs (a, b, relation) with the name score."""
-    keys = ("corp", "brand", "snd", "area", "types", "han", "w")
-    side = lambda s: forms.select(F.col("form").alias(s), F.struct(*keys).alias(f"_{s}"))
+@F.pandas_udf(DoubleType())
+def _score(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
+    out = []
+    for x, y in zip(a.to_dict("records"), b.to_dict("records"), strict=True):
+        x["w"], y["w"] = dict(x["w"]), dict(y["w"])
+        out.append(name_score(x, y))
+    return pd.Series(out, dtype="float64")
 
-    @F.pandas_udf(DoubleType())
-    def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.Series:
-        out = []
-        for x, y in zip(a.to_dict("records"), b.to_dict("records"), strict=True):
-            x["w"], y["w"] = dict(x["w"]), dict(y["w"])
-            out.append(name_score(x, y))
-        return pd.Series(out, dtype="float64")
 
-    both = joined(joined(pairs, side("a"), "a"), side("b"), "b")
-    return both.select("a", "b", score("_a", "_b").alias("score"), "relation")
+def sided(pairs: DataFrame, forms: DataFrame) -> DataFrame:
+    """pairs (a, b, relation) with the name score and the keys of both forms, prefixed a_ and b_."""
+    side = lambda s: forms.select(F.col("form").alias(s), *[F.col(k).alias(f"{s}_{k}") for k in (*KEYS, "w")])
+    of = lambda s: F.struct(*[F.col(f"{s}_{k}").alias(k) for k in ("corp", "brand", "snd", "area", "types", "han", "w")])
+    return joined(joined(pairs, side("a"), "a"), side("b"), "b").withColumn("score", _score(of("a"), of("b")))
+
+
+def scored(pairs: DataFrame, forms: DataFrame) -> DataFrame:
+    """pairs (a, b, relation) with the name score."""
+    return sided(pairs, forms).select("a", "b", "score", "relation")
 
 
 def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool = False) -> DataFrame:
@@ -199,73 +213,68 @@ def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool =
     With one table a < b; with two, a is of the left and b of the right. With contrast there are also pairs of one
     municipality whose addresses disagree ("apart") and that share one of the CONTRAST rarest grams of both, for a model to learn from.
     """
-    place = PLACES
-    cols = ["form", "snd", *place]
-    both = left.select(*cols) if right is None else left.select(*cols).unionByName(right.select(*cols)).distinct()
-    base = cut(joined(joined(both, ordered_grams(both, Q, "gs"), "form"), ordered_grams(both, Q_FAR, "far"), "form"))
+    one = right is None
+    cols = ["form", "snd", *PLACES]
+    tagged = lambda rows, l, r: rows.select(*cols, F.lit(l).alias("is_a"), F.lit(r).alias("is_b"))
+    both = tagged(left, True, True)
+    if not one:
+        both = tagged(left, True, False).unionByName(tagged(right, False, True)).groupBy(*cols).agg(F.bool_or("is_a").alias("is_a"), F.bool_or("is_b").alias("is_b"))
     n = F.size("gs")
-    near = F.slice("gs", F.lit(1), (n - F.ceil(n * NEAR) + 1).cast("int"))
+    near = F.slice("gs", F.lit(1), (n - F.ceil(n * NEAR) + 1).cast("int")).alias("near")
     # an edit spoils at most Q_FAR grams
-    far = F.slice("far", F.lit(1), (Q_FAR * edits(F.length("snd")) + 1).cast("int"))
-    first = F.get(F.split("nums", "-"), F.lit(0))
-    full = F.when(F.size(F.split("nums", "-")) == 3, F.array(F.concat(F.lit("#"), "nums"))).otherwise(F.array().cast("array<string>"))
-    unplaced, unnumbered = F.col("city") == "", (F.col("city") != "") & (F.col("nums") == "")
-
-    def tokens(rows: DataFrame, kind: str, *of: Column, grams_: Column, keep: tuple[str, ...]) -> DataFrame:
-        """A row for each gram, with what the pair must tell beyond its key."""
-        return rows.select(F.explode(F.transform(grams_, lambda g: F.xxhash64(F.lit(kind), *of, g))).alias("k"), "form", *keep)
-
-    def side(rows: DataFrame, s: str) -> DataFrame:
-        """Columns prefixed; what the key already holds equal is not carried."""
-        return rows.select("k", F.col("form").alias(s), *[(F.col(c) if c in rows.columns else F.lit("=")).alias(f"{s}_{c}") for c in ("snd", *place)])
-
-    def met(x: DataFrame, y: DataFrame, kinds: tuple[str, ...], ordered: bool) -> DataFrame:
-        p = joined(side(x, "a"), side(y, "b"), "k").where(F.col("a") < F.col("b") if ordered else F.col("a") != F.col("b"))
-        return p.withColumn("relation", relation("a", "b")).where(F.col("relation").isin(*kinds)).select("a", "b", "relation")
-
-    def met_far(x: DataFrame, y: DataFrame) -> DataFrame:
-        """Forms alike enough for open addresses; the key sees to the prefecture.
-
-        A gram that a third of all names hold is spread: the many rows of y over SALTS keys, the few of x repeated for each.
+    far = F.slice("far", F.lit(1), (Q_FAR * edits(F.length("snd")) + 1).cast("int")).alias("far")
+    base = cut(joined(both, ordered_grams(both), "form").select(*cols, "is_a", "is_b", near, far))
+    x, y = base.where("is_a"), base.where("is_b")
+    ways = ("a",) if one else ("a", "b")  # on which side the address is the poorer one
+    placed, numbered, in_pref = F.col("city") != "", F.col("nums") != "", F.col("pref") != ""
+    spread = max(1, y.count() // (CONTRAST * 47)) if contrast else 1  # buckets that leave each form about CONTRAST partners in its prefecture
+
+    def keys(tag: str, kind: str, *of: Column, grams_: Column | str, where: Column | None = None) -> Column:
+        """A key for each gram, of the records where the condition holds; all kinds of keys are met in one join."""
+        k = F.transform(grams_, lambda g: F.struct(F.lit(tag).alias("tag"), F.xxhash64(F.lit(kind), *of, g).alias("k")))
+        return k if where is None else F.when(where, k).otherwise(F.array().cast("array<struct<tag:string,k:bigint>>"))
+
+    def near_tokens(rows: DataFrame, s: str) -> DataFrame:
+        """A row for each key, columns prefixed; what the key already holds equal is not carried."""
+        first = F.get(F.split("nums", "-"), F.lit(0))
+        full = F.when(F.size(F.split("nums", "-")) == 3, F.array(F.concat(F.lit("#"), "nums"))).otherwise(F.array().cast("array<string>"))
+        of = [keys("number", "number", F.col("city"), F.col("quarter"), first, grams_=F.concat("near", full), where=placed & numbered)]
+        of += [keys("city", f"city {w}", F.col("city"), grams_="near", where=placed & ~numbered if s == w else placed) for w in ways]
+        if contrast:
+            of.append(keys("drawn", "drawn", F.col("pref"), F.pmod(F.xxhash64("form"), F.lit(spread)), grams_=F.array(F.lit(""))))
+        tag, same = F.col("t.tag"), F.lit("=")
+        quarter, city = F.when(tag == "number", same).otherwise(F.col("quarter")), F.when(tag == "drawn", F.col("city")).otherwise(same)
+        rows = rows.select(F.explode(F.concat(*of)).alias("t"), "form", *PLACES)
+        return rows.select("t.*", F.col("form").alias(s), F.col("pref").alias(f"{s}_pref"), city.alias(f"{s}_city"), quarter.alias(f"{s}_quarter"), F.col("nums").alias(f"{s}_nums"))
+
+    def far_tokens(rows: DataFrame, s: str) -> DataFrame:
+        """Within a known prefecture, and with an unknown one anywhere.
+
+        A gram that a third of all names hold is spread: the many rows of one side over SALTS keys, the few without a
+        municipality repeated for each.
         """
-        x = x.withColumn("k", F.explode(F.array(*[F.xxhash64("k", F.lit(i)) for i in range(SALTS)])))
-        y = y.withColumn("k", F.xxhash64("k", F.pmod(F.xxhash64("form"), F.lit(SALTS)).cast("int")))
-        p = joined(side(x, "a"), side(y, "b"), "k").where("a != b")
-        la, lb = F.length("a_snd"), F.length("b_snd")
-        p = p.where((F.abs(la - lb) <= 2) & F.levenshtein("a_snd", "b_snd", 4).between(0, edits(F.least(la, lb))))
-        return p.select("a", "b", F.lit("open").alias("relation"))
-
-    def of(forms: DataFrame | None) -> DataFrame:
-        return base if forms is None else joined(base, forms.select("form"), "form", "left_semi")
-
-    def numbered(rows: DataFrame) -> DataFrame:
-        return tokens(rows.where("city != '' and nums != ''"), "number", F.col("city"), F.col("quarter"), first, grams_=F.concat(near, full), keep=("pref", "nums"))
-
-    def in_city(rows: DataFrame) -> DataFrame:
-        return tokens(rows.where("city != ''"), "city", F.col("city"), grams_=near, keep=("pref", "quarter", "nums"))
-
-    def in_prefecture(rows: DataFrame, known: bool) -> DataFrame:
-        """With a known prefecture within it, and with an unknown one anywhere."""
-        return tokens(rows.where("pref != ''"), "pref", F.col("pref"), grams_=far, keep=("snd",)) if known else tokens(rows, "any", grams_=far, keep=("snd",))
-
-    x, y = of(None if right is None else left), of(None if right is None else right)
-    one = right is None
-    parts = [met(numbered(x), numbered(y), FIRM, one)]
-    for a, b in ((x, y),) if one else ((x, y), (y, x)):
-        turned = a is y and not one
-        flip = lambda p: p.select(F.col("b").alias("a"), F.col("a").alias("b"), "relation") if turned else p  # noqa: B023, E731
-        parts.append(flip(met(in_city(a.where(unnumbered)), in_city(b), ("city",), False)))
-        bare = a.where(unplaced)
-        parts.append(flip(met_far(in_prefecture(bare, True), in_prefecture(b, True))))
-        parts.append(flip(met_far(in_prefecture(bare.where("pref = ''"), False), in_prefecture(b, False))))
-        parts.append(flip(met_far(in_prefecture(bare.where("pref != ''"), False), in_prefecture(b.where("pref = ''"), False))))
-    if contrast:
-        spread = max(1, y.count() // (CONTRAST * 47))  # buckets that leave each form about CONTRAST partners in its prefecture
-        drawn = lambda rows: tokens(rows, "drawn", F.col("pref"), F.pmod(F.xxhash64("form"), F.lit(spread)), grams_=F.array(F.lit("")), keep=tuple(place))
-        parts.append(met(drawn(x), drawn(y), (*LEAST, "apart"), one))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        of = []
+        for w in ways:
+            if s == w:
+                few = (~placed & in_pref, ~placed & ~in_pref, ~placed & in_pref)
+            else:
+                few = (in_pref, None, ~in_pref)
+            of += [keys(w, f"{kind} {w}", *at, grams_="far", where=c) for (kind, *at), c in zip((("pref", F.col("pref")), ("any",), ("rest",)), few, strict=True)]
+        rows = rows.select(F.explode(F.concat(*of)).alias("t"), "form", "snd")
+        every = F.array(*[F.xxhash64("t.k", F.lit(i)) for i in range(SALTS)])
+        k = F.when(F.col("t.tag") == s, every).otherwise(F.array(F.xxhash64("t.k", F.pmod(F.xxhash64("form"), F.lit(SALTS)).cast("int"))))
+        return rows.select(F.explode(k).alias("k"), F.col("form").alias(s), F.col("snd").alias(f"{s}_snd"))
+
+    p = joined(near_tokens(x, "a"), near_tokens(y, "b").drop("tag"), "k")
+    p = p.where(F.when(F.col("tag") == "number", F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b")) if one else F.col("a") != F.col("b"))
+    texts = lambda *of: F.array(*map(F.lit, of))
+    kinds = F.when(F.col("tag") == "number", texts(*FIRM)).when(F.col("tag") == "city", texts("city")).otherwise(texts(*LEAST, "apart"))
+    near_pairs = p.withColumn("relation", relation("a", "b")).where(F.array_contains(kinds, F.col("relation"))).select("a", "b", "relation")
+    # alike enough for open addresses; the key sees to the prefecture
+    p = joined(far_tokens(x, "a"), far_tokens(y, "b"), "k").where("a != b")
+    la, lb = F.length("a_snd"), F.length("b_snd")
+    p = p.where((F.abs(la - lb) <= 2) & F.levenshtein("a_snd", "b_snd", 4).between(0, edits(F.least(la, lb))))
+    out = near_pairs.unionByName(p.select("a", "b", F.lit("open").alias("relation")))
     if one:
         out = out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "relation")
     return out.distinct()
@@ -301,21 +310,21 @@ def leads(score: str, following: str) -> Column:
 
 def groups(recs: DataFrame) -> DataFrame:
     """(rec, root) of all records with a name; root is the same for records that mean one facility."""
-    return grouped(cut(keyed(recs)))
+    recs = cut(keyed(recs))
+    return grouped(recs, cut(forms_of(recs))).select("rec", "root")
 
 
-def grouped(recs: DataFrame, forms: DataFrame | None = None) -> DataFrame:
-    """groups() of keyed records; forms are those of at least these records, if they are known already."""
-    own = recs.where("snd != ''").withColumn("form", F.xxhash64(*KEYS)).select("rec", "form")
-    forms = cut(forms_of(recs)) if forms is None else cut(joined(forms, own.select("form").distinct(), "form", "left_semi"))
+def grouped(recs: DataFrame, forms: DataFrame) -> DataFrame:
+    """(rec, form, root) of keyed records and their forms."""
+    own = recs.where("snd != ''").select("rec", F.xxhash64(*KEYS).alias("form"))
     links = cut(scored(candidates(forms), forms))
-    return joined(own, rooted(forms, links), "form").select("rec", "root")
+    return joined(own, rooted(forms, links), "form").select("rec", "form", "root")
 
 
 def rooted(forms: DataFrame, links: DataFrame) -> DataFrame:
     """(form, root): links closed to groups, and forms without a house number attached to the one group that fits."""
     firm = links.where(passes(F.col("relation"), F.col("score"))).select("a", "b")
-    roots = cut(components(forms.select(F.col("form").alias("node")), firm))
+    roots = components(forms.select(F.col("form").alias("node")), firm)
     # forms without a house number: to the one group that fits, the best by score if it stands out
     open_ = links.where(
         ((F.col("relation") == "open") & (F.col("score") >= LEAST["open"])) | ((F.col("relation") == "city") & (F.col("score") >= LEAST["city"]))

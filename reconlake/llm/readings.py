@@ -12,7 +12,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reconlake.llm.namekeys import AREA_READINGS, VARIANTS, flat, rough, sound
@@ -122,11 +122,10 @@ def learned(forms: DataFrame) -> dict[str, str]:
                         total[key] = total.get(key, 0.0) + p
             yield pd.DataFrame([(k, r, n) for (k, r), n in total.items()], columns=["kanji", "reading", "n"])
 
-        counted = pairs.mapInPandas(step, "kanji string, reading string, n double").groupBy("kanji", "reading").agg(F.sum("n").alias("n"))
-        counted = cut(counted)
-        uses = counted.groupBy("kanji").agg(F.sum("n").alias("uses"))
+        counted = pairs.mapInPandas(step, "kanji string, reading string, n double").repartition("kanji").groupBy("kanji", "reading").agg(F.sum("n").alias("n"))
+        counted = counted.withColumn("uses", F.sum("n").over(Window.partitionBy("kanji")))
         share, count = (SURE_SHARE, SURE_COUNT) if last == ROUNDS - 1 else (LEAST_SHARE, LEAST_COUNT)
-        kept = joined(counted, uses, "kanji").where((F.col("n") >= share * F.col("uses")) & (F.col("n") >= count))
+        kept = counted.where((F.col("n") >= share * F.col("uses")) & (F.col("n") >= count))
         rows = kept.select("kanji", "reading", (F.col("n") / F.col("uses")).alias("p")).collect()  # at most 1 / share a kanji
         known = {}
         for r in rows:

@@ -170,3 +170,20 @@ def test_only_the_vote_patterns_are_broadcast(spark, data, monkeypatch):
 
     plans = final_plans(monkeypatch, lambda: labelmodel.described(load(spark, data, "locator_match"), load(spark, data, "nonqueue_facility")))
     assert [k for k, p in enumerate(plans) if "BroadcastHashJoin" in p] == [len(plans) - 1] and plans[-1].count("BroadcastHashJoin") == 1
+
+
+def test_candidates_of_all_relations_meet_in_two_joins(spark):
+    """A plan with a join for each relation took the driver's memory, however small the input."""
+    recs = names.keyed(rows(spark, DATA))
+    left, right = (names.forms_of(recs.where(w)).cache() for w in ("rec < 'D'", "rec >= 'C'"))
+    for pairs in (names.candidates(left), names.candidates(left, right, contrast=True)):
+        pairs.collect()
+        plan = pairs._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") <= 5
+
+
+def test_matching_takes_few_and_small_plans(spark, data, monkeypatch):
+    from reconlake.session import load
+
+    plans = final_plans(monkeypatch, lambda: labelmodel.described(load(spark, data, "locator_match"), load(spark, data, "nonqueue_facility")))
+    assert max(p.count("Exchange hashpartitioning") for p in plans) <= 20
