@@ -6,11 +6,12 @@ similarity of name tokens, where rare tokens count more, under the condition tha
 Verified links are closed to groups.
 
 Candidates. The relation of two addresses (full, part, slip, city, open) says which names can be one facility at all, so each
-relation has its keys (one join for all of near addresses and one for open ones, as the driver's memory grows with the plan): records with a house number meet within quarter and first number, sharing a gram of their
+relation has its keys: records with a house number meet within quarter and first number, sharing a gram of their
 prefixes for an overlap of NEAR, or the full address; a record without a number meets its municipality likewise; one
 without a municipality meets its prefecture (an unknown one all), where names may differ by `edits` letters and so
-must share one of the few rarest grams that those edits cannot all spoil. Relations are decided inside the join: pairs
-whose addresses disagree are never written.
+must share one of the few rarest grams that those edits cannot all spoil. The last meet in one join and all others in
+another, as the driver's memory grows with the plan. Relations are decided inside the join: pairs whose addresses
+disagree are never written.
 
 Equal forms are joined once, as one form with its members, so a facility repeated in a third of all records stays one
 row of the join. Records with a municipality meet only within it; records without one need almost equal names and
