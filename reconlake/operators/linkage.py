@@ -132,39 +132,58 @@ def pairs_in_place(left: DataFrame, right: DataFrame, least: float) -> DataFrame
     return p.withColumn("score", ratio_score("lk", "rk")).where(F.col("score") >= least)
 
 
-def best_by_two_names(left: DataFrame, right: DataFrame, left_id: str, right_id: str, least: float = 0.62, least_name: float = 0.5) -> DataFrame:
+def best_by_two_names(left: DataFrame, right: DataFrame, left_id: str, right_id: str, least: float = 0.62, least_name: float = 0.5, others: bool = False) -> DataFrame:
     """(left_id, right_id, score, name_score, what_score): each left row's best right row of its kind and place by two texts.
 
     Both tables have kind, place, name and what (a treatment, say) as keys in normal form; kinds are equal, an unknown
     place meets all. The score is 0.44 of the similarity of names and 0.56 of that of the other text, plus 0.12 for equal
     names or 0.05 for one inside the other, and 0.10 for equal other texts, at most 1. Names that are less alike than
-    least_name match nothing. Ties go to the lower right_id. Equal rows of a side are searched once (nearest.search); no
-    pairs are written but the best of each.
+    least_name match nothing. Ties go to the lower right_id. With `others` the ids of both tables are of one list and a row
+    meets all but its own. Equal rows of a side are searched once (nearest.search), except those whose own id could be a
+    match; no pairs are written but the best of each.
     """
     key = ["kind", "place", "name", "what"]
     usable = lambda df: df.where("kind is not null and name <> '' and what is not null")
     slot = lambda of: F.concat(F.col("kind").cast("string"), F.lit("\u001f"), of)
     placed = F.concat(F.lit("="), F.col("place").cast("string"))
-    ls = usable(left).select(*key).distinct()
-    ls = ls.withColumn("slot", F.explode(F.when(F.col("place").isNull(), F.array(slot(F.lit("*")))).otherwise(F.array(slot(placed), slot(F.lit("?"))))))
     rs = usable(right).select(*key, right_id).withColumn("slot", F.explode(F.array(slot(F.coalesce(placed, F.lit("?"))), slot(F.lit("*")))))
-    rs = rs.groupBy("slot", F.col("name").alias("rk"), F.col("what").alias("rw")).agg(F.min(right_id).alias(right_id))
-    names = [*key, right_id, "score", "name_score", "what_score"]
+    rs = rs.select("slot", F.col("name").alias("rk"), F.col("what").alias("rw"), right_id)
+    first_of = lambda df: df.groupBy("slot", "rk", "rw").agg(F.min(right_id).alias(right_id))
+    own = F.lit(None).cast("string")
+    if others:  # of equal rows the two lowest ids, as one of them may be the row's own
+        lowest = cut(first_of(rs))
+        same = joined(rs, lowest.withColumnRenamed(right_id, "_f"), ["slot", "rk", "rw"])
+        rs = cut(lowest.unionByName(first_of(same.where(F.col(right_id) > F.col("_f")))))
+        lefts = usable(left).select(left_id, *key)
+        shown = rs.select(F.col(right_id).alias(left_id), F.col(right_id).cast("string").alias("_own")).distinct()
+        lefts = cut(joined(lefts, shown, left_id, "left"))
+    else:
+        rs = first_of(rs)
+        lefts = left.select(left_id, *key, own.alias("_own"))
+    ls = usable(lefts).select(*key, "_own").distinct()
+    ls = ls.withColumn("slot", F.explode(F.when(F.col("place").isNull(), F.array(slot(F.lit("*")))).otherwise(F.array(slot(placed), slot(F.lit("?"))))))
+    rs = rs.withColumn("_id", F.col(right_id).cast("string"))
+    names = [*key, "_own", right_id, "score", "name_score", "what_score"]
 
     def each(l: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if l.empty or r.empty:
             return pd.DataFrame({c: [] for c in names})
         r = r.sort_values(right_id)
-        score, at, by_name, by_what = nearest.best_by_two(l["name"].tolist(), l["what"].tolist(), r["rk"].tolist(), r["rw"].tolist(), least, least_name)
+        ids = None
+        if others:
+            codes = pd.factorize(pd.concat([l["_own"], r["_id"]], ignore_index=True))[0]  # -1 for none
+            ids = codes[: len(l)], codes[len(l) :]
+        score, at, by_name, by_what = nearest.best_by_two(l["name"].tolist(), l["what"].tolist(), r["rk"].tolist(), r["rw"].tolist(), least, least_name, ids)
         ok = at < len(r)
-        return pd.DataFrame({**{c: l[c][ok] for c in key}, right_id: r[right_id].to_numpy()[at[ok]], "score": score[ok], "name_score": by_name, "what_score": by_what})[names]
+        return pd.DataFrame({**{c: l[c][ok] for c in (*key, "_own")}, right_id: r[right_id].to_numpy()[at[ok]], "score": score[ok], "name_score": by_name, "what_score": by_what})[names]
 
-    types = dict(left.dtypes) | {right_id: dict(right.dtypes)[right_id]}
-    found = nearest.in_cells(ls, rs, "slot", each, ", ".join(f"{c} {types.get(c, 'double') if c in (*key, right_id) else 'double'}" for c in names))
-    first = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("score"), right_id))
-    found = found.withColumn("_r", first).where("_r = 1").drop("_r").withColumnsRenamed({c: f"_{c}" for c in key})
+    types = dict(left.dtypes) | {right_id: dict(right.dtypes)[right_id], "_own": "string"}
+    found = nearest.in_cells(ls, rs, "slot", each, ", ".join(f"{c} {types.get(c, 'double') if c in (*key, '_own', right_id) else 'double'}" for c in names))
+    first = F.row_number().over(Window.partitionBy(*key, "_own").orderBy(F.desc("score"), right_id))
+    found = found.withColumn("_r", first).where("_r = 1").drop("_r").withColumnsRenamed({c: f"_{c}" for c in (*key, "_own")})
     same = (F.col("kind") == F.col("_kind")) & F.col("place").eqNullSafe(F.col("_place")) & (F.col("name") == F.col("_name")) & (F.col("what") == F.col("_what"))
-    return left.select(left_id, *key).join(found, same).select(left_id, right_id, "score", "name_score", "what_score")
+    same = same & F.col("_own").eqNullSafe(F.col("__own"))
+    return lefts.join(found, same).select(left_id, right_id, "score", "name_score", "what_score")
 
 
 def matches_by_name_or_address(left: DataFrame, right: DataFrame, left_id: str, right_id: str, name: str, address: str, place: str, least_name: int = 5, least_address: int = 8) -> DataFrame:

@@ -27,6 +27,7 @@ PAIRS_A_TASK = 20_000_000
 SLOTS = 10_000  # blocks up to which their (counted) sizes are broadcast; beyond, they are shuffled
 KNOWN = 200_000  # similarities kept
 FEW = 2_000  # pairs of other texts that are each searched on their own
+FLOORS = (0.5, 0.25)  # names at least so alike are searched first where less alike ones count too; what they find leaves out most of the others
 
 
 class Texts:
@@ -219,8 +220,11 @@ def best_texts(left: list[str], right: list[str], least: np.ndarray, kind: str)
     return best, place
 
 
-def best_by_two(names: list[str], whats: list[str], names2: list[str], whats2: list[str], least: float, least_name: float) -> tuple[np.ndarray, ...]:
-    """(scores, places) of search() by the score of linkage.best_by_two_names, and the similarities of names and of other texts of the rows with a match."""
+def best_by_two(names: list[str], whats: list[str], names2: list[str], whats2: list[str], least: float, least_name: float, ids: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
+    """(scores, places) of search() by the score of linkage.best_by_two_names, and the similarities of names and of other texts of the rows with a match.
+
+    With the ids of both sides, rows of an equal id do not meet.
+    """
     by_name, by_what = Ratio(names, names2), Ratio(whats, whats2)
     a, b = by_name.a, by_name.b
     x, y = counts(names, names2)
@@ -252,7 +256,10 @@ def best_by_two(names: list[str], whats: list[str], names2: list[str], whats2: l
             both = (xw[i[0] : i[-1] + 1] @ yw.T)[i - i[0], j]  # rows are in order
             w = np.where(n + m == 0, 1.0, 2.0 * np.minimum(both, np.minimum(n, m)) / np.maximum(n + m, 1))
         shorter = np.minimum(a.n[i], b.n[j])
-        return total(by_name.bound(i, j, common), w, (common >= a.n[i]) & (a.n[i] == b.n[j]), common >= shorter, code[i] == code2[j])
+        up = total(by_name.bound(i, j, common), w, (common >= a.n[i]) & (a.n[i] == b.n[j]), common >= shorter, code[i] == code2[j])
+        if ids is not None:
+            up[ids[0][i] == ids[1][j]] = -1.0
+        return up
 
     def inside(i: np.ndarray, j: np.ndarray) -> np.ndarray:
         return np.array([a.texts[k] in b.texts[m] or b.texts[m] in a.texts[k] for k, m in zip(i, j, strict=True)], dtype=bool)
@@ -273,10 +280,13 @@ def best_by_two(names: list[str], whats: list[str], names2: list[str], whats2: l
 
     def within(rows: np.ndarray, columns: np.ndarray, most: float) -> None:
         """Search where names that are not equal can add at most `most` to 0.44 of their similarity."""
-        need = (score[rows] - 1e-6 - most) / 0.44
-        rows, need = rows[need <= 1 + 0.07 / 0.44], need[need <= 1 + 0.07 / 0.44]  # equal names add 0.07 more
-        need = np.clip(need, least_name, 1.0)
-        search(x, y, rows, columns, need * a.n[rows] / (2 - need), score, at, bound, exact)
+        above = np.inf
+        for floor in (*[f for f in FLOORS if f > least_name], least_name):
+            need = (score[rows] - 1e-6 - most) / 0.44
+            can = (need <= 1 + 0.07 / 0.44) & (need < above)  # equal names add 0.07 more
+            rows, need = rows[can], np.clip(need[can], floor, 1.0)
+            search(x, y, rows, columns, need * a.n[rows] / (2 - need), score, at, bound, exact)
+            above = floor
 
     if few:  # the most similar texts first, so that their scores leave out the others
         for p in range(len(table)):

@@ -146,15 +146,17 @@ def same_address_best_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def best_by_facility_and_treatment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plans of the second and third class matched by facility and treatment with the other plans of their class and prefecture; by Ratcliff-Obershelp."""
+    """Each plan's best match by facility and treatment among all other plans of its class and prefecture; by Ratcliff-Obershelp.
+
+    As in the lists these come from, a class that is not the second counts as the third. Plans without a facility name or
+    without a treatment match nothing; one without a prefecture meets all.
+    """
     t = load(spark, sf_dir, "treatment_plan")
     keyed = t.select(
-        "plan_id", "facility_id", F.col("category").alias("kind"), F.when(F.col("prefecture") != "", F.col("prefecture")).alias("place"),
+        "plan_id", F.when(F.contains("category", F.lit("第二")), "2").otherwise("3").alias("kind"), F.when(F.col("prefecture") != "", F.col("prefecture")).alias("place"),
         T.compact(F.col("facility"), T.KEY_SIGNS_MARKS).alias("name"), T.compact(F.col("treatment"), T.KEY_SIGNS_MARKS).alias("what"),
-    ).where("kind is not null and name <> '' and what <> ''")
-    even = F.pmod(F.regexp_extract("plan_id", "[0-9]+", 0).cast("bigint"), F.lit(2)) == 0  # two lists to compare: the old and the new one
-    old, new = keyed.where(even), keyed.where(~even).withColumnRenamed("plan_id", "other_id")
-    return L.best_by_two_names(old, new, "plan_id", "other_id")
+    ).where("plan_id is not null and name <> '' and what <> ''")
+    return L.best_by_two_names(keyed, keyed.withColumnRenamed("plan_id", "other_id"), "plan_id", "other_id", least_name=0.0, others=True)
 
 
 # ---------------------------------------------------------------- evidence and counts

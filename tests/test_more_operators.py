@@ -117,6 +117,36 @@ def test_best_by_two_names_against_all_pairs(spark):
     assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
 
 
+def test_best_by_two_names_among_all_others(spark, monkeypatch):
+    """One list against itself: never its own id, equal rows meet each other, unlike names count by the other text alone."""
+    rng = random.Random(7)
+    rows = [(i, rng.choice("23"), rng.choice(["p", "q", None]), x, rng.choice(["治療甲乙", "治療甲丙", "注射"])) for i, x in enumerate(names(rng, 70))]
+    rows += [(100 + i, *r[1:]) for i, r in enumerate(rows[:12])] + rows[20:24] + [(200, *rows[0][1:]), (201, "4", "p", "かき", "注射"), (202, "2", "p", "xyz", "注射")]
+    df = spark.createDataFrame(rows, "a long, kind string, place string, name string, what string")
+    got = {r.a: (r.b, round(r.score, 6)) for r in L.best_by_two_names(df, df.withColumnRenamed("a", "b"), "a", "b", least_name=0.0, others=True).collect()}
+    want = {}
+    for a, k, p, n, w in rows:
+        for b, k2, p2, n2, w2 in sorted(rows):
+            if a != b and k == k2 and (p is None or p2 is None or p == p2):
+                s = round(min(1.0, 0.44 * ratio(n, n2) + 0.56 * ratio(w, w2) + (0.12 if n == n2 else 0.05 if n in n2 or n2 in n else 0) + (0.1 if w == w2 else 0)), 6)
+                if s >= 0.62 and (a not in want or s > want[a][1]):
+                    want[a] = (b, s)
+    assert got == want and 202 in got and 201 not in got
+
+
+def test_every_plan_is_matched_with_all_others(spark, tmp_path):
+    from reconlake.plans import record_queries
+
+    def rows(*plans):
+        schema = "plan_id string, facility_id string, category string, prefecture string, facility string, treatment string"
+        spark.createDataFrame([(p, "F", c, "岩手県", f, t) for p, c, f, t in plans], schema).write.mode("overwrite").parquet(f"{tmp_path}/treatment_plan.parquet")
+        return {r.plan_id: r.other_id for r in record_queries.best_by_facility_and_treatment(spark, str(tmp_path)).collect()}
+
+    assert rows(("P1", "第三種", "青山医院", "注射"), ("P3", "第三種", "青山医院", "注射"), ("P2", "第二種", "青山医院", "注射")) == {"P1": "P3", "P3": "P1"}  # both odd
+    assert rows(("P1", "第三種", "青山医院", "膝の注射"), ("P2", "第三種", "緑川整形", "膝の注射")) == {"P1": "P2", "P2": "P1"}  # names unlike
+    assert rows(("P1", None, "青山医院", "注射"), ("P2", "第三種", "青山医院", "注射"), ("P", "第三種", None, "注射")) == {"P1": "P2", "P2": "P1"}  # no class, no number, no name
+
+
 def test_best_at_address(spark):
     l = spark.createDataFrame([(1, "x", "あおい"), (2, "", "あおい"), (3, "y", "か"), (4, None, None)], "a long, address string, name string")
     r = spark.createDataFrame([(10, "x", "あおき"), (11, "x", "あおい医院"), (12, "x", "あおき"), (13, "z", "か")], "b long, address string, name string")
