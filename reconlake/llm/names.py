@@ -8,10 +8,10 @@ Verified links are closed to groups.
 Candidates. The relation of two addresses (full, part, slip, city, open) says which names can be one facility at all, so each
 relation has its keys: records with a house number meet within quarter and first number, sharing a gram of their
 prefixes for an overlap of NEAR, or the full address; a record without a number meets its municipality likewise; one
-without a municipality meets its prefecture (an unknown one all), where names may differ by `edits` letters and so
-must share one of the few rarest grams that those edits cannot all spoil. The last meet in one join and all others in
-another, as the driver's memory grows with the plan. Relations are decided inside the join: pairs whose addresses
-disagree are never written.
+without a municipality meets its prefecture (an unknown one all), where names may differ by `edits` letters: cut into one
+piece more than that, a name has a piece that its partner holds unspoilt, and near the same place (`pieces`, `probes`). The
+last meet in one join and all others in another, as the driver's memory grows with the plan. Relations are decided
+inside the join: pairs whose addresses disagree are never written.
 
 Equal forms are joined once, as one form with its members, so a facility repeated in a third of all records stays one
 row of the join. Records with a municipality meet only within it; records without one need almost equal names and
@@ -22,20 +22,25 @@ Records with a null or empty name link to nothing. Repeated records link to each
 
 from __future__ import annotations
 
+from functools import cache
+from itertools import pairwise
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from reconlake.llm import readings
 from reconlake.llm.mapping import osa
 from reconlake.llm.namekeys import address_parts, foreign_words, kanji_of, sound, split_name
 from reconlake.session import cut, joined, ship_package
 
-Q, Q_FAR = 3, 4  # gram lengths within a municipality and where one side names none
+Q = 3  # length of grams
 NEAR = 0.3  # share of the larger set of grams that two names of one municipality have in common
 CONTRAST = 3  # pairs of each form drawn for contrast
-SALTS = 8  # keys over which the forms of one gram are spread where they meet those without a municipality
+FAR = 2  # letters by which the lengths of two names may differ where one side names no municipality
+#: edits of sounds shorter than the first number, and where these are cut, as shares of their length; words that many names share stand at the ends, so these pieces are longer
+CUTS = [(6, 0, (0,)), (10, 1, (0, 0.5)), (18, 2, (0, 0.33, 0.53)), (float("inf"), 4, (0, 0.28, 0.44, 0.56, 0.72))]
 BRAND_CITIES = 3  # a foreign word that stands in names of so many municipalities is a brand
 STANDS_OUT, EXACT, CLOSER = 0.08, 0.985, 0.015  # lead over the next group that decides; less is enough for a name as good as equal
 #: least name score by how far the addresses agree: full number, shared beginning, a slip in the house number, municipality only
@@ -44,6 +49,7 @@ FIRM = ("full", "part", "slip")
 
 _PLACE = StructType([StructField(n, StringType()) for n in ("pref", "city", "quarter", "nums")] + [StructField("foreign", ArrayType(StringType()))])
 _NAME = StructType([StructField(n, StringType()) for n in ("corp", "brand", "stem", "area", "types", "han")])
+_FAR_KEYS = StructType([StructField("keys", ArrayType(StringType())), StructField("bits", LongType())])
 PLACES = ["pref", "city", "quarter", "nums"]
 KEYS = ["corp", "brand", "snd", "area", "types", "han", *PLACES]
 
@@ -66,9 +72,56 @@ def grams(snd: Column, q: int) -> Column:
 def edits(length: Column) -> Column:
     """How many letters two sounds (the shorter of this length) may differ by where no municipality is stated on one side.
 
-    More would fail the least score for open addresses; a name has at least one gram of Q_FAR more than so many edits spoil.
+    More would fail the least score for open addresses.
     """
-    return F.when(length < Q_FAR + 2, 0).when(length < 2 * Q_FAR + 2, 1).when(length < 4 * Q_FAR + 2, 2).otherwise(4)
+    out = F.lit(CUTS[-1][1])
+    for most, e, _ in reversed(CUTS[:-1]):
+        out = F.when(length < most, e).otherwise(out)
+    return out
+
+
+@cache
+def borders(length: int) -> tuple[int, ...]:
+    """Where the pieces of a sound of this length begin, one more than it may have edits, and the length itself."""
+    shares = next(c for most, _, c in CUTS if length < most)
+    return (*(int(length * c) for c in shares), length)
+
+
+def pieces(snd: str) -> list[str]:
+    """Keys of the pieces of a sound."""
+    at = borders(len(snd))
+    return [f"{len(snd)} {i} {snd[a:b]}" for i, (a, b) in enumerate(pairwise(at))]
+
+
+def probes(snd: str) -> list[str]:
+    """Keys of which a sound shares one with the pieces of every sound that is `edits` letters apart and FAR longer or shorter at most.
+
+    Take the first piece i (from 0) up to whose end there are no more than i edits: it has none itself, and i stand before
+    it, so it has moved by i letters at most; the edits behind it bound how far it has moved from the end.
+    """
+    n, out = len(snd), {}
+    for length in range(max(1, n - FAR), n + FAR + 1):
+        at = borders(length)
+        behind, longer = len(at) - 2, n - length
+        for i, (a, b) in enumerate(pairwise(at)):
+            low, high = max(0, a - i, a + longer - behind + i), min(n - b + a, a + i, a + longer + behind - i)
+            out |= {f"{length} {i} {snd[p : p + b - a]}": None for p in range(low, high + 1)}
+    return list(out)
+
+
+def bits(snd: str) -> int:
+    """A bit for each hashed pair of neighbours; an edit changes four bits at most."""
+    out = 0
+    for x, y in pairwise(snd):
+        out |= 1 << (ord(x) * 31 + ord(y)) % 63
+    return out
+
+
+@F.pandas_udf(_FAR_KEYS)
+def far_keys(snd: pd.Series, probing: pd.Series) -> pd.DataFrame:
+    """Keys by which sounds meet that may differ by `edits` letters: probes() of those that look for others, pieces() of the others; and bits()."""
+    rows = [(probes(s) if p else pieces(s), bits(s)) for s, p in zip(snd, probing, strict=True)]
+    return pd.DataFrame(rows, columns=_FAR_KEYS.names)
 
 
 def records(df: DataFrame, key: str, name: str, address: str, prefecture: str | None = None) -> DataFrame:
@@ -119,30 +172,25 @@ def forms_of(recs: DataFrame, **flags: Column) -> DataFrame:
 
 
 def ordered_grams(forms: DataFrame) -> DataFrame:
-    """(form, gs, far): the grams of each form of Q and of Q_FAR letters, rarest first."""
-    def cut_up(q: int) -> Column:
-        return F.transform(grams(F.col("snd"), q), lambda x: F.struct(F.lit(q).alias("q"), x.alias("gram")))
-
-    g = forms.select("form", F.explode(F.concat(cut_up(Q), cut_up(Q_FAR))).alias("g")).select("form", "g.*")
-    df = g.groupBy("q", "gram").agg(F.count("*").alias("df"))
-    both = joined(g, df, ["q", "gram"]).groupBy("form").agg(F.sort_array(F.collect_list(F.struct("q", "df", "gram"))).alias("of"))
-
-    def only(q: int) -> Column:
-        return F.transform(F.filter("of", lambda x: x["q"] == q), lambda x: x["gram"])
-
-    return both.select("form", only(Q).alias("gs"), only(Q_FAR).alias("far"))
+    """(form, gs): the grams of each form, rarest first."""
+    g = forms.select("form", F.explode(grams(F.col("snd"), Q)).alias("gram"))
+    df = g.groupBy("gram").agg(F.count("*").alias("df"))
+    both = joined(g, df, "gram").groupBy("form").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("of"))
+    return both.select("form", F.transform("of", lambda x: x["gram"]).alias("gs"))
 
 
 def relation(a: str, b: str) -> Column:
     """How far two addresses agree: full, part, slip, city, open or apart; a and b prefix the columns pref, city, quarter and nums."""
     c = lambda s, k: F.col(f"{s}_{k}")
     same_pref = (c(a, "pref") == "") | (c(b, "pref") == "") | (c(a, "pref") == c(b, "pref"))
-    x, y = (F.filter(F.split(c(s, "nums"), "-"), lambda v: v != "") for s in (a, b))
-    n = F.least(F.size(x), F.size(y))
-    qa, qb = c(a, "quarter"), c(b, "quarter")
-    agree = (n == 0) | (F.slice(x, F.lit(1), F.greatest(n, F.lit(1))) == F.slice(y, F.lit(1), F.greatest(n, F.lit(1))))
-    slip = (n == 3) & (qa == qb) & (F.slice(x, 1, 2) == F.slice(y, 1, 2)) & (x != y)
-    wider = ((F.size(x) == 0) & F.startswith(qb, qa)) | ((F.size(y) == 0) & F.startswith(qa, qb))
+    x, y, qa, qb = c(a, "nums"), c(b, "nums"), c(a, "quarter"), c(b, "quarter")
+    # numbers are compared as texts, as arrays are slow in a join
+    size = lambda v: F.when(v == "", 0).otherwise(F.length(v) - F.length(F.replace(v, F.lit("-"), F.lit(""))) + 1)
+    first = lambda v, w: F.startswith(F.concat(v, F.lit("-")), F.concat(w, F.lit("-")))
+    n = F.least(size(x), size(y))
+    agree = (n == 0) | first(x, y) | first(y, x)
+    slip = (n == 3) & (qa == qb) & (F.substring_index(x, "-", 2) == F.substring_index(y, "-", 2)) & (x != y)
+    wider = ((x == "") & F.startswith(qb, qa)) | ((y == "") & F.startswith(qa, qb))
     inside = (
         F.when(slip, F.when(same_pref, "slip")).when(~agree, F.lit(None)).when((qa == qb) & (n == 3), "full")
         .when((qa == qb) & (n > 0), F.when(same_pref, "part")).when(wider, F.when(same_pref, "city"))
@@ -222,9 +270,7 @@ def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool =
         both = tagged(left, True, False).unionByName(tagged(right, False, True)).groupBy(*cols).agg(F.bool_or("is_a").alias("is_a"), F.bool_or("is_b").alias("is_b"))
     n = F.size("gs")
     near = F.slice("gs", F.lit(1), (n - F.ceil(n * NEAR) + 1).cast("int")).alias("near")
-    # an edit spoils at most Q_FAR grams
-    far = F.slice("far", F.lit(1), (Q_FAR * edits(F.length("snd")) + 1).cast("int")).alias("far")
-    base = cut(joined(both, ordered_grams(both), "form").select(*cols, "is_a", "is_b", near, far))
+    base = cut(joined(both, ordered_grams(both), "form").select(*cols, "is_a", "is_b", near))
     x, y = base.where("is_a"), base.where("is_b")
     ways = ("a",) if one else ("a", "b")  # on which side the address is the poorer one
     placed, numbered, in_pref = F.col("city") != "", F.col("nums") != "", F.col("pref") != ""
@@ -248,23 +294,25 @@ def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool =
         rows = rows.select(F.explode(F.concat(*of)).alias("t"), "form", *PLACES)
         return rows.select("t.*", F.col("form").alias(s), F.col("pref").alias(f"{s}_pref"), city.alias(f"{s}_city"), quarter.alias(f"{s}_quarter"), F.col("nums").alias(f"{s}_nums"))
 
-    def far_tokens(rows: DataFrame, s: str) -> DataFrame:
-        """Within a known prefecture, and with an unknown one anywhere.
-
-        A gram that a third of all names hold is spread: the many rows of one side over SALTS keys, the few without a
-        municipality repeated for each.
-        """
+    def far_forms(rows: DataFrame, s: str) -> DataFrame:
+        """(scope, probing, snd, form) within a known prefecture, and with an unknown one anywhere; the few names without a municipality look for the others."""
         of = []
         for w in ways:
             if s == w:
                 few = (~placed & in_pref, ~placed & ~in_pref, ~placed & in_pref)
             else:
                 few = (in_pref, None, ~in_pref)
-            of += [keys(w, f"{kind} {w}", *at, grams_="far", where=c) for (kind, *at), c in zip((("pref", F.col("pref")), ("any",), ("rest",)), few, strict=True)]
-        rows = rows.select(F.explode(F.concat(*of)).alias("t"), "form", "snd")
-        every = F.array(*[F.xxhash64("t.k", F.lit(i)) for i in range(SALTS)])
-        k = F.when(F.col("t.tag") == s, every).otherwise(F.array(F.xxhash64("t.k", F.pmod(F.xxhash64("form"), F.lit(SALTS)).cast("int"))))
-        return rows.select(F.explode(k).alias("k"), F.col("form").alias(s), F.col("snd").alias(f"{s}_snd"))
+            for (kind, *at), c in zip((("pref", F.col("pref")), ("any",), ("rest",)), few, strict=True):
+                one_of = F.struct(F.xxhash64(F.lit(f"{kind} {w}"), *at).alias("scope"), F.lit(s == w).alias("probing"))
+                of.append(one_of if c is None else F.when(c, one_of))
+        return rows.select(F.explode(F.array_compact(F.array(*of))).alias("t"), "snd", F.col("form").alias(s)).select("t.*", "snd", F.xxhash64("t.scope", "snd").alias(f"{s}_far"), s)
+
+    def far_tokens(forms_: DataFrame, s: str) -> DataFrame:
+        """A row for each key of each sound of a scope; its forms come in when the sounds have met."""
+        sounds = forms_.select("scope", "probing", "snd", f"{s}_far").distinct().withColumn("of", far_keys("snd", "probing"))
+        return sounds.select(F.explode("of.keys").alias("key"), "scope", f"{s}_far", F.col("snd").alias(f"{s}_snd"), F.col("of.bits").alias(f"{s}_bits")).select(
+            F.xxhash64("scope", "key").alias("k"), f"{s}_far", f"{s}_snd", f"{s}_bits"
+        )
 
     p = joined(near_tokens(x, "a"), near_tokens(y, "b").drop("tag"), "k")
     p = p.where(F.when(F.col("tag") == "number", F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b")) if one else F.col("a") != F.col("b"))
@@ -272,9 +320,14 @@ def candidates(left: DataFrame, right: DataFrame | None = None, contrast: bool =
     kinds = F.when(F.col("tag") == "number", texts(*FIRM)).when(F.col("tag") == "city", texts("city")).otherwise(texts(*LEAST, "apart"))
     near_pairs = p.withColumn("relation", relation("a", "b")).where(F.array_contains(kinds, F.col("relation"))).select("a", "b", "relation")
     # alike enough for open addresses; the key sees to the prefecture
-    p = joined(far_tokens(x, "a"), far_tokens(y, "b"), "k").where("a != b")
+    fx, fy = far_forms(x, "a"), far_forms(y, "b")
+    p = joined(far_tokens(fx, "a"), far_tokens(fy, "b"), "k")
     la, lb = F.length("a_snd"), F.length("b_snd")
-    p = p.where((F.abs(la - lb) <= 2) & F.levenshtein("a_snd", "b_snd", 4).between(0, edits(F.least(la, lb))))
+    most = edits(F.least(la, lb))
+    can = (F.abs(la - lb) <= FAR) & (F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) <= 4 * most)
+    alike = cut(p.where(can & F.levenshtein("a_snd", "b_snd", 4).between(0, most)).select("a_far", "b_far").distinct())
+    some = cut(joined(alike, fx.select("a_far", "a"), "a_far").select("a", "b_far"))
+    p = joined(some, fy.select("b_far", "b"), "b_far").where("a != b")
     out = near_pairs.unionByName(p.select("a", "b", F.lit("open").alias("relation")))
     if one:
         out = out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "relation")

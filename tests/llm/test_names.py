@@ -100,6 +100,71 @@ def test_no_link_of_a_municipality_is_lost(spark, data):
     assert len(want) > 150 and want <= got
 
 
+def far_sounds(seed, letters, sizes, n):
+    rng = np.random.default_rng(seed)
+    out = []
+    for _ in range(n):
+        s = "".join(rng.choice(list(letters), int(rng.integers(*sizes))))
+        for _ in range(int(rng.integers(0, 4))):  # and one some letters off
+            k = int(rng.integers(0, len(s)))
+            s = [s[:k] + s[k + 1 :] or "a", s[:k] + "b" + s[k:], s[:k] + "a" + s[k + 1 :]][int(rng.integers(0, 3))]
+            out.append(s)
+        out.append(s)
+    return out
+
+
+def most_edits(n):
+    return 0 if n < 6 else 1 if n < 10 else 2 if n < 18 else 4
+
+
+@pytest.mark.parametrize("letters", ["ab", "aiuekst"])
+def test_sounds_some_edits_apart_share_a_key(letters):
+    sounds = sorted(set(far_sounds(5, letters, (1, 24), 60)))
+    for a in sounds:
+        of = set(names.probes(a))
+        for b in sounds:
+            most = most_edits(min(len(a), len(b)))
+            if abs(len(a) - len(b)) <= 2 and plain_distance(a, b) <= most:
+                assert of & set(names.pieces(b)) and (names.bits(a) ^ names.bits(b)).bit_count() <= 4 * most
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_names_without_a_municipality_meet_all_that_are_some_edits_apart(spark):
+    """Against all pairs; sounds of few letters, whose grams repeat, included."""
+    rng = np.random.default_rng(6)
+    sounds = far_sounds(7, "ab", (5, 22), 40) + far_sounds(8, "aiuekst", (5, 22), 40)
+    forms = [(k, s, str(rng.choice(["p", "q", ""])), str(rng.choice(["", "x"])), str(rng.choice(["", "y"])), str(rng.choice(["", "1-2-3"]))) for k, s in enumerate(sounds)]
+    df = spark.createDataFrame([(k, s, p, c, *((q, n) if c else ("", ""))) for k, s, p, c, q, n in forms], "form long, snd string, pref string, city string, quarter string, nums string")
+    want = {(a[0], b[0]) for a in forms for b in forms if a[0] < b[0] and not (a[3] and b[3]) and ("" in (a[2], b[2]) or a[2] == b[2])
+            and abs(len(a[1]) - len(b[1])) <= 2 and plain_distance(a[1], b[1]) <= most_edits(min(len(a[1]), len(b[1])))}
+    assert {(r.a, r.b) for r in names.candidates(df).where("relation = 'open'").collect()} == want and len(want) > 100
+    # two tables: the left's and the right's names without a municipality
+    left, right = df.where("form % 2 = 0"), df.where("form % 2 = 1")
+    got = {tuple(sorted((r.a, r.b))) for r in names.candidates(left, right).where("relation = 'open'").collect()}
+    assert got == {(a, b) for a, b in want if (a + b) % 2}
+
+
+def test_few_names_without_a_municipality_are_compared(spark, monkeypatch):
+    """Names that begin and end alike, as most do, are not all compared, and equal ones only once."""
+    seen = []
+    joined = names.joined
+    monkeypatch.setattr(names, "joined", lambda *a: (seen.append(joined(*a)), seen[-1])[1])
+    rng = np.random.default_rng(3)
+    sounds = ["simo" + "".join(rng.choice(list("aiueokstnmr"), 8)) + "hikasikuti" for _ in range(150)] * 2
+    df = spark.createDataFrame([(k, s, "p", "x" if k % 3 else "", "y", "1-2-3" if k % 3 else "") for k, s in enumerate(sounds)], "form long, snd string, pref string, city string, quarter string, nums string")
+    assert names.candidates(df).where("relation = 'open'").count() >= 50
+    compared = next(d for d in seen if "a_snd" in d.columns)
+    assert compared.count() < 0.6 * 100 * 300
+
+
 def test_groups_count_their_links(spark):
     got = {r.rec: (r.root, r.links) for r in names.linked(rows(spark, DATA)).collect()}
     assert {got[x][1] for x in "ABCFI"} == {4} and got["D"][1] == 0 and len({got[x][0] for x in "ABCFI"}) == 1
